@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from footfall import storage
 from footfall.functions import build_query_string
+from footfall.operators.geo import ip_region_join
 from footfall.operators.parse import enrich
+from footfall.session import work_dir
 
 BATCHES = 5
 
@@ -137,6 +139,32 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(lines(spark, sf_dir), ip_rules(spark, sf_dir))
 
 
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records without the way over text: what the reports find in the event table."""
+    events = tracked_events(spark, sf_dir).where(F.col("event_id") % 97 != 0)
+    named = events.select(
+        "ip",
+        F.col("access_time_ms").cast("string").alias("access_time"),
+        "uid",
+        "sid",
+        "en",
+        "pl",
+        "pid",
+        F.lit(None).cast("string").alias("b_n"),
+        F.lit(None).cast("string").alias("os_n"),
+        "access_time_ms",
+        "dt",
+    )
+    return ip_region_join(named, ip_rules(spark, sf_dir))
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, lineage cut."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_stream_files(df: DataFrame, path: str) -> int:
     """Write lines as text files and give the number of files to read at a time."""
     spark = df.sparkSession

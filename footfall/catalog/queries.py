@@ -156,7 +156,7 @@ def valid_dates(spark, sf_dir):
 
 @query
 def location_level_counts(spark, sf_dir):
-    out = reports.explode_levels(inputs.event_log(spark, sf_dir))
+    out = reports.explode_levels(inputs.records(spark, sf_dir))
     return out.withColumnRenamed("pl", "platform")
 
 
@@ -170,7 +170,7 @@ def ip_regions(spark, sf_dir):
 
 
 def _location_facts(spark, sf_dir):
-    return reports.location_flow(visit_grain(inputs.event_log(spark, sf_dir), REGION_COLUMNS))
+    return reports.location_flow(visit_grain(inputs.records(spark, sf_dir), REGION_COLUMNS))
 
 
 @query
@@ -185,7 +185,8 @@ def location_dimension(spark, sf_dir):
     )
     empty = empty_dims(spark)["location"]
     held = dims.get_or_create_dim(known, empty, dims.LOCATION_KEYS)
-    return dims.get_or_create_dim(_location_facts(spark, sf_dir), held, dims.LOCATION_KEYS)
+    facts = inputs.saved(_location_facts(spark, sf_dir), "location_flow")
+    return dims.get_or_create_dim(facts, held, dims.LOCATION_KEYS)
 
 
 @query
@@ -197,14 +198,14 @@ def date_dimension(spark, sf_dir):
 
 @query
 def platform_dimension(spark, sf_dir):
-    stats = reports.event_stats(inputs.event_log(spark, sf_dir))
+    stats = reports.event_stats(inputs.records(spark, sf_dir))
     rows = dims.platform_rows(stats)
     return dims.get_or_create_dim(rows, empty_dims(spark)["platform"], dims.PLATFORM_KEYS)
 
 
 @query
 def event_dimension(spark, sf_dir):
-    stats = reports.event_stats(inputs.event_log(spark, sf_dir))
+    stats = reports.event_stats(inputs.records(spark, sf_dir))
     rows = dims.event_rows(stats)
     return dims.get_or_create_dim(rows, empty_dims(spark)["event"], dims.EVENT_KEYS)
 
@@ -214,19 +215,19 @@ def event_dimension(spark, sf_dir):
 
 @query
 def session_metrics(spark, sf_dir):
-    events = inputs.event_log(spark, sf_dir)
+    events = inputs.records(spark, sf_dir)
     return reports.session_metrics(visit_grain(events, ("pl",), ("sid",)))
 
 
 @query
 def session_shares(spark, sf_dir):
-    events = inputs.event_log(spark, sf_dir)
+    events = inputs.records(spark, sf_dir)
     return reports.session_aggr_stat(visit_grain(events, ("pl",), ("sid",)))
 
 
 @query
 def session_summaries(spark, sf_dir):
-    events = inputs.event_log(spark, sf_dir)
+    events = inputs.records(spark, sf_dir)
     return reports.session_summary(visit_grain(events, ("pl",), ("sid",)))
 
 
@@ -237,12 +238,12 @@ def user_stats(spark, sf_dir):
 
 @query
 def device_location_stats(spark, sf_dir):
-    return reports.device_location_stats(visit_grain(inputs.event_log(spark, sf_dir)))
+    return reports.device_location_stats(visit_grain(inputs.records(spark, sf_dir)))
 
 
 @query
 def event_stats(spark, sf_dir):
-    return reports.event_stats(inputs.event_log(spark, sf_dir))
+    return reports.event_stats(inputs.records(spark, sf_dir))
 
 
 @query
@@ -252,26 +253,26 @@ def location_flow(spark, sf_dir):
 
 @query
 def area_product_counts(spark, sf_dir):
-    views = products.product_views(inputs.event_log(spark, sf_dir))
+    views = products.product_views(inputs.records(spark, sf_dir))
     return products.area_product_counts(views)
 
 
 @query
 def area_product_rollup(spark, sf_dir):
-    views = products.product_views(inputs.event_log(spark, sf_dir))
+    views = products.product_views(inputs.records(spark, sf_dir))
     return products.area_product_rollup(products.area_product_counts(views))
 
 
 @query
 def area_top_products(spark, sf_dir):
-    views = products.product_views(inputs.event_log(spark, sf_dir))
+    views = products.product_views(inputs.records(spark, sf_dir))
     counts = products.area_product_counts(views)
     return products.area_top_products(products.area_product_rollup(counts))
 
 
 @query
 def product_views_by_sql(spark, sf_dir):
-    products.register_views(spark, inputs.event_log(spark, sf_dir))
+    products.register_views(spark, inputs.records(spark, sf_dir))
     return spark.sql(products.ROLLUP_SQL)
 
 
@@ -295,8 +296,8 @@ def union_word_count(spark, sf_dir):
 def _report(name: str):
     def run(spark, sf_dir):
         """The ids come from dimensions filled by this report alone."""
-        events = inputs.event_log(spark, sf_dir)
-        report = daily_reports(events, visit_grain(events))[name]
+        events = inputs.records(spark, sf_dir)
+        report = inputs.saved(daily_reports(events, visit_grain(events))[name], name)
         found = extend_dims(empty_dims(spark), [report])
         return dims.resolve_report_ids(report, found)
 
@@ -316,7 +317,7 @@ for _name in (
 
 @query
 def stats_location_flow(spark, sf_dir):
-    report = _location_facts(spark, sf_dir)
+    report = inputs.saved(_location_facts(spark, sf_dir), "location_flow")
     return dims.resolve_report_ids(report, extend_dims(empty_dims(spark), [report]))
 
 
@@ -352,7 +353,7 @@ def date_units(spark, sf_dir):
 
 @query
 def summary_fields(spark, sf_dir):
-    events = inputs.event_log(spark, sf_dir)
+    events = inputs.records(spark, sf_dir)
     texts = reports.session_summary(visit_grain(events, ("pl",), ("sid",)))
     return texts.select(
         "dt",
@@ -487,7 +488,7 @@ def event_log_upsert(spark, sf_dir):
 def replaced_day(spark, sf_dir):
     """A day's partition written twice holds the second version only."""
     path = work_dir(spark, "event_stats")
-    stats = reports.event_stats(inputs.event_log(spark, sf_dir))
+    stats = reports.event_stats(inputs.records(spark, sf_dir))
     stats.write.partitionBy("dt").parquet(path)
     day = date(2024, 1, 15)
     of_day = stats.where(F.col("dt") == F.lit(day))
@@ -499,7 +500,7 @@ def replaced_day(spark, sf_dir):
 def upserted_flow(spark, sf_dir):
     """The flow of the first events, then brought up to date by that of all events."""
     path = work_dir(spark, "flow")
-    events = inputs.event_log(spark, sf_dir)
+    events = inputs.records(spark, sf_dir)
     early = events.where(F.col("en") == "e_l")
     for step, part in enumerate((early, events)):
         flow = reports.location_flow(visit_grain(part, REGION_COLUMNS))

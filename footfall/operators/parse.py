@@ -23,28 +23,37 @@ from footfall.schemas import (
 )
 
 
-def log_fields(line: Column | str = "value") -> Column:
-    """ip, access_time and request of a line as a struct; null unless it has four fields."""
-    fields = java_split(line, "|")
-    return F.when(
-        F.size(fields) == 4,
-        F.struct(
-            F.get(fields, F.lit(0)).alias("ip"),
-            F.get(fields, F.lit(1)).alias("access_time"),
-            F.get(fields, F.lit(3)).alias("request"),
-        ),
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    A plain projection would be copied by the optimizer into every filter above it, and an
+    expensive expression evaluated again for each use. The output of a generator is not.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _split_lines(lines: DataFrame, line: str) -> DataFrame:
+    return once(lines, "_fields", java_split(line, "|"))
+
+
+def _named_fields(split: DataFrame, line: str) -> DataFrame:
+    """ip, access_time and request of lines with four fields, and their parameters."""
+    others = [c for c in split.columns if c not in (line, "_fields")]
+    named = split.select(
+        *others,
+        F.get("_fields", F.lit(0)).alias("ip"),
+        F.get("_fields", F.lit(1)).alias("access_time"),
+        F.get("_fields", F.lit(3)).alias("request"),
     )
+    return once(named, "params", parse_query_string("request"))
+
+
+IS_RECORD = "size(_fields) = 4"
 
 
 def parse_log(lines: DataFrame, line: str = "value") -> DataFrame:
     """Replace the line by ip, access_time, request and params; drop what is no record."""
-    others = [c for c in lines.columns if c != line]
-    return (
-        lines.withColumn("_log", log_fields(line))
-        .where(F.col("_log").isNotNull())
-        .select(*others, "_log.*")
-        .withColumn("params", parse_query_string("request"))
-    )
+    return _named_fields(_split_lines(lines, line).where(IS_RECORD), line)
 
 
 def drop_unparsed(lines: DataFrame, counts: Observation, line: str = "value") -> DataFrame:
@@ -53,20 +62,18 @@ def drop_unparsed(lines: DataFrame, counts: Observation, line: str = "value") ->
     The counts ``n_input``, ``n_filtered`` (no record) and ``n_incomplete`` (no usable uid,
     event or time) are ready once an action has run. A retried task does not count twice.
     """
-    others = [c for c in lines.columns if c != line]
-    parsed = (
-        lines.withColumn("_log", log_fields(line))
-        .withColumn("params", parse_query_string("_log.request"))
-        .withColumn("_ok", F.col("_log").isNotNull())
-        .withColumn("_whole", is_complete("_log.access_time"))
-        .observe(
+    split = _split_lines(lines, line).withColumn("_ok", F.expr(IS_RECORD))
+    judged = _named_fields(split, line).withColumn("_whole", is_complete())
+    return (
+        judged.observe(
             counts,
             F.count(F.lit(1)).alias("n_input"),
             F.count_if(~F.col("_ok")).alias("n_filtered"),
             F.count_if(F.col("_ok") & ~F.col("_whole")).alias("n_incomplete"),
         )
+        .where("_ok and _whole")
+        .drop("_ok", "_whole")
     )
-    return parsed.where("_ok and _whole").select(*others, "_log.*", "params")
 
 
 def effective(name: str, derived: Column | str | None = None) -> Column:
@@ -75,12 +82,12 @@ def effective(name: str, derived: Column | str | None = None) -> Column:
     return value if derived is None else F.coalesce(value, F.col(derived))
 
 
-def is_complete(access_time: str = "access_time") -> Column:
+def is_complete() -> Column:
     """Whether a record can be stored: it needs a uid, an event and a time in milliseconds."""
     return (
         effective("uid").isNotNull()
         & effective("en").isNotNull()
-        & effective("access_time", access_time).try_cast("bigint").isNotNull()
+        & effective("access_time", "access_time").try_cast("bigint").isNotNull()
     )
 
 
