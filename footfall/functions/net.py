@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,20 +12,19 @@ from footfall.functions.text import java_split
 def ip_to_long(ip: Column | str) -> Column:
     """The number of a dotted address; null where a part is not a number.
 
-    Parts are not checked against 255. Four parts take a closed form that code generation
-    covers; any other count goes through a fold.
+    Parts are not checked against 255, and there may be more or fewer than four: each one
+    shifts the number by eight bits. Eight parts fill it, so only the last eight are read.
     """
     parts = java_split(col(ip), ".")
-    numbers = [F.get(parts, F.lit(i)).try_cast("bigint") for i in range(4)]
-    four = (
-        F.shiftleft(numbers[0], 24)
-        .bitwiseOR(F.shiftleft(numbers[1], 16))
-        .bitwiseOR(F.shiftleft(numbers[2], 8))
-        .bitwiseOR(numbers[3])
-    )
-    other = F.aggregate(
-        parts,
-        F.lit(0).cast("bigint"),
-        lambda acc, p: F.shiftleft(acc, 8).bitwiseOR(p.try_cast("bigint")),
+
+    def part(from_end: int) -> Column:
+        number = F.try_element_at(parts, F.lit(-1 - from_end)).try_cast("bigint")
+        return F.shiftleft(number, 8 * from_end)
+
+    four = reduce(Column.bitwiseOR, [part(i) for i in range(4)])
+    zero = F.lit(0).cast("bigint")
+    any_count = reduce(
+        Column.bitwiseOR,
+        [F.when(F.size(parts) > i, part(i)).otherwise(zero) for i in range(8)],
     )
-    return F.when(F.size(parts) == 4, four).otherwise(other)
+    return F.when(F.size(parts) == 4, four).when(col(ip).isNotNull(), any_count)

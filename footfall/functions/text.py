@@ -41,12 +41,15 @@ def java_split(c: Column | str, separator: str) -> Column:
     return F.split(F.rtrim(col(c), F.lit(separator)), "\\" + separator)
 
 
+def _as_browser(encoded: Column) -> Column:
+    for old, new in BROWSER_UNESCAPED:
+        encoded = F.replace(encoded, F.lit(old), F.lit(new))
+    return encoded
+
+
 def url_encode(c: Column | str) -> Column:
     """Encode as a browser does for one part of a URL."""
-    out = F.url_encode(col(c))
-    for old, new in BROWSER_UNESCAPED:
-        out = F.replace(out, F.lit(old), F.lit(new))
-    return out
+    return _as_browser(F.url_encode(col(c)))
 
 
 def url_decode(c: Column | str) -> Column:
@@ -80,12 +83,11 @@ def build_query_string(params: Column | str) -> Column:
         F.map_entries(col(params)),
         lambda e: (e["key"] != "") & (F.coalesce(e["value"], F.lit("")) != ""),
     )
-    return F.array_join(
-        F.transform(
-            kept, lambda e: F.concat(url_encode(e["key"]), F.lit("="), url_encode(e["value"]))
-        ),
-        "&",
+    pairs = F.transform(
+        kept, lambda e: F.concat(F.url_encode(e["key"]), F.lit("="), F.url_encode(e["value"]))
     )
+    # The separators contain nothing that is replaced, so one pass over the whole will do.
+    return _as_browser(F.array_join(pairs, "&"))
 
 
 def get_field(summary: Column | str, name: str) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: a session ends after two minutes without an event.
@@ -19,7 +21,8 @@ def sessionize(
 ) -> DataFrame:
     """Add ``session_no``: 1 for a user's first session, one more after each longer pause.
 
-    A pause of exactly the gap does not end a session. The window runs per user and chunk of
+    A pause of exactly the gap does not end a session, and an event without a user has none.
+    The window runs per user and chunk of
     time, so that the events of one hot user spread over many tasks. What crosses a chunk
     border is settled on one row per user and chunk, and joined back on both.
     """
@@ -48,8 +51,8 @@ def sessionize(
     )
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     numbered = marked.withColumn("_step", F.sum("_starts").over(upto))
-    on = F.col(user).eqNullSafe(F.col("_user")) & (F.col("_chunk") == F.col("_border_chunk"))
-    return numbered.join(border, on).select(
+    on = (F.col(user) == F.col("_user")) & (F.col("_chunk") == F.col("_border_chunk"))
+    return numbered.join(border, on, "left").select(
         *events.columns, (F.col("_base") + F.col("_step")).alias("session_no")
     )
 
@@ -100,9 +103,7 @@ def first_visit_flag(
     firsts = first_visits(events, user, ts, tie).select(
         *[F.col(c).alias(f"_{c}") for c in names], F.lit(True).alias("_hit")
     )
-    on = F.lit(True)
-    for c in names:
-        on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    on = reduce(Column.__and__, [F.col(c) == F.col(f"_{c}") for c in names])
     return events.join(firsts, on, "left").select(
         *events.columns, F.coalesce("_hit", F.lit(False)).alias("is_first")
     )
