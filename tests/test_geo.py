@@ -64,6 +64,6 @@ def test_no_rules(spark):
 
 def test_plan_hashes(spark):
     logs = spark.createDataFrame([("1.2.3.4",)], "ip string")
-    plan = plan_of(ip_region_join(logs, _rules(spark, (0, 10), (1000, 2**17), (2**25, 2**27))))
+    plan = plan_of(ip_region_join(logs, _rules(spark, (0, 10), (1000, 60000), (2**25, 2**27))))
     assert plan.count("BroadcastHashJoin") == 3
     assert "NestedLoop" not in plan and "Cartesian" not in plan
