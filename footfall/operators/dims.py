@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions import date_parts, event_category, event_description
-from footfall.operators.sizes import broadcast_if_small, fits
+from footfall.operators.sizes import fits
 from footfall.schemas import (
     ALL,
     DATE_KEYS,
@@ -108,12 +108,15 @@ def get_or_create_dim(
 
 
 def add_dim_id(facts: DataFrame, dim: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Look up the id of each row by the natural keys, null-safe."""
+    """Look up the id of each row by the natural keys, null-safe.
+
+    How to join is left to the optimizer, or to a hint the dimension carries.
+    """
     other = dim.select(F.col("id").alias(name), *[F.col(k).alias(f"_dim_{k}") for k in keys])
     on = reduce(
         Column.__and__, [facts[k].eqNullSafe(other[f"_dim_{k}"]) for k in keys]
     )
-    return facts.join(broadcast_if_small(other), on, "left").drop(*[f"_dim_{k}" for k in keys])
+    return facts.join(other, on, "left").drop(*[f"_dim_{k}" for k in keys])
 
 
 def report_keys(report: DataFrame) -> DataFrame:

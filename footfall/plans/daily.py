@@ -22,6 +22,7 @@ from footfall.operators.dims import (
     report_keys,
     resolve_report_ids,
 )
+from footfall.operators.sizes import broadcast_if_small
 from footfall.operators.visits import visit_grain
 from footfall.plans.days import parse_day
 from footfall.schemas import DIM_DATE, DIM_EVENT, DIM_LOCATION, DIM_PLATFORM
@@ -127,8 +128,9 @@ def run_daily(spark: SparkSession, table: str, out: str, day: date) -> None:
             .withColumn("date" if "date" in report.columns else "dt", F.lit(day))
         )
     visits.unpersist()
-    save_dims(spark, extend_dims(load_dims(spark, f"{out}/dims"), list(natural.values())), f"{out}/dims")
-    dims = load_dims(spark, f"{out}/dims")
+    root = f"{out}/dims"
+    save_dims(spark, extend_dims(load_dims(spark, root), list(natural.values())), root)
+    dims = {name: broadcast_if_small(dim) for name, dim in load_dims(spark, root).items()}
     for name, report in natural.items():
         replace_day(resolve_report_ids(report, dims), f"{out}/{name}", day)
 

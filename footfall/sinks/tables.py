@@ -1,8 +1,10 @@
 """Parquet tables partitioned by day, with replacement and upsert by partition.
 
-An upsert never overwrites what it reads. It writes the new version of the touched
-partitions to a staging folder and, once that is complete, moves them into place. A run
-that dies while moving leaves the rest in staging; the next one moves it first.
+An upsert never overwrites what it reads. It first writes the new rows to a staging folder,
+which computes them once and shows the days they touch. The stored rows of those days are
+merged with them into new partitions, again in staging, and these are moved into place once
+all are complete. A run that dies while moving leaves the rest in staging; the next one
+moves it first.
 """
 
 from __future__ import annotations
@@ -27,34 +29,57 @@ def replace_day(df: DataFrame, path: str, day: date) -> None:
     df.drop("dt").write.mode("overwrite").parquet(target)
 
 
-def _publish(spark: SparkSession, staging: str, path: str) -> None:
-    for name in storage.children(spark, staging):
-        if name.startswith("dt="):
-            storage.move(spark, f"{staging}/{name}", f"{path.rstrip('/')}/{name}")
+def _days(spark: SparkSession, path: str) -> list[str]:
+    return [name for name in storage.children(spark, path) if name.startswith("dt=")]
+
+
+def _move_days(spark: SparkSession, names: list[str], source: str, target: str) -> None:
+    for name in names:
+        storage.move(spark, f"{source}/{name}", f"{target}/{name}")
 
 
 def merge_partitions(
-    new: DataFrame, path: str, merge: Merge, staging: str, once: bool = False
+    new: DataFrame,
+    path: str,
+    merge: Merge,
+    staging: str,
+    once: bool = False,
+    fresh_as_is: bool = True,
 ) -> None:
     """Rewrite the partitions that hold a day of ``new`` as ``merge(old rows, new)``.
 
-    ``old`` is None for a table that does not exist. ``staging`` must be a folder no other
-    job writes. With ``once``, a staging folder that is already complete means that this
-    very work was done before: what is left of it is moved, and nothing is computed.
+    Days the table does not have yet take the new rows as they are, unless ``fresh_as_is``
+    is off; then ``merge`` sees them too, with None for a table without any of the days.
+    ``staging`` must be a folder no other job writes. With ``once``, a staging folder that
+    is ready means that this very work was done before: what is left of it is moved, and
+    nothing is computed.
     """
-    spark = new.sparkSession
-    if storage.exists(spark, f"{staging}/_SUCCESS"):
-        _publish(spark, staging, path)
+    spark, path = new.sparkSession, path.rstrip("/")
+    incoming, ready, mark = f"{staging}/incoming", f"{staging}/ready", f"{staging}/_READY"
+    if storage.exists(spark, mark):
+        _move_days(spark, _days(spark, ready), ready, path)
         if once:
             return
-        storage.remove(spark, staging)
-    old = None
-    if any(name.startswith("dt=") for name in storage.children(spark, path)):
-        touched = new.select("dt").distinct()
-        old = spark.read.schema(new.schema).parquet(path).join(touched, "dt", "left_semi")
-        old = old.select(*new.columns)
-    merge(old, new).write.partitionBy("dt").mode("overwrite").parquet(staging)
-    _publish(spark, staging, path)
+    storage.remove(spark, staging)
+    new.write.partitionBy("dt").parquet(incoming)
+    arrived = _days(spark, incoming)
+    stored = sorted(set(arrived) & set(_days(spark, path)))
+    fresh = [name for name in arrived if name not in stored]
+    if stored or not fresh_as_is:
+        touched = [name.split("=", 1)[1] for name in stored]
+        on_days = F.col("dt").cast("string").isin(touched)
+        rows = spark.read.schema(new.schema).parquet(incoming).select(*new.columns)
+        old = None
+        if stored:
+            old = spark.read.schema(new.schema).parquet(path).where(on_days)
+            old = old.select(*new.columns)
+        if fresh_as_is:
+            rows = rows.where(on_days)
+        merge(old, rows).write.partitionBy("dt").parquet(ready)
+    if fresh_as_is:
+        _move_days(spark, fresh, incoming, ready)
+    storage.touch(spark, mark)
+    _move_days(spark, _days(spark, ready), ready, path)
     if not once:
         storage.remove(spark, staging)
 
@@ -65,9 +90,7 @@ def upsert(
     """Insert rows, or replace those with the same keys; ``keys`` must include ``dt`` or be
     unique within a day. The keys of ``df`` must be distinct."""
 
-    def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
-        if old is None:
-            return new
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
         a, b = old.alias("a"), new.alias("b")
         on = reduce(
             Column.__and__,
@@ -131,16 +154,15 @@ def in_read_order(records: DataFrame) -> DataFrame:
 def write_event_log(records: DataFrame, path: str, staging: str, order: str = "seq") -> None:
     """Upsert records by row key into the event table.
 
-    Stored records count as earlier than all new ones. The touched days are rewritten, so a
-    few late lines of the day before do not cost that day its other events.
+    The records are merged among themselves first, in ``order``. Only days the table holds
+    already are merged once more, with what is stored there counting as earlier; so a few
+    late lines of the day before do not cost that day its other events, and a new day is
+    written just once.
     """
 
-    def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
-        if old is None:
-            return merge_cells(new, order)
-        stored = old.withColumn(order, F.lit(-1).cast("bigint"))
-        return merge_cells(stored.unionByName(new), order)
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        return merge_cells(
+            old.withColumn(order, F.lit(0)).unionByName(new.withColumn(order, F.lit(1))), order
+        )
 
-    columns = [c for c in EVENT_LOG.names if c != "dt"]
-    placed = records.select(*columns, F.col(order).cast("bigint").alias(order), "dt")
-    merge_partitions(placed, path, merge, staging)
+    merge_partitions(merge_cells(records, order), path, merge, staging)

@@ -29,6 +29,12 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, target = _fs(spark, path)
+    fs.create(target, True).close()
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Put ``source`` in the place of ``target``."""
     fs, src = _fs(spark, source)

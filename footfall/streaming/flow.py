@@ -160,6 +160,7 @@ def start_location_flow(
                 add_changes,
                 f"{checkpoint}/report_staging/{batch_id}",
                 once=True,
+                fresh_as_is=False,
             )
             storage.remove(batch.sparkSession, f"{checkpoint}/report_staging/{batch_id - 2}")
         finally:
