@@ -500,13 +500,12 @@ SESSIONS = """
   FROM (SELECT *, CASE WHEN ms - lag(ms) OVER (PARTITION BY uid ORDER BY ms) <= 120000
           THEN 0 ELSE 1 END AS starts FROM tracked)"""
 sql("sessionized_events", SESSIONS, TRACKED)
-sql(
-    "session_spans",
-    f"""
-SELECT uid, min(access_time_ms) AS start_ms, max(access_time_ms) AS end_ms, count(*) AS n_events
-FROM ({SESSIONS}) GROUP BY uid, session_no""",
-    TRACKED,
-)
+SPANS = """
+SELECT {0}uid, min(access_time_ms) AS start_ms, max(access_time_ms) AS end_ms,
+  count(*) AS n_events
+FROM ({1}) GROUP BY uid, session_no"""
+sql("session_spans", SPANS.format("session_no, ", SESSIONS), TRACKED)
+sql("stream_session_spans", SPANS.format("", SESSIONS), TRACKED)
 sql(
     "first_visits",
     """

@@ -24,6 +24,7 @@ from footfall.sources import (
     read_logs,
     stream_text_dir,
 )
+from footfall.streaming.control import state_settings
 from footfall.streaming.flow import read_flow, stream_location_flow
 from footfall.streaming.words import (
     read_batch_counts,
@@ -445,11 +446,33 @@ def sessionized_events(spark, sf_dir):
 
 @query
 def session_spans(spark, sf_dir):
-    events = inputs.tracked_events(spark, sf_dir).select(
-        "uid", F.timestamp_millis("access_time_ms").alias("event_ts")
-    )
-    spans = sessions.session_spans(events)
-    return spans.select(
+    events = inputs.tracked_events(spark, sf_dir).select("uid", "access_time_ms")
+    return sessions.session_spans(events)
+
+
+@query
+def stream_session_spans(spark, sf_dir):
+    """Sessions a stream has closed: a last event far ahead closes all of them."""
+    source, table, checkpoint = (work_dir(spark, n) for n in ("visits", "spans", "checkpoint"))
+    events = inputs.tracked_events(spark, sf_dir)
+    line = F.concat_ws("|", "uid", F.col("access_time_ms").cast("string"))
+    at_once = inputs.write_stream_files(events.select(line.alias("value")), source)
+    end = spark.range(1).select(F.lit("|4102444800000").alias("value"))
+    parts = F.split("value", "[|]")
+    for last in (False, True):
+        if last:
+            end.write.mode("append").text(source)
+        visits = stream_text_dir(spark, source, at_once).select(
+            parts[0].alias("uid"), F.timestamp_millis(parts[1].cast("bigint")).alias("event_ts")
+        )
+        # The files hold the events in no order, so none of them may count as late.
+        spans = sessions.stream_session_spans(visits.withWatermark("event_ts", "400 days"))
+        with state_settings(spark, spark.sparkContext.defaultParallelism):
+            writer = spans.writeStream.format("parquet").option("path", table)
+            writer.option("checkpointLocation", checkpoint).trigger(
+                availableNow=True
+            ).start().awaitTermination()
+    return spark.read.parquet(table).select(
         "uid",
         F.unix_millis("session_start").alias("start_ms"),
         F.unix_millis("session_end").alias("end_ms"),

@@ -58,17 +58,33 @@ def sessionize(
 
 
 def session_spans(
+    events: DataFrame,
+    user: str = "uid",
+    ts: str = "access_time_ms",
+    gap_ms: int = SESSION_GAP_MS,
+    chunk_ms: int = CHUNK_MS,
+) -> DataFrame:
+    """First and last event and number of events of each session.
+
+    Built on :func:`sessionize` and not on a session window, which would bring all events of
+    a user together in one task.
+    """
+    numbered = sessionize(events.select(user, ts), user, ts, gap_ms, chunk_ms)
+    return numbered.where(F.col(user).isNotNull()).groupBy(user, "session_no").agg(
+        F.min(ts).alias("start_ms"), F.max(ts).alias("end_ms"), F.count(F.lit(1)).alias("n_events")
+    )
+
+
+def stream_session_spans(
     events: DataFrame, user: str = "uid", ts: str = "event_ts", gap: str = "2 minutes"
 ) -> DataFrame:
-    """First and last event and number of events of each session; batch or stream.
+    """The same over a stream with a watermark on ``ts``, once each session has ended.
 
-    A stream needs a watermark on ``ts``. Spark merges sessions before the shuffle where
-    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` is set, and
-    with it a hot user costs one row per session and task.
+    :func:`footfall.configure` has Spark merge sessions before the shuffle, so that a hot
+    user sends one row per session and task.
     """
-    window = F.session_window(ts, gap)
     return (
-        events.groupBy(user, window)
+        events.groupBy(user, F.session_window(ts, gap))
         .agg(
             F.min(ts).alias("session_start"),
             F.max(ts).alias("session_end"),

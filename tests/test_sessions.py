@@ -45,6 +45,15 @@ def test_sessionize(spark, events, chunk_ms):
     assert {r[0]: tuple(r)[1:] for r in out.collect()} == _brute(events)
 
 
+def test_spans(spark, events):
+    df = spark.createDataFrame(events, "event_id bigint, uid string, access_time_ms bigint")
+    wanted = defaultdict(list)
+    for user, ts, number in _brute(events).values():
+        wanted[(user, number)].append(ts)
+    found = {tuple(r)[:2]: tuple(r)[2:] for r in sessions.session_spans(df).collect()}
+    assert found == {k: (min(v), max(v), len(v)) for k, v in wanted.items()}
+
+
 def test_events_are_not_shuffled_by_user_alone(spark, events):
     df = spark.createDataFrame(events, "event_id bigint, uid string, access_time_ms bigint")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from footfall.operators import reports
 from footfall.operators.parse import enrich
-from footfall.operators.sessions import session_spans
+from footfall.operators.sessions import stream_session_spans
 from footfall.operators.visits import visit_grain
+from footfall.plans.flow import publish_flow
 from footfall.schemas import IP_RULES, REGION_COLUMNS
 from footfall.sinks import land_stream
 from footfall.sources import read_landed, stream_text_dir
@@ -112,6 +113,10 @@ def test_a_new_checkpoint_starts_again(spark, folder, rules):
         stream = stream_text_dir(spark, path)
         stream_location_flow(stream, rules, table, checkpoint, state_partitions=2).awaitTermination()
     assert _found(spark, table) == _expected(spark, other, rules)
+    publish_flow(spark, table, folder("out"))
+    report = spark.read.parquet(folder("out") + "/stats_location_flow")
+    assert report.count() == read_flow(spark, table).count()
+    assert report.where("location_dimension_id is null or date_dimension_id is null").isEmpty()
 
 
 def test_changes_do_not_need_an_increasing_clock(spark):
@@ -202,7 +207,7 @@ def test_session_spans_as_a_stream(spark, folder):
     events = stream_text_dir(spark, folder("in"), 1).select(
         F.lit("u").alias("uid"), F.timestamp_seconds(F.col("value").cast("int")).alias("event_ts")
     )
-    spans = session_spans(events.withWatermark("event_ts", "10 seconds"))
+    spans = stream_session_spans(events.withWatermark("event_ts", "10 seconds"))
     writer = spans.writeStream.format("parquet").option("path", folder("out"))
     writer.option("checkpointLocation", folder("cp")).trigger(
         availableNow=True
