@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall import functions as fn
@@ -121,13 +121,8 @@ def param_overrides(spark, sf_dir):
 
 @query
 def parse_counts(spark, sf_dir):
-    """Lines read, lines that are no record, and records left, by one pass."""
-    counts = Observation("parse_counts")
-    kept = parse.drop_unparsed(inputs.lines(spark, sf_dir), counts)
-    kept.write.format("noop").mode("overwrite").save()
-    row = counts.get
-    names = ("n_input", "n_filtered", "n_incomplete")
-    return spark.range(1).select(*[F.lit(row[n]).cast("bigint").alias(n) for n in names])
+    """Lines read, lines that are no record, and records that cannot be stored."""
+    return parse.judge_lines(inputs.lines(spark, sf_dir)).agg(*parse.line_counts())
 
 
 @query

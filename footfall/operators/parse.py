@@ -22,6 +22,9 @@ from footfall.schemas import (
     REGION_COLUMNS,
 )
 
+# The first and last millisecond a date of four digits can hold.
+FIRST_MS, LAST_MS = -62135596800000, 253402300799999
+
 
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a column that is computed once per row.
@@ -56,24 +59,29 @@ def parse_log(lines: DataFrame, line: str = "value") -> DataFrame:
     return _named_fields(_split_lines(lines, line).where(IS_RECORD), line)
 
 
+def judge_lines(lines: DataFrame, line: str = "value") -> DataFrame:
+    """All lines with their fields and parameters, and two marks: ``is_record`` where there
+    are four fields, ``is_whole`` where the record can be stored."""
+    split = _split_lines(lines, line).withColumn("is_record", F.expr(IS_RECORD))
+    return _named_fields(split, line).withColumn("is_whole", is_complete())
+
+
+def line_counts() -> list[Column]:
+    """Aggregates over judged lines: read, no record, and record that cannot be stored."""
+    return [
+        F.count(F.lit(1)).alias("n_input"),
+        F.count_if(~F.col("is_record")).alias("n_filtered"),
+        F.count_if(F.col("is_record") & ~F.col("is_whole")).alias("n_incomplete"),
+    ]
+
+
 def drop_unparsed(lines: DataFrame, counts: Observation, line: str = "value") -> DataFrame:
     """:func:`parse_log` and :func:`complete_records`, with counts of what each drops.
 
-    The counts ``n_input``, ``n_filtered`` (no record) and ``n_incomplete`` (no usable uid,
-    event or time) are ready once an action has run. A retried task does not count twice.
+    The counts are ready once an action has run. A retried task does not count twice.
     """
-    split = _split_lines(lines, line).withColumn("_ok", F.expr(IS_RECORD))
-    judged = _named_fields(split, line).withColumn("_whole", is_complete())
-    return (
-        judged.observe(
-            counts,
-            F.count(F.lit(1)).alias("n_input"),
-            F.count_if(~F.col("_ok")).alias("n_filtered"),
-            F.count_if(F.col("_ok") & ~F.col("_whole")).alias("n_incomplete"),
-        )
-        .where("_ok and _whole")
-        .drop("_ok", "_whole")
-    )
+    judged = judge_lines(lines, line).observe(counts, *line_counts())
+    return judged.where("is_record and is_whole").drop("is_record", "is_whole")
 
 
 def effective(name: str, derived: Column | str | None = None) -> Column:
@@ -83,11 +91,13 @@ def effective(name: str, derived: Column | str | None = None) -> Column:
 
 
 def is_complete() -> Column:
-    """Whether a record can be stored: it needs a uid, an event and a time in milliseconds."""
+    """Whether a record can be stored: it needs a uid, an event and a time in milliseconds
+    that lies in the years 1 to 9999."""
+    ms = effective("access_time", "access_time").try_cast("bigint")
     return (
         effective("uid").isNotNull()
         & effective("en").isNotNull()
-        & effective("access_time", "access_time").try_cast("bigint").isNotNull()
+        & F.coalesce(ms.between(FIRST_MS, LAST_MS), F.lit(False))
     )
 
 

@@ -102,11 +102,15 @@ def _newest(spark: SparkSession, folder: str) -> int | None:
 
 
 def save_dims(spark: SparkSession, dims: dict[str, DataFrame], root: str) -> None:
-    """Write a new version of each dimension; readers keep the one they have."""
+    """Write a new version of each dimension and keep the one before, which may be in use.
+
+    Only one job at a time may extend the dimensions.
+    """
     for name, dim in dims.items():
-        version = _newest(spark, f"{root}/{name}")
-        target = f"{root}/{name}/version={0 if version is None else version + 1}"
-        dim.write.mode("overwrite").parquet(target)
+        newest = _newest(spark, f"{root}/{name}")
+        version = 0 if newest is None else newest + 1
+        dim.write.mode("overwrite").parquet(f"{root}/{name}/version={version}")
+        storage.remove(spark, f"{root}/{name}/version={version - 2}")
 
 
 def run_daily(spark: SparkSession, table: str, out: str, day: date) -> None:

@@ -59,12 +59,13 @@ def test_counts(spark):
         f"1.0.1.0|{DAY}|h|/l?uid=u",
         f"1.0.1.0|{DAY}|h|/l?en=e_l",
         "1.0.1.0|yesterday|h|/l?uid=u&en=e_l",
+        "1.0.1.0|9223372036854775807|h|/l?uid=u&en=e_l",
         f"1.0.1.0|later|h|/l?uid=u&en=e_l&access_time={DAY}",
     )
     counts = Observation("counts")
     kept = enrich(lines, _rules(spark), counts)
     assert kept.count() == 2
-    assert counts.get == {"n_input": 7, "n_filtered": 2, "n_incomplete": 3}
+    assert counts.get == {"n_input": 8, "n_filtered": 2, "n_incomplete": 4}
     assert enrich(lines, _rules(spark)).count() == 2
 
 
