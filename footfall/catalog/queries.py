@@ -426,7 +426,8 @@ def user_agent_platforms(spark, sf_dir):
 @query
 def query_strings(spark, sf_dir):
     events = inputs.tracked_events(spark, sf_dir)
-    sent = inputs.params_of(events, tt=F.concat(F.lit("it's (a) day~ "), F.col("dt").cast("string")))
+    title = F.concat(F.lit("it's (a) day~ "), F.col("dt").cast("string"))
+    sent = inputs.params_of(events, tt=title)
     return events.select("event_id", fn.build_query_string(sent).alias("text"))
 
 

@@ -56,14 +56,6 @@ IP_RULES = T.StructType(
     ]
 )
 
-# Rows behind the SQL surface: the product views of each area.
-PRODUCT_VIEW = T.StructType(
-    [
-        T.StructField(name, T.StringType(), nullable=False)
-        for name in ("date", *REGION_COLUMNS, "product_id")
-    ]
-)
-
 DIM_DATE = T.StructType(
     [
         T.StructField("id", T.LongType()),

@@ -5,6 +5,7 @@ from footfall.sinks.streams import console, land_stream
 from footfall.sinks.tables import (
     merge_cells,
     merge_partitions,
+    merge_repeats,
     replace_day,
     upsert,
     write_event_log,
@@ -16,6 +17,7 @@ __all__ = [
     "land_stream",
     "merge_cells",
     "merge_partitions",
+    "merge_repeats",
     "replace_day",
     "upsert",
     "write_event_log",

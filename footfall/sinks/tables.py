@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from footfall import storage
 from footfall.functions import day_of
+from footfall.operators.sizes import BROADCAST_ROWS, fits
 from footfall.schemas import EVENT_LOG, KNOWN_CELLS
 
 Merge = Callable[[DataFrame | None, DataFrame], DataFrame]
@@ -146,6 +147,30 @@ def merge_cells(records: DataFrame, order: str = "seq") -> DataFrame:
     )
 
 
+def merge_repeats(
+    records: DataFrame, order: str = "seq", broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """:func:`merge_cells`, but records whose key does not repeat are passed on where they are.
+
+    Only a hash of each key is shuffled to find the repeated ones. As long as these are few
+    they are broadcast, and only their records are shuffled and merged; otherwise all are.
+    Two keys with the same hash are merged too, each with itself. ``records`` should be a
+    stored table, since it is read more than once.
+    """
+    code = F.xxhash64("row_key")
+    repeated = (
+        records.groupBy(code.alias("_code"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where("_n > 1")
+        .select("_code", F.lit(True).alias("_repeats"))
+    )
+    if not fits(repeated, broadcast_rows):
+        return merge_cells(records, order)
+    marked = records.join(F.broadcast(repeated), code == F.col("_code"), "left")
+    alone = marked.where(F.col("_repeats").isNull()).select(*EVENT_LOG.names)
+    return alone.unionByName(merge_cells(marked.where("_repeats"), order))
+
+
 def in_read_order(records: DataFrame) -> DataFrame:
     """Add ``seq``: the order of the scan, by partition and then by position in it."""
     return records.withColumn("seq", F.monotonically_increasing_id())
@@ -154,15 +179,21 @@ def in_read_order(records: DataFrame) -> DataFrame:
 def write_event_log(records: DataFrame, path: str, staging: str, order: str = "seq") -> None:
     """Upsert records by row key into the event table.
 
-    The records are merged among themselves first, in ``order``. Only days the table holds
-    already are merged once more, with what is stored there counting as earlier; so a few
-    late lines of the day before do not cost that day its other events, and a new day is
-    written just once.
+    The records are stored in staging, so that lines are parsed once, and merged among
+    themselves in ``order``. Only days the table holds already are merged once more, with
+    what is stored there counting as earlier; so a few late lines of the day before do not
+    cost that day its other events.
     """
 
     def merge(old: DataFrame, new: DataFrame) -> DataFrame:
-        return merge_cells(
+        return merge_repeats(
             old.withColumn(order, F.lit(0)).unionByName(new.withColumn(order, F.lit(1))), order
         )
 
-    merge_partitions(merge_cells(records, order), path, merge, staging)
+    spark, parsed = records.sparkSession, f"{staging}/parsed"
+    columns = [*[c for c in EVENT_LOG.names if c != "dt"], order, "dt"]
+    placed = records.select(*columns)
+    placed.write.mode("overwrite").parquet(parsed)
+    stored = spark.read.schema(placed.schema).parquet(parsed)
+    merge_partitions(merge_repeats(stored, order), path, merge, f"{staging}/merge")
+    storage.remove(spark, staging)

@@ -34,7 +34,8 @@ def test_matches_brute_force(spark, broadcast_rows):
     pick = random.Random(2)
     numbers = [n for a, b in spans for n in (a - 1, a, b, b + 1) if 0 <= n < 2**32]
     numbers += [pick.randrange(2**32) for _ in range(200)]
-    logs = spark.createDataFrame([(_dotted(n), str(i)) for i, n in enumerate(numbers)], "ip string, i string")
+    addresses = [(_dotted(n), str(i)) for i, n in enumerate(numbers)]
+    logs = spark.createDataFrame(addresses, "ip string, i string")
     out = ip_region_join(logs, _rules(spark, *spans), broadcast_rows=broadcast_rows)
     found = {r.i: r.country for r in out.collect()}
     assert len(found) == len(numbers)
@@ -49,7 +50,8 @@ def test_counts_bucket_rows(spark):
 
 
 @pytest.mark.parametrize(
-    "spans", [[(0, 10), (10, 20)], [(0, 2**20), (500, 600)], [(5, 5), (5, 5)], [(0, 2**32)], [(-1, 5)]]
+    "spans",
+    [[(0, 10), (10, 20)], [(0, 2**20), (500, 600)], [(5, 5), (5, 5)], [(0, 2**32)], [(-1, 5)]],
 )
 def test_bad_rules(spark, spans):
     with pytest.raises(BadRules):

@@ -56,10 +56,11 @@ def test_load_and_report(spark, folder):
     }
     assert {r.calendar: r.id for r in dims["date"].collect()} == {"2024-01-01": 1, "2024-01-02": 2}
     assert {r.platform_name for r in dims["platform"].collect()} == {"all", "ios", "pc"}
-    users = rows("stats_user").join(dims["platform"].withColumnRenamed("id", "platform_dimension_id"), "platform_dimension_id")
+    names = {r.id: r.platform_name for r in dims["platform"].collect()}
+    measures = ("active_users", "new_install_users", "session_count", "session_length")
     found = {
-        (r.created, r.platform_name): (r.active_users, r.new_install_users, r.session_count, r.session_length)
-        for r in users.collect()
+        (r.created, names[r.platform_dimension_id]): tuple(r[m] for m in measures)
+        for r in rows("stats_user").collect()
     }
     assert found == {
         ("2024-01-01", "all"): (2, 1, 2, 1),

@@ -19,9 +19,8 @@ def _rules(spark):
 
 
 def test_lines_need_four_fields(spark):
-    lines = _lines(
-        spark, "", "   ", "a|b|c|", "a|b|c", "1.0.1.1|5|x|/l?a=1", "1.0.1.1|5||/l|", "a|b|c|d|e", "|||x"
-    )
+    dropped = ("", "   ", "a|b|c|", "a|b|c", "a|b|c|d|e")
+    lines = _lines(spark, *dropped, "1.0.1.1|5|x|/l?a=1", "1.0.1.1|5||/l|", "|||x")
     rows = parse.parse_log(lines).select("ip", "access_time", "request", "params").collect()
     assert sorted(tuple(r)[:3] for r in rows) == [
         ("", "", "x"),

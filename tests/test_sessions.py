@@ -31,7 +31,7 @@ def events():
     out, at = [], defaultdict(int)
     for i in range(3000):
         # One user has a third of all events.
-        user = pick.choice(["hot", *[f"u{j}" for j in range(2)]]) if i % 2 else f"u{pick.randrange(40)}"
+        user = "hot" if i % 3 == 0 else f"u{pick.randrange(40)}"
         at[user] += pick.choice([0, 1, 5000, GAP, GAP + 1, GAP, 10**6, 3 * 10**6])
         out.append((i, user, at[user]))
     pick.shuffle(out)

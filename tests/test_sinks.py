@@ -9,6 +9,7 @@ from footfall.sinks import (
     jdbc_write_options,
     merge_cells,
     merge_partitions,
+    merge_repeats,
     replace_day,
     upsert,
     write_event_log,
@@ -64,6 +65,19 @@ def test_merge_cells(spark):
     assert out["b"] == {**t, "uid": ""}
 
 
+@pytest.mark.parametrize("broadcast_rows", [10**6, 1])
+def test_merge_repeats(spark, broadcast_rows):
+    rows = [
+        (f"k{i % 40}", i, {"access_time": str(MS), f"p{i % 7}": str(i), "uid": str(i)})
+        for i in range(60)
+    ]
+    records = _records(spark, *rows)
+    wanted = {r.row_key: _cells(r) for r in merge_cells(records).collect()}
+    out = merge_repeats(records, broadcast_rows=broadcast_rows).collect()
+    assert len(out) == 40 and {r.row_key: _cells(r) for r in out} == wanted
+    assert wanted["k3"] == {"access_time": str(MS), "p3": "3", "p1": "43", "uid": "43"}
+
+
 def test_merge_cells_with_one_hot_key(spark):
     rows = [("hot", i, {"access_time": str(MS), f"p{i % 3}": str(i)}) for i in range(3000)]
     out = merge_cells(_records(spark, *rows)).collect()
@@ -170,9 +184,12 @@ def test_read_ip_rules(spark, folder):
 
 
 def test_jdbc_options():
-    options = jdbc_options("jdbc:x", "select * from t where a = ? and b = '?' and c = ?", ["o'b", 3])
+    text = "select * from t where a = ? and b = '?' and c = ?"
+    options = jdbc_options("jdbc:x", text, ["o'b", 3])
     assert options["query"] == "select * from t where a = 'o''b' and b = '?' and c = 3"
-    split = jdbc_options("jdbc:x", "select 1", partition_column="id", lower=0, upper=9, partitions=3)
+    split = jdbc_options(
+        "jdbc:x", "select 1", partition_column="id", lower=0, upper=9, partitions=3
+    )
     assert split["dbtable"] == "(select 1) q" and split["numPartitions"] == "3"
     for params in ([], [1, 2]):
         with pytest.raises(ValueError):

@@ -111,7 +111,8 @@ def test_a_new_checkpoint_starts_again(spark, folder, rules):
     _write(spark, other, _lines(1, 50) + _lines(2, 50))
     for path, checkpoint in ((source, folder("c1")), (other, folder("c2"))):
         stream = stream_text_dir(spark, path)
-        stream_location_flow(stream, rules, table, checkpoint, state_partitions=2).awaitTermination()
+        query = stream_location_flow(stream, rules, table, checkpoint, state_partitions=2)
+        query.awaitTermination()
     assert _found(spark, table) == _expected(spark, other, rules)
     publish_flow(spark, table, folder("out"))
     report = spark.read.parquet(folder("out") + "/stats_location_flow")
