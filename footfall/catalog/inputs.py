@@ -140,7 +140,10 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same records without the way over text: what the reports find in the event table."""
+    """The same records without the way over text: what the reports find in the event table.
+
+    Events whose line lacks a field never get there.
+    """
     events = tracked_events(spark, sf_dir).where(F.col("event_id") % 97 != 0)
     named = events.select(
         "ip",
