@@ -57,31 +57,24 @@ def running_total(
 
     The order is (``bucket``, ``order``). Only rows of one bucket are sorted together; the sums
     of whole buckets are added up in a second window that sees one row per bucket. A key with a
-    third of all rows is thus spread over as many tasks as it has buckets. ``bucket`` must not
-    be null. Rows equal in ``keys``, ``bucket`` and ``order`` are interchangeable.
+    third of all rows is thus spread over as many tasks as it has buckets. ``keys`` and
+    ``bucket`` must not be null. Rows equal in all of these are interchangeable.
     """
     keys = list(keys)
-    same = [F.col(f"b.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, bucket]]
-    sums = df.groupBy(*keys, bucket).agg(F.sum(amount).alias("_sum"))
-    before = Window.partitionBy(*keys).orderBy(bucket)
-    starts = sums.withColumn(
-        "_start",
-        F.coalesce(
-            F.sum("_sum").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ),
-    ).drop("_sum")
-    inside = Window.partitionBy(*keys, bucket).orderBy(*order)
-    rows = df.withColumn(
-        into,
-        F.coalesce(
-            F.sum(amount).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ),
+    earlier = (Window.unboundedPreceding, -1)
+    start = fresh(df, "bucket_start")
+    starts = (
+        df.groupBy(*keys, bucket)
+        .agg(F.sum(amount).alias(start))
+        .withColumn(
+            start,
+            F.sum(start).over(Window.partitionBy(*keys).orderBy(bucket).rowsBetween(*earlier)),
+        )
     )
-    condition = same[0]
-    for more in same[1:]:
-        condition = condition & more
-    joined = rows.alias("r").join(starts.alias("b"), condition)
-    return joined.select(
-        *[F.col(f"r.{c}") for c in rows.columns if c != into],
-        (F.col(f"r.{into}") + F.col("b._start")).alias(into),
+    inside = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(*earlier)
+    rows = df.withColumn(into, F.sum(amount).over(inside))
+    return (
+        rows.join(starts, [*keys, bucket])
+        .withColumn(into, F.coalesce(into, F.lit(0)) + F.coalesce(start, F.lit(0)))
+        .select(*[quoted(c) for c in df.columns], into)
     )

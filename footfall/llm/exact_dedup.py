@@ -42,7 +42,7 @@ def text_groups(
     """
     text = normalised(text_col)
     rows = docs.select(
-        F.col(id_col).alias("id"),
+        F.col(quoted(id_col)).alias("id"),
         F.monotonically_increasing_id().alias("row"),
         text.alias("text"),
     ).select(

@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm.common import table
+from footfall.llm.common import table, text_or_empty
 from footfall.llm.exact_dedup import exact_dedup
+from footfall.llm.mixing import BLOCK_TOKENS, mix
+from footfall.llm.sharding import even_tree, grown, put_in_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+# No source is passed over more than twice as often as another.
+MAX_REPEATS = 2
+
 
 def query(function):
     QUERIES[function.__name__] = function
@@ -39,3 +44,77 @@ SELECT doc_id,
        sha256(x) AS text_sha256
 FROM t
 """
+
+
+@query
+def op5_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = text_or_empty("text")
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("key").alias("law"),
+    )
+    tree = even_tree(8)
+    return put_in_shards(rows, tree, next_tree=grown(tree))
+
+
+@query
+def op1_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    draws = mix(table(spark, sf_dir, "documents"), max_repeats=MAX_REPEATS)
+    return draws.select(
+        F.col("id").alias("doc_id"), "source", "tokens", "epoch", "block", "slot", "budget"
+    )
+
+
+# The bisection runs over the same multiples of 2 ** -21.
+ORACLE_SQL["op1_temperature_mix"] = rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, source, struct_pack(name := source) AS s,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 AS tokens
+  FROM documents
+), totals AS (
+  SELECT s, sum(tokens)::BIGINT AS total FROM t GROUP BY s
+), shares AS (
+  SELECT s, total, total / sum(total) OVER () AS p FROM totals
+), b(low, high) AS (
+  SELECT -1::BIGINT, 2097152::BIGINT
+  UNION ALL
+  SELECT CASE WHEN ok THEN low ELSE mid END, CASE WHEN ok THEN mid ELSE high END
+  FROM (
+    SELECT low, high, (low + high) // 2 AS mid,
+           (SELECT max(pow(p, ((low + high) // 2) / 2097152.0::DOUBLE) / p)
+                   <= {MAX_REPEATS} * min(pow(p, ((low + high) // 2) / 2097152.0::DOUBLE) / p)
+            FROM shares) AS ok
+    FROM b WHERE high - low > 1
+  )
+), e AS (
+  SELECT min(high) / 2097152.0::DOUBLE AS power FROM b
+), w AS (
+  SELECT s, total, pow(p, power) / sum(pow(p, power)) OVER () AS weight FROM shares, e
+), g AS (
+  SELECT s, total, greatest(total, floor(weight * max(total / weight) OVER ())::BIGINT) AS budget
+  FROM w
+), n AS (
+  SELECT greatest(1, ceil(sum(budget) / {BLOCK_TOKENS}.0::DOUBLE))::BIGINT AS blocks FROM g
+), d AS (
+  SELECT doc_id, source, t.s, tokens, total, budget, epoch,
+         greatest(1, ceil(budget / blocks::DOUBLE))::BIGINT AS per_block,
+         md5('0:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')) AS key
+  FROM t JOIN g ON t.s IS NOT DISTINCT FROM g.s, n,
+       UNNEST(range(0, ((budget + total - 1) // total)::BIGINT)) AS u(epoch)
+), placed AS (
+  SELECT *, coalesce(sum(tokens) OVER (
+    PARTITION BY s, epoch ORDER BY key, doc_id NULLS FIRST, tokens
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM d
+), cut AS (
+  SELECT *, (epoch * total + start) // per_block AS block
+  FROM placed WHERE epoch * total + start < budget
+)
+SELECT doc_id, source, tokens, epoch, block,
+       row_number() OVER (PARTITION BY block ORDER BY key, source, doc_id NULLS FIRST, tokens) - 1
+         AS slot,
+       budget
+FROM cut
+"""
