@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.llm.bpe import decode, encode
 from footfall.llm.common import table, text_or_empty
 from footfall.llm.exact_dedup import exact_dedup
 from footfall.llm.mixing import BLOCK_TOKENS, mix
@@ -15,6 +17,8 @@ from footfall.llm.sharding import even_tree, grown, put_in_shards
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
 # No source is passed over more than twice as often as another.
 MAX_REPEATS = 2
 
@@ -118,3 +122,15 @@ SELECT doc_id, source, tokens, epoch, block,
        budget
 FROM cut
 """
+
+
+@query
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = encode(docs, BPE_RANKS, packed=True).drop("text")
+    return decode(encoded, BPE_RANKS).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
