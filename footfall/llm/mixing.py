@@ -20,7 +20,7 @@ from footfall.llm.common import WORD, fresh, quoted, running_total, stored, text
 #: The exponent is a multiple of 2 ** -(BITS * ROUNDS).
 BITS, ROUNDS = 7, 3
 BLOCK_TOKENS = 1 << 18
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 2_000
 
 
 def word_tokens(text: Column | str = "text") -> Column:

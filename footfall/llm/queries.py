@@ -12,6 +12,7 @@ from footfall.llm.bpe import decode, encode
 from footfall.llm.common import table, text_or_empty
 from footfall.llm.exact_dedup import exact_dedup
 from footfall.llm.mixing import BLOCK_TOKENS, mix
+from footfall.llm.pii import BASE_KINDS, find_pii
 from footfall.llm.sharding import even_tree, grown, put_in_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +135,25 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("packed", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_pii(docs, keep_text=False)
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
+
+    def joined(spans):
+        one = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+        return F.array_join(F.transform(spans, one), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(kind).alias(f"n_{kind}") for kind in BASE_KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )

@@ -21,7 +21,7 @@ from footfall.llm.common import fresh, quoted, running_total, stored
 Tree = Mapping[str, Mapping[str, Mapping[int, float]]]
 
 #: Rows that are numbered in one sort, on average.
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 2_000
 
 
 def even_tree(shards: int, racks: int = 2, per_rack: int = 2) -> dict:
