@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from footfall.llm.bpe import decode, encode
 from footfall.llm.common import table, text_or_empty
 from footfall.llm.exact_dedup import exact_dedup
+from footfall.llm.minhash import near_duplicates
 from footfall.llm.mixing import BLOCK_TOKENS, mix
 from footfall.llm.pii import BASE_KINDS, find_pii
 from footfall.llm.sharding import even_tree, grown, put_in_shards
@@ -157,3 +158,14 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), words=2)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_shingles",
+        "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
