@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from footfall.llm.bpe import decode, encode
 from footfall.llm.common import table, text_or_empty
 from footfall.llm.exact_dedup import exact_dedup
+from footfall.llm.langid import held_out, predict, train
 from footfall.llm.minhash import near_duplicates
 from footfall.llm.mixing import BLOCK_TOKENS, mix
 from footfall.llm.pii import BASE_KINDS, find_pii
@@ -169,3 +170,13 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = docs.filter(docs.doc_id.isNotNull() & ~held_out())
+    found = predict(docs.select("doc_id", "text"), train(known))
+    return found.select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
