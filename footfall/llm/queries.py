@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.llm.ann import nearest
 from footfall.llm.bpe import decode, encode
 from footfall.llm.common import table, text_or_empty
 from footfall.llm.exact_dedup import exact_dedup
@@ -180,3 +181,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
     )
+
+
+@query
+def op7_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
