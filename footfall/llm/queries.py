@@ -17,6 +17,7 @@ from footfall.llm.minhash import near_duplicates
 from footfall.llm.mixing import BLOCK_TOKENS, mix
 from footfall.llm.pii import BASE_KINDS, find_pii
 from footfall.llm.sharding import even_tree, grown, put_in_shards
+from footfall.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -186,3 +187,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op4_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, BPE_RANKS, public_tokenizers.PATTERN, keep_text=False)
