@@ -13,6 +13,7 @@ from footfall.llm.bpe import decode, encode
 from footfall.llm.common import table, text_or_empty
 from footfall.llm.exact_dedup import exact_dedup
 from footfall.llm.langid import held_out, predict, train
+from footfall.llm.license_scan import TEMPLATES, THRESHOLD, scan_licenses
 from footfall.llm.minhash import near_duplicates
 from footfall.llm.mixing import BLOCK_TOKENS, mix
 from footfall.llm.pii import BASE_KINDS, find_pii
@@ -193,3 +194,93 @@ def op7_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs, BPE_RANKS, public_tokenizers.PATTERN, keep_text=False)
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: a folder per source, and in it one per hundred ids."""
+    folder = F.expr("CAST(doc_id DIV 100 AS STRING)")
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    files = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat_ws("/", "source", folder, name).alias("path"), "text"
+    )
+    return scan_licenses(files)
+
+
+def _license_sql() -> str:
+    quote = lambda text: "'" + text.replace("'", "''") + "'"
+    values = ", ".join(
+        f"({i}, {quote(name)}, {quote(notice)})" for i, (name, notice) in enumerate(TEMPLATES)
+    )
+    words = "list_filter(string_split_regex(lower({}), '[^a-z0-9]+'), lambda x: x <> '')"
+    return rf"""
+WITH templates(template, license, notice) AS (VALUES {values}),
+notice AS (
+  SELECT template, license, UNNEST({words.format('notice')}) AS term FROM templates
+), files AS (
+  SELECT row_number() OVER () AS f, doc_id,
+         concat_ws('/', source, (doc_id // 100)::VARCHAR, doc_id::VARCHAR || '.txt') AS path,
+         coalesce(text, '') AS text
+  FROM documents
+), df AS (
+  SELECT term, count(*) AS n
+  FROM (SELECT UNNEST(list_distinct({words.format('text')})) AS term FROM files)
+  WHERE term IN (SELECT term FROM notice) GROUP BY term
+), total AS (
+  SELECT count(*) AS total FROM files
+), idf AS (
+  SELECT term, ln((1 + total) / (1 + coalesce(n, 0))) + 1 AS idf
+  FROM (SELECT DISTINCT term FROM notice) LEFT JOIN df USING (term), total
+), vector AS (
+  SELECT template, license, term, count(*) * any_value(idf) AS v
+  FROM notice JOIN idf USING (term) GROUP BY template, license, term
+), length AS (
+  SELECT template, sqrt(sum(v * v)) AS l FROM vector GROUP BY template
+), passage AS (
+  SELECT f, -1 AS line, text AS passage FROM files
+  UNION ALL
+  SELECT f, UNNEST(range(0, len(string_split(text, chr(10)))))::INTEGER,
+         UNNEST(string_split(text, chr(10)))
+  FROM files
+), word AS (
+  SELECT f, line, term, count(*) AS n
+  FROM (SELECT f, line, UNNEST({words.format('passage')}) AS term FROM passage)
+  GROUP BY f, line, term
+), weighted AS (
+  SELECT f, line, term, n * coalesce(idf, ln(1 + total) + 1) AS w
+  FROM word LEFT JOIN idf USING (term), total
+), size AS (
+  SELECT f, line, sqrt(sum(w * w)) AS l FROM weighted GROUP BY f, line
+), score AS (
+  SELECT f, line, template, any_value(license) AS license,
+         round(sum(w * v) / (any_value(size.l) * any_value(length.l)), 6) AS s
+  FROM weighted JOIN vector USING (term) JOIN size USING (f, line) JOIN length USING (template)
+  GROUP BY f, line, template
+), top AS (
+  SELECT f, line, s, license FROM score WHERE s >= {THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY f, line ORDER BY s DESC, template) = 1
+), best AS (
+  SELECT f, line, s, license FROM top
+  QUALIFY row_number() OVER (PARTITION BY f ORDER BY s DESC, line) = 1
+), holder AS (
+  SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, license
+  FROM top JOIN files USING (f) WHERE line = -1
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY s DESC, license DESC) = 1
+), up AS (
+  SELECT f, path, UNNEST(range(0, len(string_split(path, '/')))) AS depth
+  FROM files WHERE f NOT IN (SELECT f FROM best)
+), inherited AS (
+  SELECT f, license
+  FROM (SELECT f, depth, array_to_string(string_split(path, '/')[1:depth], '/') AS dir FROM up)
+       JOIN holder USING (dir)
+  QUALIFY row_number() OVER (PARTITION BY f ORDER BY depth DESC) = 1
+)
+SELECT doc_id, path, coalesce(b.license, i.license) AS license, b.s AS similarity,
+       CASE WHEN b.line >= 0 THEN b.line END AS line,
+       CASE WHEN b.line >= 0 THEN 'header' WHEN b.line < 0 THEN 'file'
+            WHEN i.f IS NOT NULL THEN 'directory' END AS origin
+FROM files LEFT JOIN best b USING (f) LEFT JOIN inherited i USING (f)
+"""
+
+
+ORACLE_SQL["op9_license_scan"] = _license_sql()
