@@ -246,19 +246,25 @@ def train(
     return Model(languages, idf, weights, temperature)
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``lang_score``, from the whole text alone.
+def predict(
+    docs: DataFrame,
+    model: Model,
+    text_col: str = "text",
+    pred_col: str = "lang_pred",
+    score_col: str = "lang_score",
+) -> DataFrame:
+    """``docs`` with ``pred_col`` and ``score_col``, from the whole text alone.
 
     A text that is null or has no letter is ``und`` with score 0. The score is the calibrated
     probability of the language. Own columns of these names are replaced.
     """
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in ("lang_pred", "lang_score")])
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in (pred_col.lower(), score_col.lower())])
     at = docs.columns.index(text_col)
     schema = T.StructType(
         [
             *docs.schema.fields,
-            T.StructField("lang_pred", T.StringType(), False),
-            T.StructField("lang_score", T.DoubleType(), False),
+            T.StructField(pred_col, T.StringType(), False),
+            T.StructField(score_col, T.DoubleType(), False),
         ]
     )
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers per language
@@ -273,7 +279,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                     pa.array([x[0] for x in found], pa.string()),
                     pa.array([x[1] for x in found], pa.float64()),
                 ],
-                names=[*batch.schema.names, "lang_pred", "lang_score"],
+                names=[*batch.schema.names, pred_col, score_col],
             )
 
     return docs.mapInArrow(run, schema)
