@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import bpe, exact_dedup, langid, minhash, mixing
-from footfall.llm.common import fresh, table
+from footfall.llm.common import fresh, importable, table
 from footfall.session import work_dir
 
 #: The pipeline trains, samples and searches; no SQL gives its rows.
@@ -74,6 +74,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = work_dir(spark, "pipeline-" + name.lower().replace(" ", "-"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm.ann import nearest
 from footfall.llm.bpe import decode, encode
-from footfall.llm.common import table, text_or_empty
+from footfall.llm.common import importable, table, text_or_empty
 from footfall.llm.exact_dedup import exact_dedup
 from footfall.llm.langid import held_out, predict, train
 from footfall.llm.license_scan import TEMPLATES, THRESHOLD, scan_licenses
@@ -30,8 +31,13 @@ MAX_REPEATS = 2
 
 
 def query(function):
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 @query
