@@ -28,8 +28,10 @@ PERCENT = 80
 #: A pair of similarity 0.8 shares none of its bands with probability
 #: (1 - 0.8 ** ROWS) ** BANDS = 1.2e-8; one of similarity 0.3 shares one with 0.04.
 BANDS, ROWS = 60, 6
-#: Star rounds before the rest of a bucket is compared pair by pair.
-STAR_ROUNDS = 3
+#: Star rounds before what is left is settled exactly.
+STAR_ROUNDS = 2
+#: Nodes from which a component is compared as a whole, and shingles of a block of it.
+LARGE, BLOCK_SHINGLES = 16, 1 << 18
 #: Bytes of text that are hashed at a time.
 SLICE_BYTES = 1 << 20
 
@@ -212,10 +214,10 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return counted.selectExpr("a", "b", "common", "sum - common AS all")
 
 
-def _fresh_pairs(pairs: DataFrame, seen: DataFrame) -> DataFrame:
+def _fresh_pairs(pairs: DataFrame, seen: DataFrame | None) -> DataFrame:
     """Distinct unordered pairs that are not among those compared before."""
     ordered = pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
-    return ordered.join(seen.select("a", "b"), ["a", "b"], "left_anti")
+    return ordered if seen is None else ordered.join(seen, ["a", "b"], "left_anti")
 
 
 def linked_nodes(
@@ -224,45 +226,148 @@ def linked_nodes(
     """``node label`` of the components of all links between ``members`` (bucket, node, n).
 
     A link is a pair of one bucket with at least ``percent`` hundredths of its union in common.
-    In each round every bucket that still spans several components picks another hub, and the
-    members outside the hub's component are compared with it. What is then left in different
-    components is compared pair by pair, but for pairs that cannot be links: those whose sizes
-    differ too much, and those whose distances to the bucket's first hub differ by more than
-    the distance of a link (the Jaccard distance obeys the triangle inequality). So no link of a
-    bucket is lost, whatever the hubs are.
+    In each star round every bucket that still spans several components picks a hub, and the
+    members outside the hub's component are compared with it. Two exact steps settle what is
+    left: a node that meets a large component in a bucket is compared with all of it, block by
+    block, where only links leave the task; and nodes of small components are compared pair by
+    pair, but for pairs that cannot be links: those whose sizes differ too much, and those whose
+    distances to the bucket's first hub differ by more than the distance of a link (the Jaccard
+    distance obeys the triangle inequality). So no link of a bucket is lost, whatever the hubs.
     """
     live = members.withColumn("label", F.col("node"))
-    seen = labels = first_hubs = None
-    for turn in range(star_rounds + 1):
-        if turn < star_rounds:
-            # The first hub is the smallest node, which most buckets of a group share.
-            order = F.xxhash64(F.lit(turn), "node") if turn else F.col("node")
-            hubs = live.groupBy("bucket").agg(
-                F.min(F.struct(order.alias("order"), "node", "label")).alias("hub")
-            )
-            hubs = hubs.selectExpr("bucket", "hub.node AS hub", "hub.label AS hub_label")
-            if turn == 0:
-                first_hubs = hubs.select("bucket", "hub")
-            pairs = (
-                live.join(hubs, "bucket")
-                .filter("label <> hub_label")
-                .selectExpr("node AS a", "hub AS b")
-            )
-        else:
-            pairs = _rest(live, first_hubs, seen, percent)
-        if seen is None:
-            pairs = pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
-        else:
-            pairs = _fresh_pairs(pairs, seen)
-        found = stored(compared(pairs, sets), "compared")
+    seen = first_hubs = labels = None
+    for turn in range(star_rounds):
+        # The first hub is the smallest node, which most buckets of a group share.
+        order = F.xxhash64(F.lit(turn), "node") if turn else F.col("node")
+        hubs = live.groupBy("bucket").agg(
+            F.min(F.struct(order.alias("order"), "node", "label")).alias("hub")
+        )
+        hubs = hubs.selectExpr("bucket", "hub.node AS hub", "hub.label AS hub_label")
+        if turn == 0:
+            first_hubs = stored(hubs.select("bucket", "hub"), "hubs")
+        pairs = live.join(hubs, "bucket").filter("label <> hub_label")
+        found = stored(
+            compared(_fresh_pairs(pairs.selectExpr("node AS a", "hub AS b"), seen), sets),
+            "compared",
+        )
         seen = found if seen is None else seen.union(found)
-        links = seen.filter(f"100 * common >= {percent} * all").select("a", "b")
-        labels = components(links)
-        if turn < star_rounds:
-            live = _live(members, labels)
-            if live.isEmpty():
-                break
-    return labels
+        labels = components(_links(seen, percent))
+        live = _live(members, labels)
+        if live.isEmpty():
+            return labels
+    large = stored(
+        labels.groupBy("label").agg(F.count("*").alias("size")).filter(f"size >= {LARGE}"), "large"
+    )
+    live = live.join(large, "label", "left")
+    across = _across(live, labels, large, sets, percent)
+    small = live.filter("size IS NULL")
+    rest = compared(_fresh_pairs(_rest(small, first_hubs, seen, percent), seen), sets)
+    links = _links(seen, percent).union(_links(rest, percent)).union(across)
+    return components(links)
+
+
+def _links(compared_pairs: DataFrame, percent: int) -> DataFrame:
+    return compared_pairs.filter(f"100 * common >= {percent} * all").select("a", "b")
+
+
+def _across(
+    live: DataFrame, labels: DataFrame, large: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """Links (a, b) between large components and the nodes that meet them in a bucket.
+
+    Of two large components the smaller one's nodes are compared with the larger one. Both sides
+    are dealt to blocks of about ``BLOCK_SHINGLES``, so a component of any size is many tasks.
+    """
+    met = live.filter("size IS NOT NULL").selectExpr("bucket", "label AS other", "size AS weight")
+    asking = (
+        live.join(met.distinct(), "bucket")
+        .filter("label <> other AND (size IS NULL OR (size, label) < (weight, other))")
+        .selectExpr("node", "n", "other AS label")
+        .distinct()
+    )
+    asking = stored(asking, "asking")
+    held = labels.join(large, "label").join(
+        sets.select("node", F.size("shingles").alias("n")), "node"
+    )
+
+    def blocks(frame, name):
+        total = F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int")
+        return frame.groupBy("label").agg(F.greatest(F.lit(1), total).alias(name))
+
+    parts = stored(
+        blocks(asking, "q_parts").join(blocks(held, "v_parts"), "label"), "component-blocks"
+    )
+
+    def dealt(frame, own, other):
+        mine = F.pmod(F.xxhash64("node"), F.col(f"{own}_parts")).cast("int")
+        return (
+            frame.select("node", "label")
+            .join(parts, "label")
+            .withColumn(own, mine)
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}_parts") - 1)))
+            .select("node", "label", own, other)
+            .join(sets, "node")
+            .groupBy("label", "v", "q")
+        )
+
+    def compare(members: pa.Table, queries: pa.Table) -> pa.Table:
+        found = linked_pairs(
+            *(
+                x
+                for table in (members, queries)
+                for x in (table.column("node").to_numpy(), _arrays(table.column("shingles")))
+            ),
+            percent,
+        )
+        return pa.table([pa.array(x, pa.int64()) for x in found], ["a", "b"])
+
+    return (
+        dealt(held, "v", "q")
+        .cogroup(dealt(asking, "q", "v"))
+        .applyInArrow(compare, "a long, b long")
+    )
+
+
+def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [
+        part.values.to_numpy(zero_copy_only=False)
+        for chunk in column.chunks
+        for part in (chunk[i] for i in range(len(chunk)))
+    ]
+
+
+def linked_pairs(
+    ids: np.ndarray,
+    sets: list[np.ndarray],
+    query_ids: np.ndarray,
+    queries: list[np.ndarray],
+    percent: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """(query, member) of the links between two blocks of sets.
+
+    The members are an inverted index from shingle to owners, so a query costs what it has in
+    common with them.
+    """
+    none = np.empty(0, np.int64)
+    if not len(ids) or not len(query_ids):
+        return none, none
+    sizes = np.array([len(s) for s in sets])
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    owner = np.repeat(np.arange(len(ids)), sizes)[order]
+    keys, start = np.unique(values[order], return_index=True)
+    end = np.append(start[1:], len(values))
+    left, right = [none], [none]
+    for query_id, query in zip(query_ids, queries, strict=True):
+        at = np.minimum(np.searchsorted(keys, query), len(keys) - 1)
+        at = at[keys[at] == query]
+        count = end[at] - start[at]
+        shift = np.repeat(start[at] - (np.cumsum(count) - count), count)
+        common = np.bincount(owner[shift + np.arange(len(shift))], minlength=len(ids))
+        hit = ids[100 * common >= percent * (sizes + len(query) - common)]
+        left.append(np.full(len(hit), query_id))
+        right.append(hit)
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _live(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -280,19 +385,26 @@ def _live(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _rest(live: DataFrame, hubs: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
-    """The pairs across components that may still be links, by size and distance to the hub."""
+    """The pairs across components that may still be links, by size and distance to the hub.
+
+    A pair comes from the first bucket it shares, so it is made once.
+    """
     known = seen.selectExpr("a AS hub", "b AS node", "common", "all").union(
         seen.selectExpr("b AS hub", "a AS node", "common", "all")
     )
-    placed = (
+    # A node is in one bucket per band at most, so its list is short.
+    shared = live.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
+    placed = stored(
         live.join(hubs, "bucket")
         .join(known, ["hub", "node"], "left")
+        .join(shared, "node")
         .selectExpr(
-            "bucket", "node", "n", "label",
+            "bucket", "node", "n", "label", "buckets",
             "CASE WHEN node = hub THEN 1D ELSE common / all END AS near",
-        )
+        ),
+        "placed",
     )
-    # A member of another bucket's hub may lack its number here; then only sizes decide.
+    # A member that was not compared with this bucket's hub has no distance; then sizes decide.
     reach = (100 - percent) / 100 + 1e-9
     return (
         placed.alias("x")
@@ -300,6 +412,7 @@ def _rest(live: DataFrame, hubs: DataFrame, seen: DataFrame, percent: int) -> Da
         .filter("x.node < y.node AND x.label <> y.label")
         .filter(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
         .filter(f"coalesce(abs(x.near - y.near) <= {reach}, true)")
+        .filter("array_min(array_intersect(x.buckets, y.buckets)) = bucket")
         .selectExpr("x.node AS a", "y.node AS b")
     )
 
