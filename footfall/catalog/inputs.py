@@ -88,6 +88,20 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_lines(tracked_events(spark, sf_dir)).select("value")
 
 
+def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines, where some events also lack their user, their type or a proper time."""
+    events = tracked_events(spark, sf_dir)
+    number = F.col("event_id")
+    broken = F.when(number % 89 == 0, "9" * 17).when(number % 83 == 0, "soon")
+    faulty = events.select(
+        *[c for c in events.columns if c not in ("uid", "en", "access_time_ms")],
+        F.when(number % 101 != 0, F.col("uid")).alias("uid"),
+        F.when(number % 103 != 0, F.col("en")).alias("en"),
+        F.coalesce(broken, F.col("access_time_ms").cast("string")).alias("access_time_ms"),
+    )
+    return log_lines(faulty).select("value")
+
+
 def ip_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four ranges per nation; the last one is missing."""
     nation = table(spark, sf_dir, "nation")
@@ -176,3 +190,22 @@ def write_stream_files(df: DataFrame, path: str) -> int:
     )
     files = [n for n in storage.children(spark, path) if n.startswith("part-")]
     return max(1, -(-len(files) // BATCHES))
+
+
+def write_in_time_order(df: DataFrame, time: str, path: str, files: int = BATCHES) -> None:
+    """Write ``value`` of ``df`` as that many text files that follow each other in time.
+
+    Each file is written by a write of its own, so a file stream meets them in this order.
+    """
+    low, high = df.agg(F.min(time), F.max(time)).first()
+    step = (high - low) // files + 1
+    part = F.call_function("div", F.col(time) - F.lit(low), F.lit(step))
+    for i in range(files):
+        df.where(part == i).select("value").coalesce(1).write.mode("append").text(path)
+
+
+def one_file(spark: SparkSession, folder: str, target: str) -> None:
+    """Move the only data file of a folder to ``target``, and remove the folder."""
+    (name,) = [n for n in storage.children(spark, folder) if n.startswith("part-")]
+    storage.move(spark, f"{folder}/{name}", target)
+    storage.remove(spark, folder)

@@ -48,6 +48,10 @@ ADDRESS = """(number // 16777216) || '.' || (number // 65536 % 256) || '.'
 LINE = f"""{ADDRESS} || '|' || ms || '|'
   || CASE WHEN event_id % 97 <> 0 THEN 'www.example.com|' ELSE '' END || {REQUEST}"""
 
+FAULT = """CASE WHEN event_id % 97 = 0 THEN 'no four fields' WHEN event_id % 101 = 0 THEN 'no uid'
+  WHEN event_id % 103 = 0 THEN 'no event'
+  WHEN event_id % 89 = 0 OR event_id % 83 = 0 THEN 'bad time' END"""
+
 PLATFORMS = "(SELECT pl AS platform, * FROM log UNION ALL SELECT 'all' AS platform, * FROM log)"
 LEVELS = """(
   SELECT country AS l1, 'all' AS l2, 'all' AS l3, * FROM {0}
@@ -241,11 +245,24 @@ FROM log GROUP BY ALL""",
 )
 sql(
     "parse_counts",
-    """
-SELECT count(*) AS n_input, count(*) FILTER (WHERE event_id % 97 = 0) AS n_filtered,
-  CAST(0 AS BIGINT) AS n_incomplete FROM events""",
+    f"""
+SELECT count(*) AS n_input, count(*) FILTER (WHERE {FAULT} = 'no four fields') AS n_filtered,
+  count(*) FILTER (WHERE {FAULT} <> 'no four fields') AS n_incomplete FROM events""",
     None,
 )
+sql(
+    "rejected_lines",
+    f"""
+SELECT {FAULT} AS reason, count(*) AS n, CAST(sum(length(
+    {ADDRESS} || '|' || CASE WHEN event_id % 89 = 0 THEN '{"9" * 17}'
+      WHEN event_id % 83 = 0 THEN 'soon' ELSE CAST(ms AS VARCHAR) END || '|'
+    || CASE WHEN event_id % 97 <> 0 THEN 'www.example.com|' ELSE '' END || '/log.gif?'
+    || concat_ws('&', CASE WHEN event_id % 103 <> 0 THEN 'en=' || en END,
+         CASE WHEN event_id % 101 <> 0 THEN 'uid=' || uid END, 'sid=' || sid, 'pl=' || pl,
+         'pid=' || pid))) AS BIGINT) AS n_chars
+FROM tracked WHERE {FAULT} IS NOT NULL GROUP BY 1""",
+    TRACKED,
+)
 sql(
     "product_views",
     """
@@ -534,3 +551,16 @@ SELECT dt, platform, event_name, CASE WHEN dt = DATE '2024-01-15' THEN -times EL
   AS times FROM ({EVENTS})""",
 )
 sql("landed_lines", f"SELECT {LINE} AS value, count(*) AS n FROM tracked GROUP BY 1", TRACKED)
+VISITORS = TRACKED.replace("CAST(e.user_id AS VARCHAR) AS uid", "CASE WHEN e.event_id % 3 <> 0 THEN CAST(e.user_id AS VARCHAR) END AS uid")
+sql(
+    "sessionized_visitors",
+    f"SELECT event_id, uid, access_time_ms, CASE WHEN uid IS NOT NULL THEN session_no END AS session_no FROM ({SESSIONS})",
+    VISITORS,
+)
+sql(
+    "loaded_files",
+    """
+SELECT load, uid, access_time, 'late-' || load AS b_n
+FROM (SELECT DISTINCT uid, CAST(ms AS VARCHAR) AS access_time FROM log WHERE en = 'e_l'),
+  (VALUES (1), (2)) AS l(load)""",
+)

@@ -14,6 +14,7 @@ from footfall.operators import dims, parse, products, reports, sessions, words
 from footfall.operators.geo import ip_region_join
 from footfall.operators.visits import visit_grain
 from footfall.plans.daily import daily_reports, empty_dims, extend_dims
+from footfall.plans.etl import run_etl
 from footfall.schemas import LOG_COLUMNS, REGION_COLUMNS
 from footfall.session import configure, work_dir
 from footfall.sinks import land_stream, replace_day, upsert, write_event_log
@@ -122,7 +123,16 @@ def param_overrides(spark, sf_dir):
 @query
 def parse_counts(spark, sf_dir):
     """Lines read, lines that are no record, and records that cannot be stored."""
-    return parse.judge_lines(inputs.lines(spark, sf_dir)).agg(*parse.line_counts())
+    return parse.judge_lines(inputs.faulty_lines(spark, sf_dir)).agg(*parse.line_counts())
+
+
+@query
+def rejected_lines(spark, sf_dir):
+    """What is not stored, by reason."""
+    rejected = parse.rejected(inputs.faulty_lines(spark, sf_dir))
+    return rejected.groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("n_chars")
+    )
 
 
 @query
@@ -440,6 +450,17 @@ def sessionized_events(spark, sf_dir):
     return sessions.sessionize(events)
 
 
+@query
+def sessionized_visitors(spark, sf_dir):
+    """The same where a third of the events name no user: those are in no session."""
+    events = inputs.tracked_events(spark, sf_dir).select(
+        "event_id",
+        F.when(F.col("event_id") % 3 != 0, F.col("uid")).alias("uid"),
+        "access_time_ms",
+    )
+    return sessions.sessionize(events)
+
+
 @query
 def session_spans(spark, sf_dir):
     events = inputs.tracked_events(spark, sf_dir).select("uid", "access_time_ms")
@@ -452,17 +473,19 @@ def stream_session_spans(spark, sf_dir):
     source, table, checkpoint = (work_dir(spark, n) for n in ("visits", "spans", "checkpoint"))
     events = inputs.tracked_events(spark, sf_dir)
     line = F.concat_ws("|", "uid", F.col("access_time_ms").cast("string"))
-    at_once = inputs.write_stream_files(events.select(line.alias("value")), source)
+    inputs.write_in_time_order(
+        events.select("access_time_ms", line.alias("value")), "access_time_ms", source
+    )
     end = spark.range(1).select(F.lit("|4102444800000").alias("value"))
     parts = F.split("value", "[|]")
     for last in (False, True):
         if last:
             end.write.mode("append").text(source)
-        visits = stream_text_dir(spark, source, at_once).select(
+        visits = stream_text_dir(spark, source, 1).select(
             parts[0].alias("uid"), F.timestamp_millis(parts[1].cast("bigint")).alias("event_ts")
         )
-        # The files hold the events in no order, so none of them may count as late.
-        spans = sessions.stream_session_spans(visits.withWatermark("event_ts", "400 days"))
+        # The files follow each other in time, so nothing is late for long.
+        spans = sessions.stream_session_spans(visits.withWatermark("event_ts", "5 minutes"))
         with state_settings(spark, spark.sparkContext.defaultParallelism):
             writer = spans.writeStream.format("parquet").option("path", table)
             writer.option("checkpointLocation", checkpoint).trigger(
@@ -505,16 +528,40 @@ def event_log_upsert(spark, sf_dir):
 
 @query
 def replaced_day(spark, sf_dir):
-    """A day's partition written twice holds the second version only."""
+    """A day's partition is replaced by rows read from that very day."""
     path = work_dir(spark, "event_stats")
     stats = reports.event_stats(inputs.records(spark, sf_dir))
     stats.write.partitionBy("dt").parquet(path)
     day = date(2024, 1, 15)
-    of_day = stats.where(F.col("dt") == F.lit(day))
+    table = spark.read.schema(stats.schema).parquet(path).select(*stats.columns)
+    of_day = table.where(F.col("dt") == F.lit(day))
     replace_day(of_day.withColumn("times", -F.col("times")), path, day)
     return spark.read.schema(stats.schema).parquet(path).select(*stats.columns)
 
 
+@query
+def loaded_files(spark, sf_dir):
+    """Two files say different things of the same events; the later file holds, whatever the
+    sizes: the early file repeats its lines for odd days, the late one for even days."""
+    root, path = work_dir(spark, "logs"), work_dir(spark, "event_log")
+    rules, events = work_dir(spark, "rules"), inputs.tracked_events(spark, sf_dir)
+    inputs.rule_lines(inputs.ip_rules(spark, sf_dir)).write.text(rules)
+    few = events.where(F.col("en") == "e_l")
+    for day in (date(2024, 2, 1), date(2024, 2, 2)):
+        for name, copies in (("early", 1 + 9 * (day.day % 2)), ("late", 10 - 9 * (day.day % 2))):
+            lines = inputs.log_lines(few, b_n=F.lit(f"{name}-{day.day}"))
+            lines = lines.select(F.explode(F.array_repeat("value", copies)).alias("value"))
+            at = f"{root}/{day:%Y/%m/%d}/{('1000', '1100')[name == 'late']}"
+            lines.coalesce(1).write.text(at)
+            inputs.one_file(spark, at, f"{at}.log")
+        run_etl(spark, root, rules, f"{path}/{day.day}", day)
+    found = [
+        spark.read.parquet(f"{path}/{n}").select(F.lit(n).alias("load"), "uid", "access_time", "b_n")
+        for n in (1, 2)
+    ]
+    return found[0].union(found[1])
+
+
 @query
 def upserted_flow(spark, sf_dir):
     """The flow of the first events, then brought up to date by that of all events."""

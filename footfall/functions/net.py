@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,21 +8,13 @@ from footfall.functions.text import java_split
 
 
 def ip_to_long(ip: Column | str) -> Column:
-    """The number of a dotted address; null where a part is not a number.
+    """The number of a dotted address; null where any part is not a number.
 
     Parts are not checked against 255, and there may be more or fewer than four: each one
-    shifts the number by eight bits. Eight parts fill it, so only the last eight are read.
+    shifts the number by eight bits, so eight parts fill it and earlier ones fall out.
     """
-    parts = java_split(col(ip), ".")
-
-    def part(from_end: int) -> Column:
-        number = F.try_element_at(parts, F.lit(-1 - from_end)).try_cast("bigint")
-        return F.shiftleft(number, 8 * from_end)
-
-    four = reduce(Column.bitwiseOR, [part(i) for i in range(4)])
-    zero = F.lit(0).cast("bigint")
-    any_count = reduce(
-        Column.bitwiseOR,
-        [F.when(F.size(parts) > i, part(i)).otherwise(zero) for i in range(8)],
+    return F.aggregate(
+        java_split(col(ip), "."),
+        F.lit(0).cast("bigint"),
+        lambda number, part: F.shiftleft(number, 8).bitwiseOR(part.try_cast("bigint")),
     )
-    return F.when(F.size(parts) == 4, four).when(col(ip).isNotNull(), any_count)

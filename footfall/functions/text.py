@@ -13,12 +13,6 @@ NOT_BLANK = r"[^\p{javaWhitespace}]"
 
 # A request with one query part; further question marks are allowed only at its end.
 QUERY_PART = r"^[^?]*[?]([^?]+)[?]*$"
-# One parameter: two parts that are not blank, then at most empty ones.
-PARAMETER = (
-    r"(?<![^&])[^&=]*[^&=\p{javaWhitespace}][^&=]*"
-    r"=[^&=]*[^&=\p{javaWhitespace}][^&=]*=*(?![^&])"
-)
-
 # Characters a browser leaves alone when it encodes a component, but which
 # form encoding escapes.
 BROWSER_UNESCAPED = (
@@ -64,12 +58,14 @@ def parse_query_string(request: Column | str) -> Column:
     are those whose escapes are broken.
     """
     query = F.regexp_extract(F.coalesce(col(request), F.lit("")), QUERY_PART, 1)
-    found = F.regexp_extract_all(query, F.lit(PARAMETER), F.lit(0))
+    parts = F.transform(F.split(query, "&"), lambda p: java_split(p, "="))
+    whole = F.filter(
+        parts, lambda p: (F.size(p) == 2) & is_not_blank(p[0]) & is_not_blank(F.get(p, F.lit(1)))
+    )
     pairs = F.transform(
-        found,
+        whole,
         lambda p: F.struct(
-            F.try_url_decode(F.split_part(p, F.lit("="), F.lit(1))).alias("key"),
-            F.try_url_decode(F.split_part(p, F.lit("="), F.lit(2))).alias("value"),
+            F.try_url_decode(p[0]).alias("key"), F.try_url_decode(p[1]).alias("value")
         ),
     )
     return F.map_from_entries(

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions import date_parts, event_category, event_description
-from footfall.operators.sizes import fits
 from footfall.schemas import (
     ALL,
     DATE_KEYS,
@@ -20,9 +19,6 @@ from footfall.schemas import (
 )
 from footfall.session import work_dir
 
-# Up to so many new keys are numbered by one sort; more are numbered in ranges.
-ONE_SORT_ROWS = 100_000
-
 
 def date_rows(df: DataFrame, day: str = "dt") -> DataFrame:
     """Natural keys of the date dimension for each row."""
@@ -54,16 +50,13 @@ def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, [a[k].eqNullSafe(b[k]) for k in keys])
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], one_sort_rows: int = ONE_SORT_ROWS):
+def number_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add ``_number``: 1, 2, 3 … in the order of the keys, which must be distinct.
 
-    A small frame is numbered by one sort. A larger one is placed in key ranges, which are
-    numbered side by side and shifted by the sizes of the ranges before. The ranges are
-    checkpointed, since their bounds come from a sample that a second run might draw
-    differently.
+    The rows are placed in key ranges, which are numbered side by side and shifted by the
+    sizes of the ranges before. The ranges are checkpointed, since their bounds come from a
+    sample that a second run might draw differently.
     """
-    if fits(df, one_sort_rows):
-        return df.withColumn("_number", F.row_number().over(Window.orderBy(*keys)))
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
@@ -88,12 +81,7 @@ def number_rows(df: DataFrame, keys: Sequence[str], one_sort_rows: int = ONE_SOR
     )
 
 
-def get_or_create_dim(
-    facts: DataFrame,
-    dim: DataFrame,
-    keys: Sequence[str],
-    one_sort_rows: int = ONE_SORT_ROWS,
-) -> DataFrame:
+def get_or_create_dim(facts: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The dimension, extended by the keys of the facts it lacks.
 
     New ids follow the largest old one in key order. A null in a key is a value that is
@@ -102,7 +90,7 @@ def get_or_create_dim(
     wanted = facts.select(*keys).distinct()
     new = wanted.join(dim, _same(wanted, dim, keys), "left_anti")
     largest = dim.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-    numbered = number_rows(new, keys, one_sort_rows)
+    numbered = number_rows(new, keys)
     fresh = numbered.select((F.col("_number") + largest).cast("bigint").alias("id"), *keys)
     return dim.select(F.col("id").cast("bigint").alias("id"), *keys).unionByName(fresh)
 

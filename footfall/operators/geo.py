@@ -10,11 +10,13 @@ Since rules do not overlap, a bucket then holds at most 258 rules and a rule fil
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions import ip_to_long
-from footfall.operators.sizes import BROADCAST_ROWS
+from footfall.operators.sizes import BROADCAST_BYTES
 from footfall.schemas import REGION_COLUMNS, UNKNOWN
 
 BUCKET_BITS = (8, 16, 24)
@@ -23,12 +25,12 @@ SALTS = 64
 
 
 class BadRules(ValueError):
-    """Rules that overlap or lie outside the address space."""
+    """Rules that overlap, lie outside the address space or are no rules."""
 
 
 def _with_bits(rules: DataFrame) -> DataFrame:
     width = F.col("end_num") - F.col("start_num")
-    return rules.where("start_num <= end_num").withColumn(
+    return rules.withColumn(
         "_bits", F.when(width < 2**8, 8).when(width < 2**16, 16).otherwise(24)
     )
 
@@ -49,11 +51,19 @@ def bucket_rules(rules: DataFrame, bits: int) -> DataFrame:
     )
 
 
-def rule_counts(rules: DataFrame) -> dict[int, int]:
-    """Rows of each width class after bucketing; raises for rules that cannot be joined.
+class RuleSize(NamedTuple):
+    """Rows of one width class after bucketing, and about how many bytes they take."""
+
+    rows: int
+    bytes: int
+
+
+def check_rules(rules: DataFrame) -> dict[int, RuleSize]:
+    """The size of each width class; raises for rules that cannot be joined.
 
-    Two rules that overlap share a slot of 65,536 addresses, so a window per slot finds
-    every overlap.
+    These are rules without numeric bounds, with a start behind their end, outside the
+    address space, or overlapping. Two rules that overlap share a slot of 65,536 addresses,
+    so a window per slot finds every overlap. One check serves any number of joins.
     """
     def slot(number: str) -> Column:
         return F.shiftright(F.greatest(F.lit(0), F.least(F.col(number), F.lit(MAX_IP))), 16)
@@ -62,46 +72,65 @@ def rule_counts(rules: DataFrame) -> dict[int, int]:
         shifted = [F.when(F.col("_bits") == b, F.shiftright(number, b)) for b in BUCKET_BITS]
         return F.coalesce(*shifted)
 
+    fine = F.coalesce(F.col("start_num") <= F.col("end_num"), F.lit(False))
+    slots = F.when(fine, F.sequence(slot("start_num"), slot("end_num")))
     first = F.col("_slot") == slot("start_num")
     before = (
         Window.partitionBy("_slot")
         .orderBy("start_num", "end_num")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    buckets = F.when(first, bucket("end_num") - bucket("start_num") + 1)
+    # Two bounds, a bucket and the headers of three texts, besides the texts themselves.
+    width = F.lit(72) + sum((F.octet_length(F.coalesce(c, F.lit(""))) for c in REGION_COLUMNS), F.lit(0))
     found = (
         _with_bits(rules)
-        .withColumn("_slot", F.explode(F.sequence(slot("start_num"), slot("end_num"))))
+        .withColumn("_slot", F.explode_outer(slots))
         .withColumn("_reach", F.max("end_num").over(before))
-        .groupBy("_bits")
+        .groupBy("_bits", fine.alias("fine"))
         .agg(
-            F.sum(F.when(first, bucket("end_num") - bucket("start_num") + 1)).alias("rows"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum(buckets).alias("rows"),
+            F.sum(buckets * width).alias("bytes"),
             F.bool_or((F.col("start_num") < 0) | (F.col("end_num") > MAX_IP)).alias("outside"),
             F.bool_or(F.col("start_num") <= F.col("_reach")).alias("overlap"),
         )
         .collect()
     )
+    broken = sum(row["n"] for row in found if not row["fine"])
+    if broken:
+        raise BadRules(f"{broken} lines are no IP rules")
     if any(row["outside"] for row in found):
         raise BadRules("an IP rule lies outside the address space")
     if any(row["overlap"] for row in found):
         raise BadRules("IP rules overlap")
-    return {row["_bits"]: row["rows"] for row in found}
+    return {row["_bits"]: RuleSize(row["rows"], row["bytes"]) for row in found}
 
 
 def ip_region_join(
     logs: DataFrame,
     rules: DataFrame,
     ip: str = "ip",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    sizes: dict[int, RuleSize] | None = None,
 ) -> DataFrame:
     """Add country, province and city of the address; ``unknown`` where no rule covers it.
 
-    Each width class is one left join. Its rules are broadcast up to ``broadcast_rows``
-    bucket rows; beyond that both sides are shuffled on bucket and a salt taken from the
-    record, so that no single address range can fill one task.
+    Each width class is one left join. Classes are broadcast, the smallest first, as long as
+    they take no more than ``broadcast_bytes`` together; for the others both sides are
+    shuffled on bucket and a salt taken from the record, so that no single address range can
+    fill one task. ``sizes`` is what :func:`check_rules` found; without it the rules are
+    checked here.
     """
+    sizes = check_rules(rules) if sizes is None else sizes
+    left, sent = broadcast_bytes, set()
+    for bits in sorted(sizes, key=lambda b: sizes[b].bytes):
+        left -= sizes[bits].bytes
+        if left >= 0:
+            sent.add(bits)
     out = logs.withColumn("_ip", ip_to_long(ip))
     found: list[Column] = []
-    for bits, rows in sorted(rule_counts(rules).items()):
+    for bits in sorted(sizes):
         side = bucket_rules(rules, bits).select(
             F.col("_bucket").alias(f"_bucket{bits}"),
             F.col("start_num").alias(f"_start{bits}"),
@@ -113,7 +142,7 @@ def ip_region_join(
             & (F.col("_ip") >= F.col(f"_start{bits}"))
             & (F.col("_ip") <= F.col(f"_end{bits}"))
         )
-        if rows <= broadcast_rows:
+        if bits in sent:
             out = out.join(F.broadcast(side), on, "left")
         else:
             out = _salted(out, side, on, bits)

@@ -59,11 +59,24 @@ def parse_log(lines: DataFrame, line: str = "value") -> DataFrame:
     return _named_fields(_split_lines(lines, line).where(IS_RECORD), line)
 
 
+# Why a line is not stored.
+NO_RECORD, NO_USER, NO_EVENT, BAD_TIME = "no four fields", "no uid", "no event", "bad time"
+
+
 def judge_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """All lines with their fields and parameters, and two marks: ``is_record`` where there
-    are four fields, ``is_whole`` where the record can be stored."""
+    are four fields, and ``reason``, which is null where the record can be stored."""
     split = _split_lines(lines, line).withColumn("is_record", F.expr(IS_RECORD))
-    return _named_fields(split, line).withColumn("is_whole", is_complete())
+    reason = F.when(~F.col("is_record"), NO_RECORD).otherwise(why_incomplete())
+    return _named_fields(split, line).withColumn("reason", reason)
+
+
+def rejected(lines: DataFrame, line: str = "value") -> DataFrame:
+    """The lines that are not stored, each with its reason; batch or stream."""
+    named = lines.withColumn("_line", F.col(line))
+    return judge_lines(named, line).where("reason IS NOT NULL").select(
+        F.col("_line").alias(line), "reason"
+    )
 
 
 def line_counts() -> list[Column]:
@@ -71,17 +84,21 @@ def line_counts() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("n_input"),
         F.count_if(~F.col("is_record")).alias("n_filtered"),
-        F.count_if(F.col("is_record") & ~F.col("is_whole")).alias("n_incomplete"),
+        F.count_if(F.col("is_record") & F.col("reason").isNotNull()).alias("n_incomplete"),
     ]
 
 
-def drop_unparsed(lines: DataFrame, counts: Observation, line: str = "value") -> DataFrame:
+def drop_unparsed(
+    lines: DataFrame, counts: Observation | str, line: str = "value"
+) -> DataFrame:
     """:func:`parse_log` and :func:`complete_records`, with counts of what each drops.
 
-    The counts are ready once an action has run. A retried task does not count twice.
+    With an Observation the counts are ready once an action has run; with a name, as on a
+    stream, each batch reports them under it in the query's progress. A retried task does
+    not count twice.
     """
     judged = judge_lines(lines, line).observe(counts, *line_counts())
-    return judged.where("is_record and is_whole").drop("is_record", "is_whole")
+    return judged.where("reason IS NULL").drop("is_record", "reason")
 
 
 def effective(name: str, derived: Column | str | None = None) -> Column:
@@ -90,17 +107,21 @@ def effective(name: str, derived: Column | str | None = None) -> Column:
     return value if derived is None else F.coalesce(value, F.col(derived))
 
 
-def is_complete() -> Column:
-    """Whether a record can be stored: it needs a uid, an event and a time in milliseconds
-    that lies in the years 1 to 9999."""
+def why_incomplete() -> Column:
+    """Why a record cannot be stored: it needs a uid, an event and a time in milliseconds
+    that lies in the years 1 to 9999, which a date can hold. Null where it can."""
     ms = effective("access_time", "access_time").try_cast("bigint")
     return (
-        effective("uid").isNotNull()
-        & effective("en").isNotNull()
-        & F.coalesce(ms.between(FIRST_MS, LAST_MS), F.lit(False))
+        F.when(effective("uid").isNull(), NO_USER)
+        .when(effective("en").isNull(), NO_EVENT)
+        .when(~F.coalesce(ms.between(FIRST_MS, LAST_MS), F.lit(False)), BAD_TIME)
     )
 
 
+def is_complete() -> Column:
+    return why_incomplete().isNull()
+
+
 def complete_records(parsed: DataFrame) -> DataFrame:
     return parsed.where(is_complete())
 
@@ -126,8 +147,13 @@ def merge_params(records: DataFrame) -> DataFrame:
     )
 
 
-def enrich(lines: DataFrame, rules: DataFrame, counts: Observation | None = None) -> DataFrame:
-    """Lines to event records with a region: the transform shared by batch and stream."""
+def enrich(
+    lines: DataFrame, rules: DataFrame, counts: Observation | str | None = None
+) -> DataFrame:
+    """Lines to event records with a region: the transform shared by batch and stream.
+
+    Lines that are left out are counted by ``counts`` and listed by :func:`rejected`.
+    """
     if counts is None:
         records = complete_records(parse_log(lines))
     else:

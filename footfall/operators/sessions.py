@@ -22,17 +22,24 @@ def sessionize(
     """Add ``session_no``: 1 for a user's first session, one more after each longer pause.
 
     A pause of exactly the gap does not end a session, and an event without a user has none.
-    The window runs per user and chunk of
-    time, so that the events of one hot user spread over many tasks. What crosses a chunk
-    border is settled on one row per user and chunk, and joined back on both.
+    The window runs per user and chunk of time, so that the events of one hot user spread
+    over many tasks. What crosses a chunk border is settled on one row per user and chunk,
+    and joined back on both.
     """
-    chunked = events.withColumn("_chunk", F.call_function("div", F.col(ts), F.lit(chunk_ms)))
-    inside = Window.partitionBy(user, "_chunk").orderBy(ts)
+    chunked = events.withColumn(
+        "_chunk", F.call_function("div", F.col(ts), F.lit(chunk_ms))
+    ).withColumn(
+        # Events without a user are set apart from each other: they belong to no session.
+        "_apart",
+        F.when(F.col(user).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0)),
+    )
+    inside = Window.partitionBy(user, "_chunk", "_apart").orderBy(ts)
     pause = F.col(ts) - F.lag(ts).over(inside)
     marked = chunked.withColumn("_starts", F.coalesce((pause > gap_ms).cast("int"), F.lit(0)))
     along = Window.partitionBy(user).orderBy("_chunk")
     border = (
-        marked.groupBy(user, "_chunk")
+        marked.where(F.col(user).isNotNull())
+        .groupBy(user, "_chunk")
         .agg(
             F.min(ts).alias("_first"),
             F.max(ts).alias("_last"),

@@ -1,20 +1,4 @@
-"""Size checks that decide between a broadcast and a shuffle."""
+"""The bound on what is broadcast."""
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# About 100 bytes a row: a broadcast stays near 200 MB.
-BROADCAST_ROWS = 2_000_000
-
-
-def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether there are at most so many rows. Counting stops one row after the limit."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark for broadcast when it fits; otherwise leave the choice to the optimizer, whose
-    adaptive execution splits skewed partitions of a shuffled join."""
-    return F.broadcast(df) if fits(df, rows) else df
+# All tables that one join broadcasts together, counted in bytes before they are sent.
+BROADCAST_BYTES = 64 << 20

@@ -22,7 +22,6 @@ from footfall.operators.dims import (
     report_keys,
     resolve_report_ids,
 )
-from footfall.operators.sizes import broadcast_if_small
 from footfall.operators.visits import visit_grain
 from footfall.plans.days import parse_day
 from footfall.schemas import DIM_DATE, DIM_EVENT, DIM_LOCATION, DIM_PLATFORM
@@ -134,7 +133,7 @@ def run_daily(spark: SparkSession, table: str, out: str, day: date) -> None:
     visits.unpersist()
     root = f"{out}/dims"
     save_dims(spark, extend_dims(load_dims(spark, root), list(natural.values())), root)
-    dims = {name: broadcast_if_small(dim) for name, dim in load_dims(spark, root).items()}
+    dims = load_dims(spark, root)
     for name, report in natural.items():
         replace_day(resolve_report_ids(report, dims), f"{out}/{name}", day)
 

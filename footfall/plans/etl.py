@@ -10,10 +10,10 @@ from datetime import date
 
 from pyspark.sql import Observation, SparkSession
 
-from footfall.operators.parse import enrich, with_row_key
+from footfall.operators.parse import enrich, rejected, with_row_key
 from footfall.plans.days import parse_day
 from footfall.session import build_session
-from footfall.sinks.tables import in_read_order, write_event_log
+from footfall.sinks.tables import in_read_order, replace_day, write_event_log
 from footfall.sources import read_ip_rules, read_logs
 
 
@@ -22,12 +22,15 @@ def run_etl(
 ) -> dict[str, int]:
     """Load one day; gives the number of lines read and of those left out.
 
+    The lines left out are kept, with the reason, as that day of ``<table>__rejected``.
     Running a day again changes nothing, as its records meet their own row keys.
     """
     counts = Observation("etl")
     lines = in_read_order(read_logs(spark, logs, day))
     records = with_row_key(enrich(lines, read_ip_rules(spark, rules), counts))
     write_event_log(records, table, f"{table.rstrip('/')}__staging/{day:%Y-%m-%d}")
+    refused = rejected(read_logs(spark, logs, day))
+    replace_day(refused, f"{table.rstrip('/')}__rejected", day)
     return dict(counts.get)
 
 

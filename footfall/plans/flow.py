@@ -11,7 +11,6 @@ import argparse
 from pyspark.sql import SparkSession
 
 from footfall.operators.dims import resolve_report_ids
-from footfall.operators.sizes import broadcast_if_small
 from footfall.plans.daily import extend_dims, load_dims, save_dims
 from footfall.session import build_session
 from footfall.sources import read_ip_rules, read_kafka, stream_text_dir

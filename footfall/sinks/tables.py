@@ -9,6 +9,7 @@ moves it first.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import date
 from functools import reduce
@@ -18,16 +19,26 @@ from pyspark.sql import functions as F
 
 from footfall import storage
 from footfall.functions import day_of
-from footfall.operators.sizes import BROADCAST_ROWS, fits
+from footfall.operators.sizes import BROADCAST_BYTES
 from footfall.schemas import EVENT_LOG, KNOWN_CELLS
 
 Merge = Callable[[DataFrame | None, DataFrame], DataFrame]
 
 
 def replace_day(df: DataFrame, path: str, day: date) -> None:
-    """Make ``df`` the whole content of one day's partition, also when it is empty."""
-    target = f"{path.rstrip('/')}/dt={day:%Y-%m-%d}"
-    df.drop("dt").write.mode("overwrite").parquet(target)
+    """Make ``df`` the whole content of one day's partition, also when it is empty.
+
+    The rows are complete in a staging folder next to the table before the old ones go, so
+    ``df`` may read the table itself, and a write that fails leaves the day as it was.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    name = f"dt={day:%Y-%m-%d}"
+    staging = f"{path}__staging/replace-{uuid.uuid4().hex}"
+    try:
+        df.drop("dt").write.parquet(f"{staging}/{name}")
+        _move_days(spark, [name], staging, path)
+    finally:
+        storage.remove(spark, staging)
 
 
 def _days(spark: SparkSession, path: str) -> list[str]:
@@ -117,26 +128,19 @@ def merge_cells(records: DataFrame, order: str = "seq") -> DataFrame:
     """One record per row key: each cell keeps its latest value, and a cell that a later
     record lacks survives.
 
-    Records of one key that fill the same cells are reduced to the latest of them, before
-    the shuffle; that leaves one record per set of cell names, however often a key repeats.
-    The second step merges those few in order.
+    The latest value is found per row key and cell, which combines before the shuffle, so a
+    key that repeats without end sends one row per cell and task. A record's cells are only
+    gathered when there is one of each.
     """
-    packed = records.select("row_key", F.col(order).alias("_order"), _cells(records).alias("_c"))
-    names = F.array_join(F.array_sort(F.map_keys("_c")), "\u0001")
-    latest = packed.groupBy("row_key", names.alias("_names")).agg(
-        F.max(F.struct("_order")).alias("_last"),
-        F.max_by("_c", "_order").alias("_c"),
+    packed = records.select(
+        "row_key", F.col(order).alias("_order"), F.explode(_cells(records)).alias("_name", "_value")
     )
-    # A map cannot be sorted on, so it travels as its entries.
+    latest = packed.groupBy("row_key", "_name").agg(F.max_by("_value", "_order").alias("_value"))
     merged = latest.groupBy("row_key").agg(
-        F.array_sort(
-            F.collect_list(F.struct("_last", F.map_entries("_c").alias("_entries")))
-        ).alias("_rows")
+        F.map_from_entries(F.collect_list(F.struct("_name", "_value"))).alias("_c")
     )
-    cells = F.map_from_entries(F.flatten(F.transform("_rows", lambda r: r["_entries"])))
     return (
-        merged.select("row_key", cells.alias("_c"))
-        .select(
+        merged.select(
             "row_key",
             *[F.col("_c")[c].alias(c) for c in KNOWN_CELLS],
             F.map_filter("_c", lambda k, _: ~k.isin(*KNOWN_CELLS)).alias("params"),
@@ -148,7 +152,7 @@ def merge_cells(records: DataFrame, order: str = "seq") -> DataFrame:
 
 
 def merge_repeats(
-    records: DataFrame, order: str = "seq", broadcast_rows: int = BROADCAST_ROWS
+    records: DataFrame, order: str = "seq", broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """:func:`merge_cells`, but records whose key does not repeat are passed on where they are.
 
@@ -164,7 +168,8 @@ def merge_repeats(
         .where("_n > 1")
         .select("_code", F.lit(True).alias("_repeats"))
     )
-    if not fits(repeated, broadcast_rows):
+    # A row is a number and a flag: 16 bytes.
+    if repeated.count() * 16 > broadcast_bytes:
         return merge_cells(records, order)
     marked = records.join(F.broadcast(repeated), code == F.col("_code"), "left")
     alone = marked.where(F.col("_repeats").isNull()).select(*EVENT_LOG.names)
@@ -172,8 +177,19 @@ def merge_repeats(
 
 
 def in_read_order(records: DataFrame) -> DataFrame:
-    """Add ``seq``: the order of the scan, by partition and then by position in it."""
-    return records.withColumn("seq", F.monotonically_increasing_id())
+    """Add ``seq`` to a scan of files: path, place of the block in it, and row in the block.
+
+    The row number alone would follow the packing of files into tasks, which depends on their
+    sizes and on the cluster.
+    """
+    return records.withColumn(
+        "seq",
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
+    )
 
 
 def write_event_log(records: DataFrame, path: str, staging: str, order: str = "seq") -> None:

@@ -46,14 +46,16 @@ def read_landed(spark: SparkSession, root: str, day: date | None = None) -> Data
 def read_ip_rules(spark: SparkSession, path: str) -> DataFrame:
     """IP rules: numeric start and end, country, province, city.
 
-    Lines are split by hand, since a city may be empty and must stay so.
+    Lines are split by hand, since a city may be empty and must stay so. A line that is no
+    rule keeps its place with null bounds, for :func:`check_rules` to refuse.
     """
     fields = java_split("value", "|")
     return (
         spark.read.text(path)
-        .where(F.size(fields) >= 8)
         .select(
-            F.get(fields, F.lit(2)).try_cast("bigint").alias("start_num"),
+            F.when(F.size(fields) >= 8, F.get(fields, F.lit(2)).try_cast("bigint")).alias(
+                "start_num"
+            ),
             F.get(fields, F.lit(3)).try_cast("bigint").alias("end_num"),
             F.get(fields, F.lit(5)).alias("country"),
             F.get(fields, F.lit(6)).alias("province"),

@@ -1,36 +1,54 @@
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# What a ``?`` may stand in without being a mark: comments and quoted text or names.
+SKIPPED = re.compile(
+    r"--[^\n]*|/\*.*?\*/|'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`(?:[^`]|``)*`|[?]", re.DOTALL
+)
+
+
 def _literal(value: object) -> str:
+    """A literal that means the same in every database, or an error.
+
+    Whether a backslash escapes depends on the database and its settings, so text with one
+    is refused, as are control characters and numbers that are not finite.
+    """
     if value is None:
         return "NULL"
     if isinstance(value, bool):
         return "TRUE" if value else "FALSE"
     if isinstance(value, (int, float)):
+        if not math.isfinite(value):
+            raise ValueError(f"no literal for {value}")
         return repr(value)
-    return "'" + str(value).replace("'", "''") + "'"
+    text = str(value)
+    if "\\" in text or any(ord(c) < 32 for c in text):
+        raise ValueError("a text parameter holds a backslash or a control character")
+    return "'" + text.replace("'", "''") + "'"
 
 
 def bind(query: str, params: Sequence[object]) -> str:
-    """Put literals in place of the ``?`` marks outside quotes."""
-    out, values, quoted = [], iter(params), False
-    for ch in query:
-        if ch == "'":
-            quoted = not quoted
-        if ch == "?" and not quoted:
-            try:
-                out.append(_literal(next(values)))
-            except StopIteration:
-                raise ValueError("more marks than parameters") from None
-        else:
-            out.append(ch)
-    if next(values, None) is not None:
+    """Put literals in place of the ``?`` marks outside comments, quotes and quoted names."""
+    values = iter(params)
+
+    def put(found: re.Match) -> str:
+        if found[0] != "?":
+            return found[0]
+        try:
+            return _literal(next(values))
+        except StopIteration:
+            raise ValueError("more marks than parameters") from None
+
+    text = SKIPPED.sub(put, query)
+    if any(True for _ in values):
         raise ValueError("more parameters than marks")
-    return "".join(out)
+    return text
 
 
 def jdbc_options(

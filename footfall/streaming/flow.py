@@ -184,8 +184,11 @@ def stream_location_flow(
     delay: str | None = None,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """From a stream of log lines to the running report."""
-    state = location_state(enrich(lines, rules), delay)
+    """From a stream of log lines to the running report.
+
+    The progress of each batch counts the lines left out, under ``lines``.
+    """
+    state = location_state(enrich(lines, rules, "lines"), delay)
     return start_location_flow(state, table, checkpoint, every, state_partitions)
 
 

@@ -73,7 +73,7 @@ def main() -> None:
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     sf_dir = f"/root/testdata/sf{sf}"
-    names = sys.argv[2:] or list(entry.queries())
+    names = sys.argv[2:] or list(entry.oracle_sql())
     spark = build_session(
         master="local[8]",
         conf={

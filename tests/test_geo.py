@@ -3,7 +3,7 @@ import random
 import pytest
 
 from conftest import plan_of
-from footfall.operators.geo import BadRules, ip_region_join, rule_counts
+from footfall.operators.geo import BadRules, check_rules, ip_region_join
 from footfall.schemas import IP_RULES
 
 
@@ -28,15 +28,15 @@ def _spans(seed):
     return out
 
 
-@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
-def test_matches_brute_force(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [10**8, 0])
+def test_matches_brute_force(spark, broadcast_bytes):
     spans = _spans(1)
     pick = random.Random(2)
     numbers = [n for a, b in spans for n in (a - 1, a, b, b + 1) if 0 <= n < 2**32]
     numbers += [pick.randrange(2**32) for _ in range(200)]
     addresses = [(_dotted(n), str(i)) for i, n in enumerate(numbers)]
     logs = spark.createDataFrame(addresses, "ip string, i string")
-    out = ip_region_join(logs, _rules(spark, *spans), broadcast_rows=broadcast_rows)
+    out = ip_region_join(logs, _rules(spark, *spans), broadcast_bytes=broadcast_bytes)
     found = {r.i: r.country for r in out.collect()}
     assert len(found) == len(numbers)
     for i, n in enumerate(numbers):
@@ -45,22 +45,24 @@ def test_matches_brute_force(spark, broadcast_rows):
 
 
 def test_counts_bucket_rows(spark):
-    rules = _rules(spark, (0, 255), (256, 65791), (65792, 2**24 + 65792), (2**31, 2**31 - 1))
-    assert rule_counts(rules) == {8: 1, 16: 2, 24: 2}
+    rules = _rules(spark, (0, 255), (256, 65791), (65792, 2**24 + 65792))
+    sizes = check_rules(rules)
+    assert {b: s.rows for b, s in sizes.items()} == {8: 1, 16: 2, 24: 2}
+    assert all(72 * s.rows < s.bytes < 100 * s.rows for s in sizes.values())
 
 
 @pytest.mark.parametrize(
     "spans",
-    [[(0, 10), (10, 20)], [(0, 2**20), (500, 600)], [(5, 5), (5, 5)], [(0, 2**32)], [(-1, 5)]],
+    [[(0, 10), (10, 20)], [(0, 2**20), (500, 600)], [(5, 5), (5, 5)], [(0, 2**32)], [(-1, 5)], [(5, 4), (7, 8)], [(None, 4)]],
 )
 def test_bad_rules(spark, spans):
     with pytest.raises(BadRules):
-        rule_counts(_rules(spark, *spans))
+        check_rules(_rules(spark, *spans))
 
 
 def test_no_rules(spark):
     logs = spark.createDataFrame([("1.2.3.4",)], "ip string")
-    row = ip_region_join(logs, _rules(spark, (5, 4))).first()
+    row = ip_region_join(logs, _rules(spark)).first()
     assert tuple(row) == ("1.2.3.4", "unknown", "unknown", "unknown")
 
 
@@ -69,3 +71,12 @@ def test_plan_hashes(spark):
     plan = plan_of(ip_region_join(logs, _rules(spark, (0, 10), (1000, 60000), (2**25, 2**27))))
     assert plan.count("BroadcastHashJoin") == 3
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_one_budget_for_all_classes(spark):
+    logs = spark.createDataFrame([("1.2.3.4",)], "ip string")
+    rules = _rules(spark, (0, 10), (1000, 60000), (2**25, 2**27))
+    sizes = check_rules(rules)
+    two = sum(sorted(s.bytes for s in sizes.values())[:2])
+    plan = plan_of(ip_region_join(logs, rules, broadcast_bytes=two, sizes=sizes))
+    assert plan.count("BroadcastHashJoin") == 2 and "_salt24" in plan

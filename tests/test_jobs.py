@@ -40,6 +40,8 @@ def test_load_and_report(spark, folder):
     for _ in range(2):
         counts = run_etl(spark, logs, rules, table, D1)
         assert counts == {"n_input": 4, "n_filtered": 1, "n_incomplete": 0}
+    left_out = spark.read.parquet(f"{table}__rejected").select("value", "reason").collect()
+    assert [tuple(r) for r in left_out] == [("junk", "no four fields")]
     run_etl(spark, logs, rules, table, D2)
     assert read_event_log(spark, table, D1).count() == 4
     assert read_event_log(spark, table, D2).count() == 1

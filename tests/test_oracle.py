@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from footfall.catalog import ORACLE_SQL, QUERIES
 from conftest import plan_of
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -18,13 +19,14 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_matches(spark, con, name):
     assert differences(spark, con, name, SF_DIR) == []
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 
 def test_flagship(spark):

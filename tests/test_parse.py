@@ -66,6 +66,9 @@ def test_counts(spark):
     assert kept.count() == 2
     assert counts.get == {"n_input": 8, "n_filtered": 2, "n_incomplete": 4}
     assert enrich(lines, _rules(spark)).count() == 2
+    reasons = sorted(r.reason for r in parse.rejected(lines).collect())
+    assert reasons == ["bad time"] * 2 + ["no event", "no four fields", "no four fields", "no uid"]
+    assert {r.value for r in parse.rejected(lines).collect()} >= {"junk", ""}
 
 
 def test_product_views(spark):

@@ -89,3 +89,12 @@ def test_words(spark):
     counts = {r.word: r.n for r in words.word_count(df, "text").collect()}
     # Parts as the JVM splits them: empty ones at the end are left out.
     assert counts == {"a": 3, "b": 2, "": 3, "a\tb": 1}
+
+
+def test_events_without_a_user_are_apart(spark, events):
+    rows = [(i, None if i % 3 else user, ts) for i, user, ts in events]
+    df = spark.createDataFrame(rows, "event_id bigint, uid string, access_time_ms bigint")
+    out = {r[0]: r[3] for r in sessions.sessionize(df).collect()}
+    wanted = _brute([r for r in rows if r[1]])
+    assert out == {i: wanted[i][2] if user else None for i, user, _ in rows}
+    assert "_apart" in plan_of(sessions.sessionize(df))

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 from footfall import storage
+from footfall.operators.geo import BadRules, check_rules
 from footfall.schemas import EVENT_LOG, KNOWN_CELLS
 from footfall.sinks import (
     console,
@@ -65,15 +66,15 @@ def test_merge_cells(spark):
     assert out["b"] == {**t, "uid": ""}
 
 
-@pytest.mark.parametrize("broadcast_rows", [10**6, 1])
-def test_merge_repeats(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [10**6, 16])
+def test_merge_repeats(spark, broadcast_bytes):
     rows = [
         (f"k{i % 40}", i, {"access_time": str(MS), f"p{i % 7}": str(i), "uid": str(i)})
         for i in range(60)
     ]
     records = _records(spark, *rows)
     wanted = {r.row_key: _cells(r) for r in merge_cells(records).collect()}
-    out = merge_repeats(records, broadcast_rows=broadcast_rows).collect()
+    out = merge_repeats(records, broadcast_bytes=broadcast_bytes).collect()
     assert len(out) == 40 and {r.row_key: _cells(r) for r in out} == wanted
     assert wanted["k3"] == {"access_time": str(MS), "p3": "3", "p1": "43", "uid": "43"}
 
@@ -123,6 +124,28 @@ def test_replace_day(spark, folder):
     assert _read(spark, path) == [(D2, "a", 2)]
 
 
+def test_replace_day_by_itself_and_after_a_failure(spark, folder):
+    path = folder("t")
+    _stats(spark, (D1, "a", 1), (D2, "a", 2)).write.partitionBy("dt").parquet(path)
+
+    def own():
+        table = spark.read.schema("k string, n bigint, dt date").parquet(path)
+        return table.where("dt = '2024-01-01'")
+
+    replace_day(own().selectExpr("k", "n + 10 AS n"), path, D1)
+    assert _read(spark, path) == [(D1, "a", 11), (D2, "a", 2)]
+    with pytest.raises(Exception, match="no such day"):
+        replace_day(own().selectExpr("k", "raise_error('no such day') AS n"), path, D1)
+    assert _read(spark, path) == [(D1, "a", 11), (D2, "a", 2)]
+    assert storage.children(spark, f"{path}__staging") == []
+
+
+def test_many_cell_names_for_one_key(spark):
+    rows = [("hot", i, {"access_time": str(MS), f"p{i}": "x", "uid": str(i)}) for i in range(2000)]
+    (out,) = merge_cells(_records(spark, *rows)).collect()
+    assert len(out.params) == 2000 and out.uid == "1999"
+
+
 def test_upsert(spark, folder):
     path = folder("t")
     upsert(_stats(spark, (D1, "a", 1), (D1, None, 2), (D2, "a", 3)), path, ["k"], folder("s0"))
@@ -171,12 +194,16 @@ def test_read_logs(spark, folder):
 
 
 def test_read_ip_rules(spark, folder):
+    # Fixed value: a line as the rule file has them.
     line = (
         "1.0.1.0|1.0.3.255|16777472|16778239|亚洲|中国|福建|福州||电信|350100|China|CN|119.3|26.0"
     )
     lines = [line, line.replace("福州", ""), "short|line"]
     spark.createDataFrame([(x,) for x in lines], "value string").write.text(folder("rules"))
-    rows = sorted(tuple(r) for r in read_ip_rules(spark, folder("rules")).collect())
+    rules = read_ip_rules(spark, folder("rules"))
+    with pytest.raises(BadRules, match="1 lines"):
+        check_rules(rules)
+    rows = sorted(tuple(r) for r in rules.where("start_num is not null").collect())
     assert rows == [
         (16777472, 16778239, "中国", "福建", ""),
         (16777472, 16778239, "中国", "福建", "福州"),
@@ -191,6 +218,11 @@ def test_jdbc_options():
         "jdbc:x", "select 1", partition_column="id", lower=0, upper=9, partitions=3
     )
     assert split["dbtable"] == "(select 1) q" and split["numPartitions"] == "3"
+    marks = "select '?' -- ?\n, `?`, \"?\" /* ? */ where a = ?"
+    assert jdbc_options("jdbc:x", marks, [None])["query"] == marks[:-1] + "NULL"
+    for bad in ("x\\' or 1=1 -- ", "a\nb", float("nan"), float("inf")):
+        with pytest.raises(ValueError):
+            jdbc_options("jdbc:x", "select ?", [bad])
     for params in ([], [1, 2]):
         with pytest.raises(ValueError):
             jdbc_options("jdbc:x", "select ?", params)
