@@ -564,3 +564,9 @@ SELECT load, uid, access_time, 'late-' || load AS b_n
 FROM (SELECT DISTINCT uid, CAST(ms AS VARCHAR) AS access_time FROM log WHERE en = 'e_l'),
   (VALUES (1), (2)) AS l(load)""",
 )
+sql(
+    "stream_flow_report",
+    f"""
+SELECT CAST(dt AS VARCHAR) AS calendar, 'day' AS type, country, province, city, nu, uv, pv, sn,
+  "on", CAST(dt AS VARCHAR) AS created, dt FROM ({FLOW})""",
+)

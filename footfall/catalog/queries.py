@@ -13,8 +13,9 @@ from footfall.catalog import inputs
 from footfall.operators import dims, parse, products, reports, sessions, words
 from footfall.operators.geo import ip_region_join
 from footfall.operators.visits import visit_grain
-from footfall.plans.daily import daily_reports, empty_dims, extend_dims
+from footfall.plans.daily import daily_reports, empty_dims, extend_dims, load_dims
 from footfall.plans.etl import run_etl
+from footfall.plans.flow import run_flow
 from footfall.schemas import LOG_COLUMNS, REGION_COLUMNS
 from footfall.session import configure, work_dir
 from footfall.sinks import land_stream, replace_day, upsert, write_event_log
@@ -587,21 +588,38 @@ def landed_lines(spark, sf_dir):
 # Streams
 
 
-def _run_flow(spark, sf_dir, parts):
+def _run_flow(spark, sf_dir, parts, start=stream_location_flow, **settings):
     source, table, checkpoint = (work_dir(spark, n) for n in ("lines", "flow", "checkpoint"))
     for part in parts:
         at_once = inputs.write_stream_files(part, source)
         stream = stream_text_dir(spark, source, at_once)
-        stream_location_flow(
+        start(
             stream,
             inputs.ip_rules(spark, sf_dir),
             table,
             checkpoint,
             state_partitions=spark.sparkContext.defaultParallelism,
+            **settings,
         ).awaitTermination()
     return read_flow(spark, table)
 
 
+@query
+def stream_flow_report(spark, sf_dir):
+    """What the flow job publishes: ids of dimensions that grow with the batches."""
+    out = work_dir(spark, "reports")
+    _run_flow(spark, sf_dir, [inputs.lines(spark, sf_dir)], run_flow, out=out)
+    found = load_dims(spark, f"{out}/dims")
+    days = found["date"].select(F.col("id").alias("date_dimension_id"), "calendar", "type")
+    places = found["location"].withColumnRenamed("id", "location_dimension_id")
+    report = spark.read.parquet(f"{out}/stats_location_flow")
+    return (
+        report.join(days, "date_dimension_id")
+        .join(places, "location_dimension_id")
+        .select("calendar", "type", *REGION_COLUMNS, "nu", "uv", "pv", "sn", "on", "created", "dt")
+    )
+
+
 @query
 def stream_flow(spark, sf_dir):
     return _run_flow(spark, sf_dir, [inputs.lines(spark, sf_dir)])

@@ -82,13 +82,15 @@ def number_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def get_or_create_dim(facts: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The dimension, extended by the keys of the facts it lacks.
+    """The dimension, extended by the keys of the facts it lacks; without any, it itself.
 
     New ids follow the largest old one in key order. A null in a key is a value that is
     found again.
     """
     wanted = facts.select(*keys).distinct()
     new = wanted.join(dim, _same(wanted, dim, keys), "left_anti")
+    if new.isEmpty():
+        return dim
     largest = dim.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
     numbered = number_rows(new, keys)
     fresh = numbered.select((F.col("_number") + largest).cast("bigint").alias("id"), *keys)

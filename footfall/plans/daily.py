@@ -101,9 +101,8 @@ def _newest(spark: SparkSession, folder: str) -> int | None:
 
 
 def save_dims(spark: SparkSession, dims: dict[str, DataFrame], root: str) -> None:
-    """Write a new version of each dimension and keep the one before, which may be in use.
-
-    Only one job at a time may extend the dimensions.
+    """Write a new version of each given dimension and keep the one before, which may be in
+    use. Only one job at a time may extend the dimensions.
     """
     for name, dim in dims.items():
         newest = _newest(spark, f"{root}/{name}")
@@ -112,6 +111,16 @@ def save_dims(spark: SparkSession, dims: dict[str, DataFrame], root: str) -> Non
         storage.remove(spark, f"{root}/{name}/version={version - 2}")
 
 
+def grow_dims(spark: SparkSession, found: list[DataFrame], root: str) -> dict[str, DataFrame]:
+    """The stored dimensions, after a new version of those that lack a key of the reports."""
+    stored = load_dims(spark, root)
+    grown = extend_dims(stored, found)
+    changed = {n: d for n, d in grown.items() if d is not stored[n]}
+    first = {n: d for n, d in stored.items() if _newest(spark, f"{root}/{n}") is None}
+    save_dims(spark, first | changed, root)
+    return load_dims(spark, root)
+
+
 def run_daily(spark: SparkSession, table: str, out: str, day: date) -> None:
     """Write the reports of one day to ``out``, replacing what is there for that day.
 
@@ -131,9 +140,7 @@ def run_daily(spark: SparkSession, table: str, out: str, day: date) -> None:
             .withColumn("date" if "date" in report.columns else "dt", F.lit(day))
         )
     visits.unpersist()
-    root = f"{out}/dims"
-    save_dims(spark, extend_dims(load_dims(spark, root), list(natural.values())), root)
-    dims = load_dims(spark, root)
+    dims = grow_dims(spark, list(natural.values()), f"{out}/dims")
     for name, report in natural.items():
         replace_day(resolve_report_ids(report, dims), f"{out}/{name}", day)
 

@@ -1,29 +1,53 @@
 """Running traffic report: a stream of log lines into a table of totals per location.
 
 ``python -m footfall.plans.flow --servers host:9092 --topic event_log --rules /ip_rules
---table /flow --checkpoint /checkpoints/flow``; with ``--dir`` lines come from files instead.
+--table /flow --checkpoint /checkpoints/flow --out /reports``; with ``--dir`` lines come from files instead.
 """
 
 from __future__ import annotations
 
 import argparse
+import uuid
+from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from footfall.operators.dims import resolve_report_ids
-from footfall.plans.daily import extend_dims, load_dims, save_dims
+from footfall.plans.daily import grow_dims
 from footfall.session import build_session
+from footfall.sinks.tables import merge_partitions
 from footfall.sources import read_ip_rules, read_kafka, stream_text_dir
 from footfall.streaming.flow import read_flow, stream_location_flow
 
 
-def publish_flow(spark: SparkSession, table: str, out: str) -> None:
-    """Write the current totals with dimension ids, next to the daily reports in ``out``."""
+def publish_flow(
+    spark: SparkSession, table: str, out: str, days: Sequence[date] | None = None
+) -> None:
+    """Write the current totals with dimension ids, next to the daily reports in ``out``.
+
+    Only the given days are read and replaced, by default all, and the dimensions get a new
+    version only if a key is new. Doing it again changes nothing.
+    """
     flow = read_flow(spark, table)
-    save_dims(spark, extend_dims(load_dims(spark, f"{out}/dims"), [flow]), f"{out}/dims")
-    dims = {n: broadcast_if_small(d) for n, d in load_dims(spark, f"{out}/dims").items()}
-    report = resolve_report_ids(flow, dims)
-    report.write.mode("overwrite").partitionBy("dt").parquet(f"{out}/stats_location_flow")
+    if days is not None:
+        flow = flow.where(F.col("dt").isin(list(days)))
+    report = resolve_report_ids(flow, grow_dims(spark, [flow], f"{out}/dims"))
+    path = f"{out}/stats_location_flow"
+    merge_partitions(report, path, lambda old, new: new, f"{path}__staging/{uuid.uuid4().hex}")
+
+
+def run_flow(
+    lines: DataFrame, rules: DataFrame, table: str, checkpoint: str, out: str, **settings
+) -> StreamingQuery:
+    """The running totals, published after each batch for the days it touched."""
+
+    def publish(spark: SparkSession, days: list[date]) -> None:
+        publish_flow(spark, table, out, days)
+
+    return stream_location_flow(lines, rules, table, checkpoint, after=publish, **settings)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -36,6 +60,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--rules", required=True)
     parser.add_argument("--table", required=True)
     parser.add_argument("--checkpoint", required=True)
+    parser.add_argument("--out", required=True, help="folder of the reports and dimensions")
     parser.add_argument("--every", default="5 seconds")
     parser.add_argument("--delay", help="let the state of days go that are this far behind")
     parser.add_argument("--per-batch", type=int, help="most offsets or files in one batch")
@@ -53,11 +78,12 @@ def main(argv: list[str] | None = None) -> None:
             reset=args.reset,
             max_offsets_per_trigger=args.per_batch,
         )
-    stream_location_flow(
+    run_flow(
         lines,
         read_ip_rules(spark, args.rules),
         args.table,
         args.checkpoint,
+        args.out,
         every=args.every,
         delay=args.delay,
         state_partitions=args.state_partitions,

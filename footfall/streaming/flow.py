@@ -11,6 +11,9 @@ Nothing is held in Python and no group is collected.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -139,12 +142,14 @@ def start_location_flow(
     checkpoint: str,
     every: str | None = None,
     state_partitions: int | None = None,
+    after: Callable[[SparkSession, list[date]], None] | None = None,
 ) -> StreamingQuery:
     """Keep ``table`` up to date with the aggregate of :func:`location_state`.
 
     A batch that is run again finds its complete staging folder next to the checkpoint and
     only finishes moving it, so nothing is added twice. With a new checkpoint the numbers of
-    every location start again when it is first seen.
+    every location start again when it is first seen. ``after`` is called with the days a
+    batch touched, once they are up to date; after a restart perhaps once more.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -162,6 +167,10 @@ def start_location_flow(
                 once=True,
                 fresh_as_is=False,
             )
+            if after:
+                # One row per day of the batch.
+                days = batch.where(F.col("_kind") != BATCH).select("dt").distinct().collect()
+                after(batch.sparkSession, [row["dt"] for row in days])
             storage.remove(batch.sparkSession, f"{checkpoint}/report_staging/{batch_id - 2}")
         finally:
             batch.unpersist()
@@ -183,13 +192,14 @@ def stream_location_flow(
     every: str | None = None,
     delay: str | None = None,
     state_partitions: int | None = None,
+    after: Callable[[SparkSession, list[date]], None] | None = None,
 ) -> StreamingQuery:
     """From a stream of log lines to the running report.
 
     The progress of each batch counts the lines left out, under ``lines``.
     """
     state = location_state(enrich(lines, rules, "lines"), delay)
-    return start_location_flow(state, table, checkpoint, every, state_partitions)
+    return start_location_flow(state, table, checkpoint, every, state_partitions, after)
 
 
 def read_flow(spark: SparkSession, table: str) -> DataFrame:
