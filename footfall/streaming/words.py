@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from footfall import storage
 from footfall.operators.words import word_count
 from footfall.sinks.streams import trigger
 from footfall.streaming.control import state_settings
 
 # Both jobs write one folder per batch. A batch that is run again overwrites its own.
 COUNTS = "word STRING, n BIGINT, batch_id BIGINT"
+COMPACT_EVERY = 16
 
 
 def _write_batch(table: str):
@@ -36,20 +38,52 @@ def read_batch_counts(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema(COUNTS).parquet(table)
 
 
+def _compact(spark: SparkSession, table: str, batch_id: int) -> None:
+    """Put the totals of all batches so far in one folder, named by a negative number.
+
+    Totals only grow, so reading a total twice does no harm; nothing is removed before the
+    folder is complete, and a folder that is there is not made again.
+    """
+    target = f"batch_id={-batch_id - 1}"
+    done = [n for n in storage.children(spark, table) if n.startswith("batch_id=")]
+    if target not in done:
+        staging = f"{table}__compacting"
+        storage.remove(spark, staging)
+        totals = read_running_counts(spark, table)
+        totals.repartition("word").write.parquet(staging)
+        storage.move(spark, staging, f"{table}/{target}")
+    for name in done:
+        number = int(name.split("=", 1)[1])
+        if name != target and number < batch_id:
+            storage.remove(spark, f"{table}/{name}")
+
+
 def start_running_word_count(
     lines: DataFrame,
     table: str,
     checkpoint: str,
     every: str | None = None,
     state_partitions: int | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
-    """Counts since the start. Each batch writes the new totals of the words it met."""
+    """Counts since the start. Each batch writes the new totals of the words it met.
+
+    Every ``compact_every`` batches the folders become one, so their number stays bounded
+    and a reader sees each word a bounded number of times.
+    """
+    table, write = table.rstrip("/"), _write_batch(table)
+
+    def apply(counts: DataFrame, batch_id: int) -> None:
+        write(counts, batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            _compact(counts.sparkSession, table, batch_id)
+
     with state_settings(lines.sparkSession, state_partitions):
         writer = (
             word_count(lines)
             .writeStream.outputMode("update")
             .option("checkpointLocation", checkpoint)
-            .foreachBatch(_write_batch(table))
+            .foreachBatch(apply)
         )
         return trigger(writer, every).start()
 

@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from footfall import storage
 from footfall.operators import reports
 from footfall.operators.parse import enrich
 from footfall.operators.sessions import stream_session_spans
@@ -180,10 +181,14 @@ def test_word_counts(spark, folder):
         stream = stream_text_dir(spark, folder("in"), 1)
         start_batch_word_count(stream, folder("batch"), folder("c1")).awaitTermination()
         start_running_word_count(
-            stream, folder("run"), folder("c2"), state_partitions=2
+            stream, folder("run"), folder("c2"), state_partitions=2, compact_every=2
         ).awaitTermination()
         running = read_running_counts(spark, folder("run")).collect()
         assert {r.word: r.n for r in running} == total
+    # Batches 0 and 1 were made one folder; batch 1 may run again, so its own stays.
+    assert sorted(storage.children(spark, folder("run"))) == [
+        "batch_id=-2", "batch_id=1", "batch_id=2"
+    ]
     per_batch = read_batch_counts(spark, folder("batch")).collect()
     assert Counter((r.batch_id, r.word, r.n) for r in per_batch) == Counter(
         (i, word, n)
