@@ -28,6 +28,7 @@ from footfall.operators import parse, products, reports, sessions, words  # noqa
 from footfall.operators.geo import check_rules, ip_region_join  # noqa: E402
 from footfall.operators.visits import visit_grain  # noqa: E402
 from footfall.schemas import REGION_COLUMNS  # noqa: E402
+from footfall.session import remove_work_dirs  # noqa: E402
 
 def operators(spark, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
     """The headline operators over stored inputs.
@@ -107,6 +108,7 @@ def main() -> None:
             }
         )
     )
+    remove_work_dirs(spark)
     spark.stop()
 
 

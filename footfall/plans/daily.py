@@ -25,7 +25,7 @@ from footfall.operators.dims import (
 from footfall.operators.visits import visit_grain
 from footfall.plans.days import parse_day
 from footfall.schemas import DIM_DATE, DIM_EVENT, DIM_LOCATION, DIM_PLATFORM
-from footfall.session import build_session
+from footfall.session import build_session, remove_work_dirs
 from footfall.sinks.tables import replace_day
 from footfall.sources import read_event_log
 
@@ -154,6 +154,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = build_session("footfall-daily", time_zone=args.time_zone)
     run_daily(spark, args.table, args.out, args.day)
+    remove_work_dirs(spark)
 
 
 if __name__ == "__main__":

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from footfall import storage
+
 # The results depend on the first two: days are cut in this zone, and a parameter that
 # is repeated in a request keeps its last value. The others keep shuffles in shape.
 RUNTIME_CONF = {
@@ -23,6 +25,10 @@ ROCKSDB_PROVIDER = (
 )
 
 
+# The folders given out so far.
+_work_dirs: list[str] = []
+
+
 def configure(spark: SparkSession, time_zone: str = "UTC") -> SparkSession:
     """Set the runtime options above on an existing session."""
     for key, value in {**RUNTIME_CONF, "spark.sql.session.timeZone": time_zone}.items():
@@ -54,4 +60,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         base = tempfile.gettempdir() + "/footfall"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _work_dirs.append(path)
+    return path
+
+
+def remove_work_dirs(spark: SparkSession) -> None:
+    """Remove the folders :func:`work_dir` gave out, when no frame reads them any more."""
+    while _work_dirs:
+        storage.remove(spark, _work_dirs.pop())

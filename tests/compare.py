@@ -70,6 +70,7 @@ def differences(spark, con, name: str, sf_dir: str) -> list[str]:
 
 def main() -> None:
     from footfall import build_session
+    from footfall.session import remove_work_dirs
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     sf_dir = f"/root/testdata/sf{sf}"
@@ -96,6 +97,7 @@ def main() -> None:
         print(f"{'ok ' if not out else 'BAD'} {name} {time.time() - start:.1f}s", flush=True)
         for line in out:
             print("    ", line, flush=True)
+    remove_work_dirs(spark)
     print(f"{len(names) - bad} of {len(names)} match")
 
 

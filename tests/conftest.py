@@ -6,6 +6,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 import pytest  # noqa: E402
 
 from footfall import build_session  # noqa: E402
+from footfall.session import remove_work_dirs  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -24,6 +25,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_work_dirs(session)
     session.stop()
 
 
