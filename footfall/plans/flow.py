@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from footfall.operators.dims import resolve_report_ids
@@ -31,9 +30,7 @@ def publish_flow(
     Only the given days are read and replaced, by default all, and the dimensions get a new
     version only if a key is new. Doing it again changes nothing.
     """
-    flow = read_flow(spark, table)
-    if days is not None:
-        flow = flow.where(F.col("dt").isin(list(days)))
+    flow = read_flow(spark, table, days)
     report = resolve_report_ids(flow, grow_dims(spark, [flow], f"{out}/dims"))
     path = f"{out}/stats_location_flow"
     merge_partitions(report, path, lambda old, new: new, f"{path}__staging/{uuid.uuid4().hex}")

@@ -83,8 +83,9 @@ def merge_partitions(
         rows = spark.read.schema(new.schema).parquet(incoming).select(*new.columns)
         old = None
         if stored:
-            old = spark.read.schema(new.schema).parquet(path).where(on_days)
-            old = old.select(*new.columns)
+            # Only the folders of these days are listed, not the table.
+            folders = spark.read.schema(new.schema).option("basePath", path)
+            old = folders.parquet(*[f"{path}/{n}" for n in stored]).select(*new.columns)
         if fresh_as_is:
             rows = rows.where(on_days)
         merge(old, rows).write.partitionBy("dt").parquet(ready)

@@ -11,7 +11,7 @@ Nothing is held in Python and no group is collected.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -202,5 +202,11 @@ def stream_location_flow(
     return start_location_flow(state, table, checkpoint, every, state_partitions, after)
 
 
-def read_flow(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.parquet(table).select(*FLOW_KEYS, *MEASURES)
+def read_flow(
+    spark: SparkSession, table: str, days: Sequence[date] | None = None
+) -> DataFrame:
+    """The report, of all days or the given ones; then only their folders are listed."""
+    table = table.rstrip("/")
+    folders = [table] if days is None else [f"{table}/dt={day:%Y-%m-%d}" for day in days]
+    read = spark.read.option("basePath", table).parquet(*folders)
+    return read.select(*FLOW_KEYS, *MEASURES)
