@@ -551,10 +551,15 @@ SELECT dt, platform, event_name, CASE WHEN dt = DATE '2024-01-15' THEN -times EL
   AS times FROM ({EVENTS})""",
 )
 sql("landed_lines", f"SELECT {LINE} AS value, count(*) AS n FROM tracked GROUP BY 1", TRACKED)
-VISITORS = TRACKED.replace("CAST(e.user_id AS VARCHAR) AS uid", "CASE WHEN e.event_id % 3 <> 0 THEN CAST(e.user_id AS VARCHAR) END AS uid")
+VISITORS = TRACKED.replace(
+    "CAST(e.user_id AS VARCHAR) AS uid",
+    "CASE WHEN e.event_id % 3 <> 0 THEN CAST(e.user_id AS VARCHAR) END AS uid",
+)
 sql(
     "sessionized_visitors",
-    f"SELECT event_id, uid, access_time_ms, CASE WHEN uid IS NOT NULL THEN session_no END AS session_no FROM ({SESSIONS})",
+    f"""
+SELECT event_id, uid, access_time_ms, CASE WHEN uid IS NOT NULL THEN session_no END AS session_no
+FROM ({SESSIONS})""",
     VISITORS,
 )
 sql(

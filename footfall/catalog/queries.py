@@ -557,7 +557,9 @@ def loaded_files(spark, sf_dir):
             inputs.one_file(spark, at, f"{at}.log")
         run_etl(spark, root, rules, f"{path}/{day.day}", day)
     found = [
-        spark.read.parquet(f"{path}/{n}").select(F.lit(n).alias("load"), "uid", "access_time", "b_n")
+        spark.read.parquet(f"{path}/{n}").select(
+            F.lit(n).alias("load"), "uid", "access_time", "b_n"
+        )
         for n in (1, 2)
     ]
     return found[0].union(found[1])

@@ -82,7 +82,8 @@ def check_rules(rules: DataFrame) -> dict[int, RuleSize]:
     )
     buckets = F.when(first, bucket("end_num") - bucket("start_num") + 1)
     # Two bounds, a bucket and the headers of three texts, besides the texts themselves.
-    width = F.lit(72) + sum((F.octet_length(F.coalesce(c, F.lit(""))) for c in REGION_COLUMNS), F.lit(0))
+    texts = [F.octet_length(F.coalesce(c, F.lit(""))) for c in REGION_COLUMNS]
+    width = sum(texts, F.lit(72))
     found = (
         _with_bits(rules)
         .withColumn("_slot", F.explode_outer(slots))

@@ -1,7 +1,8 @@
 """Running traffic report: a stream of log lines into a table of totals per location.
 
 ``python -m footfall.plans.flow --servers host:9092 --topic event_log --rules /ip_rules
---table /flow --checkpoint /checkpoints/flow --out /reports``; with ``--dir`` lines come from files instead.
+--table /flow --checkpoint /checkpoints/flow --out /reports``; with ``--dir`` lines come from
+files instead.
 """
 
 from __future__ import annotations
