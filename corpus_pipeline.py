@@ -53,8 +53,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text; ``round_trip`` tells whether decoding gives the text again."""
     own = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
-    decoded = bpe.decode(bpe.encode(own, RANKS), RANKS)
-    return decoded.select(
+    return bpe.encode(own, RANKS, decoded=True).select(
         "doc_id",
         "lang",
         "source",

@@ -106,7 +106,9 @@ def scan(
     dimensions = vectors.shape[1]
     head = min(len(vectors), max(4 * k, 32))
     first = _squares(queries, vectors[:head])
-    beat = np.partition(first, k - 1, axis=1)[:, k - 1] if head >= k else np.full(len(queries), np.inf)
+    beat = np.full(len(queries), np.inf)
+    if head >= k:
+        beat = np.partition(first, k - 1, axis=1)[:, k - 1]
     q = np.repeat(np.arange(len(queries)), len(vectors))
     v = np.tile(np.arange(len(vectors)), len(queries))
     at = min(block, dimensions)

@@ -8,6 +8,7 @@ and only a whole text is read as UTF-8 again, because a token may hold part of a
 from __future__ import annotations
 
 import base64
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Characters that go through the tokenizer at a time; bounds the memory of a task.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
 #: No match of the split pattern runs from other characters into one of these blanks, so a text
 #: may be cut in front of them.
 CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85\xa0])(?=[ \t\n\r])")
@@ -35,31 +36,33 @@ class ByteBpe:
     """One rank file as a tokenizer, and its ids as bytes."""
 
     def __init__(self, path: str):
+        # A task is one thread of Spark's; more threads would only hold more memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, models, pre_tokenizers
 
         with open(path, "rb") as lines:
             pairs = (line.split() for line in lines)
-            self.ranks = {base64.b64decode(p[0]): int(p[1]) for p in pairs if p}
+            ranks = {base64.b64decode(p[0]): int(p[1]) for p in pairs if p}
         characters = byte_characters()
-        name = {t: "".join(characters[b] for b in t) for t in self.ranks}
+        name = {t: "".join(characters[b] for b in t) for t in ranks}
         # A token may be formed from any two others it consists of, as soon as its rank is the
         # lowest in sight; so all its splits are merges, in the order of the ranks.
         merges = []
-        for token, _ in sorted(self.ranks.items(), key=lambda x: x[1]):
+        for token, _ in sorted(ranks.items(), key=lambda x: x[1]):
             splits = [(token[:i], token[i:]) for i in range(1, len(token))]
-            known = [(a, b) for a, b in splits if a in self.ranks and b in self.ranks]
-            known.sort(key=lambda x: (self.ranks[x[0]], self.ranks[x[1]]))
+            known = [(a, b) for a, b in splits if a in ranks and b in ranks]
+            known.sort(key=lambda x: (ranks[x[0]], ranks[x[1]]))
             merges += [(name[a], name[b]) for a, b in known]
-        vocabulary = {name[t]: rank for t, rank in self.ranks.items()}
+        vocabulary = {name[t]: rank for t, rank in ranks.items()}
         self.tokenizer = Tokenizer(
             models.BPE(vocab=vocabulary, merges=merges, ignore_merges=True)
         )
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(
             add_prefix_space=False, use_regex=True
         )
-        size = max(self.ranks.values(), default=-1) + 1
+        size = max(ranks.values(), default=-1) + 1
         tokens = [b""] * size
-        for token, rank in self.ranks.items():
+        for token, rank in ranks.items():
             tokens[rank] = token
         self.lengths = np.array([len(t) for t in tokens], dtype=np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
@@ -141,12 +144,17 @@ def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, type=kind))
 
 
+#: Columns that encoding and decoding add.
+ADDED = ("ids", "starts", "packed", "decoded")
+
+
 def encode(
     docs: DataFrame,
     path: str,
     text_col: str = "text",
     offsets: bool = False,
     packed: bool = False,
+    decoded: bool = False,
     batch_rows: int = 256,
 ) -> DataFrame:
     """``docs`` with ``ids`` (array of int) from the rank file at ``path``.
@@ -154,16 +162,19 @@ def encode(
     Every match of the usual split pattern is encoded by itself; there are no special tokens,
     their strings are ordinary text. ``offsets`` adds ``starts``, the number of the character
     each id starts in; ``packed`` adds the ids as little-endian 32-bit integers, as files hold
-    them. A null or empty text has no ids. Own columns of these names are replaced. The file
-    has to be installed on every executor.
+    them; ``decoded`` adds the bytes that :func:`decode` makes of the ids, in the same pass. A
+    null or empty text has no ids. Own columns of these names are replaced. The file has to be
+    installed on every executor.
     """
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in ("ids", "starts", "packed")])
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in ADDED])
     at = docs.columns.index(text_col)
     fields = [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)]
     if offsets:
         fields.append(T.StructField("starts", T.ArrayType(T.IntegerType(), False), False))
     if packed:
         fields.append(T.StructField("packed", T.BinaryType(), False))
+    if decoded:
+        fields.append(T.StructField("decoded", T.BinaryType(), False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
@@ -177,6 +188,8 @@ def encode(
                     added.append(_lists([bpe.offsets(x) for x in ids], pa.int32()))
                 if packed:
                     added.append(pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()))
+                if decoded:
+                    added.append(pa.array([bpe.decode(x) for x in ids], pa.binary()))
                 names = [*batch.schema.names, *(f.name for f in fields)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
 

@@ -26,16 +26,16 @@ def components(links: DataFrame) -> DataFrame:
     )
     while True:
         near = links.join(labels.withColumnRenamed("node", "other"), "other")
-        hooked = (
-            near.select("node", "label").union(labels).groupBy("node").agg(F.min("label").alias("label"))
-        )
+        reached = near.select("node", "label").union(labels)
+        hooked = reached.groupBy("node").agg(F.min("label").alias("label"))
         jumped = hooked.alias("x").join(
             labels.selectExpr("node AS label", "label AS next"), "label"
         )
         after = stored(
             jumped.select("node", F.least("label", "next").alias("label")), "labels"
         )
-        sums = [x.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0] for x in (labels, after)]
-        if sums[0] == sums[1]:
+        # Labels only become smaller, so they are final when their sum is.
+        total = F.sum(F.col("label").cast("decimal(38,0)"))
+        if labels.agg(total).first() == after.agg(total).first():
             return after
         labels = after

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm.common import quoted, stored
+from footfall.llm.common import quoted
 
 #: Features are hashes of n-grams of these lengths, in bytes of UTF-8.
 SIZES = (1, 2, 3)
@@ -106,7 +106,10 @@ def softmax(scores: np.ndarray) -> np.ndarray:
 
 
 def ftrl(
-    rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: int, epochs: int = EPOCHS
+    rows: list[tuple[np.ndarray, np.ndarray]],
+    labels: np.ndarray,
+    classes: int,
+    epochs: int = EPOCHS,
 ) -> np.ndarray:
     """Weights by FTRL-Proximal with one learning rate per weight, in the order of ``rows``.
 
@@ -172,7 +175,8 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
             [pa.array(at, pa.int32()), pa.array(total[at])], names=["feature", "n"]
         )
 
-    summed = texts.mapInArrow(run, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(run, "feature int, n long")
+    summed = counted.groupBy("feature").agg(F.sum("n").alias("n"))
     found = np.zeros(BUCKETS + 1, dtype=np.int64)
     for row in summed.toLocalIterator():
         found[row.feature] = row.n
@@ -228,14 +232,20 @@ def train(
                 )
 
     taken = sample.mapInArrow(run, "hash long, lang string, at array<int>, n array<int>")
-    found = sorted(taken.collect(), key=lambda r: (r.hash, r.lang, r.at, r.n))
+    # As Arrow columns: numbers of 4 bytes, not Python objects.
+    found = taken.toArrow().combine_chunks()
+    hashes = found.column("hash").to_numpy()
+    langs = found.column("lang").to_pylist()
+    ends = np.cumsum([0, *found.column("at").combine_chunks().value_lengths().to_pylist()])
+    at, n = (found.column(c).combine_chunks().flatten().to_numpy() for c in ("at", "n"))
     number = {k: i for i, k in enumerate(languages)}
     vectors, labels = [], []
-    for row in found:
+    # In an order that does not depend on how the rows were read.
+    for i in sorted(range(len(langs)), key=lambda i: (hashes[i], langs[i], ends[i + 1] - ends[i])):
         count = np.zeros(BUCKETS, dtype=np.int64)
-        count[row.at] = row.n
+        count[at[ends[i] : ends[i + 1]]] = n[ends[i] : ends[i + 1]]
         vectors.append(tf_idf(count, idf))
-        labels.append(number[row.lang])
+        labels.append(number[langs[i]])
     labels = np.array(labels, dtype=np.int64)
     held = np.arange(len(labels)) % CALIBRATION == CALIBRATION - 1
     weights = ftrl(
@@ -258,7 +268,8 @@ def predict(
     A text that is null or has no letter is ``und`` with score 0. The score is the calibrated
     probability of the language. Own columns of these names are replaced.
     """
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in (pred_col.lower(), score_col.lower())])
+    added = (pred_col.lower(), score_col.lower())
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
     at = docs.columns.index(text_col)
     schema = T.StructType(
         [

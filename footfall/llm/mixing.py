@@ -161,7 +161,8 @@ def mix(
     draws = rows.join(plan, "source").withColumn(
         "epoch", F.explode(F.when(last >= 0, F.sequence(F.lit(0).cast("long"), last)))
     )
-    name = F.concat_ws(":", F.lit(str(seed)), F.col("epoch"), F.coalesce(F.col("id").cast("string"), F.lit("")))
+    own_id = F.coalesce(F.col("id").cast("string"), F.lit(""))
+    name = F.concat_ws(":", F.lit(str(seed)), F.col("epoch"), own_id)
     draws = draws.withColumn("key", F.md5(name))
     part = F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.col("buckets")
     draws = draws.withColumn("bucket", F.shiftright(part, 32))

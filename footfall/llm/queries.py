@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm.ann import nearest
-from footfall.llm.bpe import decode, encode
+from footfall.llm.bpe import encode
 from footfall.llm.common import importable, table, text_or_empty
 from footfall.llm.exact_dedup import exact_dedup
 from footfall.llm.langid import held_out, predict, train
@@ -139,8 +139,7 @@ FROM cut
 @query
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = encode(docs, BPE_RANKS, packed=True).drop("text")
-    return decode(encoded, BPE_RANKS).select(
+    return encode(docs, BPE_RANKS, packed=True, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2("packed", 256).alias("ids_sha256"),

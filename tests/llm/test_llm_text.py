@@ -55,13 +55,14 @@ def test_bpe_offsets_of_split_characters():
 
 
 def test_bpe_rows(docs, empty, known):
-    found = bpe.decode(bpe.encode(docs, RANKS, offsets=True, packed=True), RANKS)
+    found = bpe.encode(docs, RANKS, offsets=True, packed=True, decoded=True)
+    found = bpe.decode(found.withColumnRenamed("decoded", "at_once"), RANKS)
     rows = found.withColumn("again", F.col("decoded").cast("string")).collect()
     assert len(rows) == docs.count()
     for r in rows:
         assert r.ids == known.encode_ordinary(r.text or "") and r.again == (r.text or "")
         assert r.packed == b"".join(i.to_bytes(4, "little") for i in r.ids)
-        assert len(r.starts) == len(r.ids) and r.row == "own"
+        assert len(r.starts) == len(r.ids) and r.row == "own" and r.at_once == r.decoded
     assert bpe.decode(bpe.encode(empty, RANKS), RANKS).count() == 0
 
 
