@@ -32,8 +32,10 @@ BANDS, ROWS = 60, 6
 STAR_ROUNDS = 2
 #: Nodes from which a component is compared as a whole, and shingles of a block of it.
 LARGE, BLOCK_SHINGLES = 16, 1 << 18
+#: Members of small components from which a bucket is compared in blocks.
+CROWDED = 32
 #: Bytes of text that are hashed at a time.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -227,12 +229,13 @@ def linked_nodes(
 
     A link is a pair of one bucket with at least ``percent`` hundredths of its union in common.
     In each star round every bucket that still spans several components picks a hub, and the
-    members outside the hub's component are compared with it. Two exact steps settle what is
-    left: a node that meets a large component in a bucket is compared with all of it, block by
-    block, where only links leave the task; and nodes of small components are compared pair by
-    pair, but for pairs that cannot be links: those whose sizes differ too much, and those whose
-    distances to the bucket's first hub differ by more than the distance of a link (the Jaccard
-    distance obeys the triangle inequality). So no link of a bucket is lost, whatever the hubs.
+    members outside the hub's component are compared with it. Exact steps settle what is left:
+    a node that meets a large component in a bucket is compared with all of it, block by block,
+    where only links leave the task; so are the members of small components in a crowded
+    bucket; in other buckets they are compared pair by pair, but for pairs that cannot be
+    links: those whose sizes differ too much, and those whose distances to the bucket's first
+    hub differ by more than the distance of a link (the Jaccard distance obeys the triangle
+    inequality). So no link of a bucket is lost, whatever the hubs.
     """
     live = members.withColumn("label", F.col("node"))
     seen = first_hubs = labels = None
@@ -260,9 +263,12 @@ def linked_nodes(
     )
     live = live.join(large, "label", "left")
     across = _across(live, labels, large, sets, percent)
-    small = live.filter("size IS NULL")
+    small = live.filter("size IS NULL").select("bucket", "node", "n", "label")
+    counts = small.groupBy("bucket").agg(F.count("*").alias("members"))
+    small = stored(small.join(counts, "bucket"), "small")
+    within = _within(small.filter(f"members >= {CROWDED}"), sets, percent)
     rest = compared(_fresh_pairs(_rest(small, first_hubs, seen, percent), seen), sets)
-    links = _links(seen, percent).union(_links(rest, percent)).union(across)
+    links = _links(seen, percent).union(_links(rest, percent)).union(across).union(within)
     return components(links)
 
 
@@ -275,8 +281,7 @@ def _across(
 ) -> DataFrame:
     """Links (a, b) between large components and the nodes that meet them in a bucket.
 
-    Of two large components the smaller one's nodes are compared with the larger one. Both sides
-    are dealt to blocks of about ``BLOCK_SHINGLES``, so a component of any size is many tasks.
+    Of two large components the smaller one's nodes are compared with the larger one.
     """
     met = live.filter("size IS NOT NULL").selectExpr("bucket", "label AS other", "size AS weight")
     asking = (
@@ -285,10 +290,26 @@ def _across(
         .selectExpr("node", "n", "other AS label")
         .distinct()
     )
-    asking = stored(asking, "asking")
     held = labels.join(large, "label").join(
         sets.select("node", F.size("shingles").alias("n")), "node"
     )
+    return _block_links(held, stored(asking, "asking"), sets, percent)
+
+
+def _within(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) inside buckets, for their members (bucket, node, n)."""
+    own = crowded.selectExpr("node", "n", "bucket AS label")
+    return _block_links(own, own, sets, percent).filter("a <> b")
+
+
+def _block_links(
+    held: DataFrame, asking: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """Links between the nodes of ``held`` and ``asking`` (node, n, label) of equal label.
+
+    Both sides are dealt to blocks of about ``BLOCK_SHINGLES``, so a label of any size is many
+    tasks, and only links leave them.
+    """
 
     def blocks(frame, name):
         total = F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int")
@@ -307,7 +328,15 @@ def _across(
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}_parts") - 1)))
             .select("node", "label", own, other)
             .join(sets, "node")
-            .groupBy("label", "v", "q")
+            # Names of their own, as both sides may come from one frame.
+            .select(
+                F.col("label").alias(f"{own}_label"),
+                F.col("v").alias(f"{own}_v"),
+                F.col("q").alias(f"{own}_q"),
+                F.col("node").alias(f"{own}_node"),
+                F.col("shingles").alias(f"{own}_shingles"),
+            )
+            .groupBy(f"{own}_label", f"{own}_v", f"{own}_q")
         )
 
     def compare(members: pa.Table, queries: pa.Table) -> pa.Table:
@@ -315,7 +344,7 @@ def _across(
             *(
                 x
                 for table in (members, queries)
-                for x in (table.column("node").to_numpy(), _arrays(table.column("shingles")))
+                for x in (table.column(3).to_numpy(), _arrays(table.column(4)))
             ),
             percent,
         )
@@ -387,7 +416,8 @@ def _live(members: DataFrame, labels: DataFrame) -> DataFrame:
 def _rest(live: DataFrame, hubs: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
     """The pairs across components that may still be links, by size and distance to the hub.
 
-    A pair comes from the first bucket it shares, so it is made once.
+    A pair comes from the first bucket it shares, so it is made once; where that bucket is a
+    crowded one, its members are compared in blocks instead.
     """
     known = seen.selectExpr("a AS hub", "b AS node", "common", "all").union(
         seen.selectExpr("b AS hub", "a AS node", "common", "all")
@@ -395,7 +425,8 @@ def _rest(live: DataFrame, hubs: DataFrame, seen: DataFrame, percent: int) -> Da
     # A node is in one bucket per band at most, so its list is short.
     shared = live.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))
     placed = stored(
-        live.join(hubs, "bucket")
+        live.filter(f"members < {CROWDED}")
+        .join(hubs, "bucket")
         .join(known, ["hub", "node"], "left")
         .join(shared, "node")
         .selectExpr(

@@ -68,10 +68,11 @@ def corpus(seed, families=12, copies=25):
     return rows
 
 
-@pytest.mark.parametrize("large", [4, 10**6])
-def test_near_finds_every_link(saved, monkeypatch, large):
-    # Either way of settling what the stars leave: whole components, and single pairs.
+@pytest.mark.parametrize("large, crowded", [(4, 32), (10**6, 10**6), (10**6, 2), (10**6, 5)])
+def test_near_finds_every_link(saved, monkeypatch, large, crowded):
+    # Each way of settling what the stars leave: components, crowded buckets, single pairs.
     monkeypatch.setattr(minhash, "LARGE", large)
+    monkeypatch.setattr(minhash, "CROWDED", crowded)
     monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 200)
     rows = corpus(5)
     found = minhash.near_duplicates(saved(rows), words=2, star_rounds=1).collect()
