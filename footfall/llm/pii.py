@@ -7,6 +7,7 @@ at the start of a run of digits, so no expression is tried from each character o
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -28,9 +29,37 @@ DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")
+IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+IBAN_SIGN = re.compile(r" ?[A-Z0-9]")
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 
+#: Signs of an IBAN without its spaces, and those of the countries of the register.
+IBAN_SIGNS = range(15, 35)
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO",
+        16: "BE",
+        18: "DK FI FK FO GL NL SD",
+        19: "MK SI",
+        20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST",
+        26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA",
+        30: "JO KW MU YE",
+        31: "MT SC",
+        32: "LC",
+        33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
 #: How sure a span is before its surroundings are read, and the words that make it surer.
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "ssn": 0.4}
 CONTEXT = {
@@ -105,10 +134,31 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for found in IBAN.finditer(text):
-        compact = found[0].replace(" ", "")
-        if 15 <= len(compact) <= 34 and mod97(compact):
-            yield found.span()
+    """From each start, the end at a word border that passes: that of the country's length, or
+    else the farthest that runs into none of those. A start that fails hides none behind it."""
+    sure, others = [(0, 0)], []
+    for found in IBAN_START.finditer(text):
+        compact, end, ends = found[0], found.end(), {}
+        while len(compact) < IBAN_SIGNS[-1] and (sign := IBAN_SIGN.match(text, end)):
+            compact, end = compact + sign[0][-1], sign.end()
+            behind = text[end : end + 1]
+            border = not (behind.isascii() and behind.isalnum())
+            if border and len(compact) in IBAN_SIGNS and mod97(compact):
+                ends[len(compact)] = end
+        own = ends.get(IBAN_LENGTHS.get(compact[:2]))
+        if own and found.start() >= sure[-1][1]:
+            sure.append((found.start(), own))
+        elif ends:
+            others.append((found.start(), list(ends.values())))
+    sure.append((len(text), len(text)))
+    done = 0
+    for start, ends in others:
+        at = bisect(sure, (start, len(text)))
+        fitting = [end for end in ends if end <= sure[at][0]]
+        if fitting and start >= max(done, sure[at - 1][1]):
+            done = max(fitting)
+            yield start, done
+    yield from sure[1:-1]
 
 
 def _ssns(text: str) -> Iterator[tuple[int, int]]:

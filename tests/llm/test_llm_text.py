@@ -117,6 +117,31 @@ def test_pii_checks_and_context():
     assert not [s for s in pii.find_spans("no 123-45-6789") if s.kind == "ssn"]
 
 
+def test_ibans_before_other_words():
+    one, two, three = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO9386011117947"
+    behind = (" BIC COBADEFFXXX", " Thanks", " Please", " EUR 50", " 2024-01-01", " 7", f" {three}")
+    for iban in (one, two, three):
+        for after in ("", *behind, " and", ".", "é"):
+            text = f"IBAN {iban}{after}"
+            found = [text[s.start : s.end] for s in pii.find_spans(text) if s.kind == "iban"]
+            assert found == [iban, three][: 1 + (three in after)], text
+    # a failed start hides none behind it; a number with one more sign is none
+    text = f"AB12 {one}, {one}X {one}x {one[:-1]}1 {two}"
+    assert [text[s.start : s.end] for s in pii.find_spans(text) if s.kind == "iban"] == [one, two]
+    # the length of the country goes before a longer end that passes too
+    longer = next(w for w in map(str, range(100)) if pii.mod97(one + w))
+    (span,) = [s for s in pii.find_spans(f"{one} {longer}") if s.kind == "iban"]
+    assert span.end == len(one)
+    # where no length is known, the farthest end that passes counts
+    head = next(f"ZZ{n:02}" for n in range(100) if pii.mod97(f"ZZ{n:02}" + "1" * 12))
+    tail = next(w for w in map(str, range(100)) if pii.mod97(head + "1" * 12 + w))
+    text = f"{head}{'1' * 12} {tail}"
+    (span,) = [s for s in pii.find_spans(text) if s.kind == "iban"]
+    assert span.end == len(text)
+    for bad in ("AB12 " * 20000, "AB12" * 25000, "AB12" + " 1" * 50000, "AB12 1 1 1 1 1 1 1 1 1 1 1 " * 4000):
+        pii.find_spans(bad)
+
+
 def test_pii_rows(docs, empty, saved):
     assert pii.find_pii(docs).count() == docs.count()
     assert pii.find_pii(empty).count() == 0
