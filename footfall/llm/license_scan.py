@@ -69,32 +69,32 @@ THRESHOLD = 0.75
 SPLIT = "[^a-z0-9]+"
 #: Decimals a cosine is rounded to before it is compared.
 DECIMALS = 6
+#: Parts a term common to many passages is dealt over where its weight is looked up.
+SALTS = 16
 
 
 def terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), SPLIT), lambda t: t != "")
 
 
-def inverse_frequencies(
-    files: DataFrame, text_col: str, words: Sequence[str]
-) -> tuple[dict[str, float], float]:
-    """``ln((1 + files) / (1 + files with the term)) + 1`` of ``words``, and of an unseen word.
+def document_frequencies(files: DataFrame, text_col: str) -> DataFrame:
+    """``term n``: in how many files each term is; the empty term counts the files.
 
-    Counted over all files and whole texts. A file keeps the words it shares with ``words``, once
-    each, and every task adds up its own before the shuffle.
+    Counted over all files and whole texts; every task adds up its own before the shuffle.
     """
-    text = text_or_empty(quoted(text_col))
-    known = F.array(*[F.lit(w) for w in words])
-    shared = F.array_intersect(F.split(F.lower(text), SPLIT), known)
-    counted = (
-        files.select(F.explode(F.array_append(shared, F.lit(""))).alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("n"))
-    )
-    found = {r.term: r.n for r in counted.collect()}  # a row per template word
+    found = F.array_distinct(terms(text_or_empty(quoted(text_col))))
+    each = files.select(F.explode(F.array_append(found, F.lit(""))).alias("term"))
+    return each.groupBy("term").agg(F.count("*").alias("n"))
+
+
+def inverse_frequencies(
+    frequencies: DataFrame, words: Sequence[str]
+) -> tuple[dict[str, float], int]:
+    """``ln((1 + files) / (1 + files with the term)) + 1`` of ``words``, and the files."""
+    rows = frequencies.filter(F.col("term").isin("", *words)).collect()  # template words only
+    found = {r.term: r.n for r in rows}
     total = found.get("", 0)
-    idf = {w: math.log((1 + total) / (1 + found.get(w, 0))) + 1 for w in words}
-    return idf, math.log(1 + total) + 1
+    return {w: math.log((1 + total) / (1 + found.get(w, 0))) + 1 for w in words}, total
 
 
 def distinctive(vectors: dict[int, dict[str, float]], threshold: float) -> list[str]:
@@ -146,10 +146,12 @@ def scan_licenses(
     split = [re.split(SPLIT, notice.lower()) for _, notice in templates]
     counts = [{t: ts.count(t) for t in ts if t} for ts in split]
     words = sorted({t for c in counts for t in c})
-    idf, unseen = inverse_frequencies(files, text_col, words)
+    frequencies = stored(document_frequencies(files, text_col), "frequencies")
+    idf, total = inverse_frequencies(frequencies, words)
     vectors = {i: {t: n * idf[t] for t, n in c.items()} for i, c in enumerate(counts)}
     found = stored(
-        _own(files, row, text_col, templates, vectors, idf, unseen, threshold), "licenses"
+        _own(files, row, text_col, templates, vectors, idf, frequencies, total, threshold),
+        "licenses",
     )
     rest = [c for c in files.columns if c != text_col]
     path = F.col(quoted(path_col))
@@ -192,7 +194,7 @@ def scan_licenses(
     )
 
 
-def _own(files, row, text_col, templates, vectors, idf, unseen, threshold) -> DataFrame:
+def _own(files, row, text_col, templates, vectors, idf, frequencies, total, threshold):
     """``row best whole whole_license`` for files with a passage that reaches the threshold."""
     spark = files.sparkSession
     needed = F.array(*[F.lit(t) for t in distinctive(vectors, threshold)])
@@ -217,20 +219,45 @@ def _own(files, row, text_col, templates, vectors, idf, unseen, threshold) -> Da
         .select(row, "p.line", "p.passage")
         .filter(may_match(F.col("passage")))
     )
-    weighted = (
-        passages.select(row, "line", F.explode(terms(F.col("passage"))).alias("term"))
-        .groupBy(row, "line", "term")
+    unit = [row, "line"]
+    counted = (
+        passages.select(*unit, F.explode(terms(F.col("passage"))).alias("term"))
+        .groupBy(*unit, "term")
         .agg(F.count("*").alias("n"))
         .join(F.broadcast(weights), "term", "left")
-        .withColumn("w", F.col("n") * F.coalesce("idf", F.lit(unseen)))
+        .withColumn("w", F.col("n") * F.col("idf"))
     )
-    dots = weighted.groupBy(row, "line").agg(
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"),
+    other = F.col("idf").isNull()
+    parts = counted.groupBy(*unit).agg(
+        F.coalesce(F.sum(F.col("w") * F.col("w")), F.lit(0.0)).alias("known"),
+        F.sum(F.when(other, F.col("n") * F.col("n")).otherwise(0)).alias("least"),
+        F.collect_list(F.when(other, F.struct("term", "n"))).alias("others"),
         *[
             F.sum(F.col("w") * F.coalesce(f"v{i}", F.lit(0.0))).alias(f"d{i}")
             for i in range(len(templates))
         ],
     )
+    # No term weighs less than 1: what stays below the threshold even so is left out early.
+    highest = F.greatest(*[F.col(f"d{i}") / F.lit(x) for i, x in enumerate(lengths)])
+    near = stored(
+        parts.filter(highest >= F.lit(threshold - 1e-6) * F.sqrt(F.col("known") + F.col("least"))),
+        "near",
+    )
+    rest = near.select(*unit, F.explode("others").alias("o")).select(*unit, "o.term", "o.n")
+    idfs = rest.select("term").distinct().join(frequencies, "term").select(
+        "term",
+        (F.log(F.lit(1.0 + total) / (1 + F.col("n"))) + 1).alias("idf"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+    )
+    rest = (
+        rest.withColumn("salt", F.pmod(F.xxhash64(row), F.lit(SALTS)).cast("int"))
+        .join(idfs, ["term", "salt"])
+        .groupBy(*unit)
+        .agg(F.sum(F.pow(F.col("n") * F.col("idf"), 2)).alias("rest"))
+    )
+    dots = near.join(rest, unit, "left").withColumn(
+        "length", F.sqrt(F.col("known") + F.coalesce("rest", F.lit(0.0)))
+    )
     scored = [
         F.struct(
             F.round(F.col(f"d{i}") / (F.col("length") * F.lit(lengths[i])), DECIMALS).alias("s"),

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import struct
 from collections import Counter, defaultdict
 
@@ -215,6 +216,40 @@ def test_licenses(saved):
     )
 
 
+def plain_cosine(passage, notice, texts):
+    """TF-IDF over all terms of all texts."""
+    words = lambda text: [t for t in re.split("[^a-z0-9]+", text.lower()) if t]
+    found = Counter(t for text in texts for t in set(words(text)))
+
+    def vector(text):
+        return {t: n * (math.log((1 + len(texts)) / (1 + found[t])) + 1) for t, n in Counter(words(text)).items()}
+
+    a, b = vector(passage), vector(notice)
+    size = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    return sum(x * b.get(t, 0.0) for t, x in a.items()) / (size(a) * size(b))
+
+
+def test_license_lines_with_common_words(saved):
+    lines = (
+        "Released under the MIT License. en",
+        "en on Licensed under the Apache License, Version 2.0.",
+        "en on da This work is licensed under the GNU General Public License, version 3.",
+        "Released rarely under the MIT License.",
+    )
+    filler = [f"int x{i};\nen on da" for i in range(3000)]
+    texts = [*(f"{line}\nint y{i};" for i, line in enumerate(lines)), *filler]
+    rows = license_scan.scan_licenses(
+        saved([(f"{i}/x", t) for i, t in enumerate(texts)], "path string, text string")
+    ).filter("license IS NOT NULL").collect()
+    found = {int(r.path[:-2]): (r.license, r.similarity) for r in rows}
+    assert {i: v[0] for i, v in found.items() if i < 3} == {0: "MIT", 1: "Apache-2.0", 2: "GPL-3.0"}
+    for i, line in enumerate(lines):
+        wanted = max(plain_cosine(line, notice, texts) for _, notice in license_scan.TEMPLATES)
+        assert (wanted >= 0.75) == (i in found)
+        assert i not in found or abs(found[i][1] - wanted) < 2e-6
+    assert set(found) <= set(range(4))
+
+
 def test_license_edges(docs, empty):
     files = docs.withColumn("path", F.concat_ws("/", "source", "doc_id"))
     rows = license_scan.scan_licenses(files).collect()
