@@ -2,6 +2,7 @@ import math
 import random
 import re
 import struct
+import textwrap
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -250,6 +251,31 @@ def test_license_lines_with_common_words(saved):
     assert set(found) <= set(range(4))
 
 
+def test_license_wrapped_headers_and_texts(saved):
+    notices, texts = dict(license_scan.TEMPLATES + license_scan.NOTICES), dict(license_scan.TEXTS)
+    code = "".join(f"\nint value{i} = call{i}(argument{i});" for i in range(60))
+    rows = [("mit/LICENSE", texts["MIT"].replace("(c)", "(c) 2020 Jane Doe")), ("mit/a.c", "int a;")]
+    rows += [("gpl/COPYING", texts["GPL-3.0"]), ("gpl/a.c", "int b;")]
+    for name in ("Apache-2.0", "MIT", "BSD-3-Clause", "GPL-3.0", "GPL-2.0"):
+        for mark, width in ((" * ", 60), ("# ", 40)):
+            wrapped = "\n".join(mark + x for x in textwrap.wrap(" ".join(notices[name].split()), width))
+            rows.append((f"{name}/{width}/head", f"{wrapped}\n{code}"))
+            rows.append((f"{name}/{width}/deep", f"{code}\n{wrapped}\n{code}"))
+    for name in ("BSD-2-Clause", "BSD-3-Clause", "MIT", "ISC"):
+        rows.append((f"{name}/0/text", f"/*\n{texts[name]}*/{code}"))
+    rows.append(("none/0/x", "the license of this software and the version of the program" + code))
+    found = license_scan.scan_licenses(saved(rows, "path string, text string")).collect()
+    for r in found:
+        first, *rest = r.path.split("/")
+        if first in ("mit", "gpl"):
+            wanted = {"mit": "MIT", "gpl": "GPL-3.0"}[first], "directory" if rest == ["a.c"] else "file"
+        else:
+            wanted = (None, None) if first == "none" else (first, "header")
+        assert (r.license, r.origin) == wanted, r
+        if rest[-1] == "deep":
+            assert r.line == 61, r
+
+
 def test_license_edges(docs, empty):
     files = docs.withColumn("path", F.concat_ws("/", "source", "doc_id"))
     rows = license_scan.scan_licenses(files).collect()
