@@ -18,8 +18,10 @@ from footfall.llm.license_scan import TEMPLATES, THRESHOLD, scan_licenses
 from footfall.llm.minhash import near_duplicates
 from footfall.llm.mixing import BLOCK_TOKENS, mix
 from footfall.llm.pii import BASE_KINDS, find_pii
+from footfall.llm.secret_scan import BASE_RULES, RULES, scan_secrets
 from footfall.llm.sharding import even_tree, grown, put_in_shards
 from footfall.llm.token_counts import count_tokens
+from footfall.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -289,3 +291,64 @@ FROM files LEFT JOIN best b USING (f) LEFT JOIN inherited i USING (f)
 
 
 ORACLE_SQL["op9_license_scan"] = _license_sql()
+
+
+@query
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as versions: a file per source and hundred ids, and in it the id as version."""
+    path = F.concat_ws("/", "source", F.expr("CAST(doc_id DIV 100 AS STRING)"))
+    versions = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    found = scan_secrets(versions, work_dir(spark, "secret-ledger"), version_col="doc_id")
+    kinds = [r.kind for r in BASE_RULES]
+
+    def joined(spans):
+        one = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+        return F.array_join(F.transform(spans, one), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in kinds],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+def _secret_sql() -> str:
+    def matches(i, rule):
+        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+        found = f"regexp_extract_all(text, {pattern})"
+        return f"""
+  SELECT r, {i} AS rank, '{rule.kind}' AS kind, {rule.least} AS least,
+         UNNEST(range(len({found}))) AS nth,
+         UNNEST({found}) AS match,
+         UNNEST(regexp_extract_all(text, {pattern}, {rule.group})) AS value,
+         UNNEST(string_split_regex(text, {pattern})[1:len({found})]) AS piece
+  FROM t WHERE regexp_matches(text, {pattern})"""
+
+    parts = "\n  UNION ALL".join(matches(i, rule) for i, rule in enumerate(RULES))
+    joined = "string_agg({}kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop)"
+    base = joined.format("") + f" FILTER (WHERE rank < {len(BASE_RULES)})"
+    counts = ", ".join(
+        f"count(kind) FILTER (WHERE kind = '{rule.kind}') AS n_{rule.kind}" for rule in BASE_RULES
+    )
+    return f"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), m AS ({parts}
+), ended AS (
+  SELECT *, sum(len(piece) + len(match)) OVER (PARTITION BY r, rank ORDER BY nth)::BIGINT AS stop
+  FROM m
+), s AS (
+  SELECT r, rank, kind, stop - len(match) AS start, stop FROM ended WHERE len(value) >= least
+)
+SELECT doc_id, {counts}, sha256(coalesce({base}, '')) AS base_sha256,
+       coalesce({joined.format("")}, '') AS spans
+FROM t LEFT JOIN s USING (r) GROUP BY r, doc_id
+"""
+
+
+ORACLE_SQL["op13_secret_scan"] = _secret_sql()
