@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm.ann import nearest
 from footfall.llm.bpe import encode
+from footfall.llm.collocations import MAX_WORDS, MIN_COUNT, TOP, collocations
 from footfall.llm.common import importable, table, text_or_empty
 from footfall.llm.exact_dedup import exact_dedup
 from footfall.llm.langid import held_out, predict, train
@@ -352,3 +353,54 @@ FROM t LEFT JOIN s USING (r) GROUP BY r, doc_id
 
 
 ORACLE_SQL["op13_secret_scan"] = _secret_sql()
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+ORACLE_SQL["op12_collocations"] = rf"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+           AS text
+  FROM documents
+), piece AS (
+  SELECT lang, UNNEST(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t
+), w AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM piece
+), total AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang
+), start AS (
+  SELECT lang, w, UNNEST(range(1, len(w) + 1)) AS i FROM w
+), gram AS (
+  SELECT lang, w[i:i + m - 1] AS words
+  FROM start, UNNEST(range(1, {MAX_WORDS + 1})) AS u(m) WHERE i + m - 1 <= len(w)
+), f AS (
+  SELECT lang, words, count(*) AS f FROM gram GROUP BY lang, words
+  HAVING count(*) >= {MIN_COUNT}
+), cand AS (
+  SELECT lang, words, f AS a FROM f WHERE len(words) > 1
+), cut AS (
+  SELECT c.lang, c.words, a, n, k, l.f AS l, r.f AS r,
+         ((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (SELECT *, UNNEST(range(1, len(words))) AS k FROM cand) c
+       JOIN total USING (lang)
+       JOIN f l ON l.lang = c.lang AND l.words = c.words[1:k]
+       JOIN f r ON r.lang = c.lang AND r.words = c.words[k + 1:]
+), best AS (
+  SELECT * EXCLUDE (words), array_to_string(words, ' ') AS phrase, len(words) AS size FROM cut
+  QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+), kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    FROM best x
+    WHERE x.lang = b.lang AND x.size > b.size AND 100 * x.a >= 100 * b.a
+          AND contains(' ' || x.phrase || ' ', ' ' || b.phrase || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM kept
+QUALIFY rank <= {TOP}
+"""
