@@ -22,6 +22,8 @@ from footfall.llm.pii import BASE_KINDS, find_pii
 from footfall.llm.secret_scan import BASE_RULES, RULES, scan_secrets
 from footfall.llm.sharding import even_tree, grown, put_in_shards
 from footfall.llm.token_counts import count_tokens
+from footfall.llm.variants import DAMAGE, MIN_LENGTH, TIMES, group_variants
+from footfall.llm.variants import MIN_COUNT as MIN_WORD_COUNT
 from footfall.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -404,3 +406,69 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM kept
 QUALIFY rank <= {TOP}
 """
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _variant_sql() -> str:
+    """CRC-32 by its table of 256 steps; near words by what is left when a letter goes."""
+    steps = []
+    for i in range(256):
+        for _ in range(8):
+            i = i >> 1 ^ (0xEDB88320 if i & 1 else 0)
+        steps.append(i)
+    return rf"""
+WITH RECURSIVE t AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+           AS text
+  FROM documents
+), run AS (
+  SELECT id, UNNEST(regexp_extract_all(text, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM t
+), counted AS (
+  SELECT id, run, count(*) AS n FROM run WHERE len(run) >= {MIN_LENGTH} GROUP BY id, run
+), bytes AS (
+  SELECT run, n, hex(encode(id || ':' || run)) AS h FROM counted
+), crc AS (
+  SELECT run, n, xor(list_reduce(
+    list_transform(range(len(h) // 2), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::UBIGINT),
+    lambda c, b: xor(c >> 8, ({steps}::UBIGINT[])[((xor(c, b) & 255) + 1)::BIGINT]),
+    4294967295::UBIGINT), 4294967295::UBIGINT) AS h
+  FROM bytes
+), word AS (
+  SELECT CASE WHEN h % {DAMAGE} = 0
+              THEN run[1:(h % len(run))::BIGINT] || run[(h % len(run))::BIGINT + 2:] ELSE run
+         END AS word, sum(n)::BIGINT AS n
+  FROM crc GROUP BY 1 HAVING len(word) >= {MIN_LENGTH} AND sum(n) >= {MIN_WORD_COUNT}
+), cut AS (
+  SELECT word, n, i, word[1:i] || word[i + 2:] AS rest
+  FROM (SELECT word, n, UNNEST(range(len(word))) AS i FROM word)
+), near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n
+  FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM cut a JOIN word b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM cut a JOIN word b ON a.rest = b.word
+), top AS (
+  SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS form, max(near_n) AS form_n
+  FROM near GROUP BY word
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN form_n >= {TIMES} * n THEN form END AS form,
+         CASE WHEN form_n >= {TIMES} * n THEN form_n END AS form_n
+  FROM word LEFT JOIN top USING (word)
+), path(word, root) AS (
+  SELECT word, word FROM formed
+  UNION ALL
+  SELECT p.word, f.form FROM path p JOIN formed f ON f.word = p.root WHERE f.form IS NOT NULL
+)
+SELECT f.*, p.root
+FROM formed f JOIN path p ON p.word = f.word JOIN formed e ON e.word = p.root WHERE e.form IS NULL
+"""
+
+
+ORACLE_SQL["op11_spelling_variants"] = _variant_sql()
