@@ -112,7 +112,8 @@ def _cut(text: bytes) -> Iterator[bytes]:
                 end += 1
         yield text[start:end]
         start = end
-    yield text[start:]
+    if start < len(text):
+        yield text[start:]
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
