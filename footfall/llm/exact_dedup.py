@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import BLANKS, fresh, quoted, stored, text_or_empty
+from footfall.llm.common import BLANKS, fresh, identified, quoted, stored, text_or_empty
 
 SALTS = 16
 
@@ -28,6 +28,7 @@ def sha256(text: Column) -> Column:
 
 def text_groups(
     docs: DataFrame,
+    row_col: str,
     id_col: str = "doc_id",
     text_col: str = "text",
     digest: Callable[[Column], Column] = sha256,
@@ -35,15 +36,15 @@ def text_groups(
 ) -> DataFrame:
     """One row per different normalised text: ``digest text first group_size``.
 
-    ``first`` is the struct (id missing?, id, row) of the row that stays: the smallest id, ids
-    that are null last, and among repeated ids the row that is read first. The salt comes from
-    the row, so the copies of one text that survive the tasks (one per task) spread over
-    ``salts`` tasks before the last step combines ``salts`` rows.
+    ``row_col`` names each row. ``first`` is the struct (id missing?, id, row) of the row that
+    stays: the smallest id, ids that are null last, and among repeated ids the row of the smallest
+    name. The salt comes from the task, so the copies of one text that survive the tasks (one per
+    task) spread over ``salts`` tasks before the last step combines ``salts`` rows.
     """
     text = normalised(text_col)
     rows = docs.select(
         F.col(quoted(id_col)).alias("id"),
-        F.monotonically_increasing_id().alias("row"),
+        F.col(row_col).alias("row"),
         text.alias("text"),
     ).select(
         digest(F.col("text")).alias("digest"),
@@ -74,22 +75,20 @@ def exact_dedup(
 
     Texts are equal when they are identical after each run of ``[\\x20\\x09-\\x0D]`` became one
     space; null counts as empty. Of equal texts exactly one row is kept: the one with the
-    smallest id; a null id comes last; of repeated rows with that id the first one read. So
+    smallest id; a null id comes last; of repeated rows with that id always the same one. So
     ``keep_id`` is null only where every id of a group is null. An empty table gives no rows.
     Own columns of the names above are replaced.
 
     The rows find their group by digest alone where the last combining step saw one text under
-    that digest; where digests collide, the full text is compared again. ``docs`` has to give
-    its rows in the same order each time it is read, as a file scan does.
+    that digest; where digests collide, the full text is compared again.
     """
     added = {"keep_id", "group_size", "kept", "text_digest"}
     docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
-    groups = _groups(docs, id_col, text_col, digest, salts)
     text = fresh(docs, "normal_text")
-    row = fresh(docs, "row_number")
-    rows = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(
-        text, normalised(text_col)
-    )
+    row = fresh(docs, "row_name")
+    rows = identified(docs, row)
+    groups = _groups(rows, row, id_col, text_col, digest, salts)
+    rows = rows.withColumn(text, normalised(text_col))
     rows = rows.withColumn("text_digest", digest(F.col(text)))
     by_digest = F.col("doc.text_digest") == F.col("group.digest")
     parts = [(groups.filter("text IS NULL"), by_digest)]
@@ -119,16 +118,16 @@ def kept_rows(
     salts: int = SALTS,
 ) -> DataFrame:
     """The rows ``exact_dedup`` keeps, with their own columns only."""
-    groups = _groups(docs, id_col, text_col, digest, salts)
-    row = fresh(docs, "row_number")
+    row = fresh(docs, "row_name")
+    rows = identified(docs, row)
+    groups = _groups(rows, row, id_col, text_col, digest, salts)
     first = groups.select(F.col("first.row").alias(row))
-    rows = docs.withColumn(row, F.monotonically_increasing_id())
     return rows.join(first, row, "left_semi").drop(row)
 
 
-def _groups(docs, id_col, text_col, digest, salts) -> DataFrame:
+def _groups(docs, row_col, id_col, text_col, digest, salts) -> DataFrame:
     """The stored groups; ``text`` only where other texts share the digest."""
-    groups = text_groups(docs, id_col, text_col, digest, salts)
+    groups = text_groups(docs, row_col, id_col, text_col, digest, salts)
     texts = F.count("*").over(Window.partitionBy("digest"))
     return stored(
         groups.withColumn("texts", texts).select(

@@ -16,7 +16,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import fresh, quoted, stored, text_or_empty
+from footfall.llm.common import fresh, identified, quoted, stored, text_or_empty
 
 #: Customary license notices, as published with the licenses.
 TEMPLATES = (
@@ -176,13 +176,12 @@ def scan_licenses(
     the earlier line, the whole text first, and then to the earlier template. Of several license
     files in a directory the most similar one speaks for it, then the alphabetically last
     license. Directories are the parts of the path before a slash; a null path has none, a null
-    or empty text no license of its own. Own columns of the four names are replaced. ``files``
-    has to be read in the same order each time, as a file scan is.
+    or empty text no license of its own. Own columns of the four names are replaced.
     """
     added = ("license", "similarity", "line", "origin")
     files = files.drop(*[c for c in files.columns if c.lower() in added])
-    row = fresh(files, "row_number")
-    files = files.withColumn(row, F.monotonically_increasing_id())
+    row = fresh(files, "row_name")
+    files = identified(files, row)
     templates = [*templates, *notices, *texts]
     split = [re.split(SPLIT, notice.lower()) for _, notice in templates]
     counts = [{t: ts.count(t) for t in ts if t} for ts in split]

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm.common import fresh, quoted, stored
+from footfall.llm.common import fresh, identified, quoted, stored
 from footfall.llm.graph import components
 
 SHINGLE_WORDS = 5
@@ -457,6 +457,7 @@ def near_duplicates(
     bands: int = BANDS,
     band_rows: int = ROWS,
     star_rounds: int = STAR_ROUNDS,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: ``row id n_shingles component_id keep``.
 
@@ -464,13 +465,15 @@ def near_duplicates(
     their union, as far as they meet in a bucket (see ``BANDS``). ``component_id`` is the
     smallest id that links reach; null ids count only where there is no other. ``keep`` holds
     for one row per component: the one with the smallest id, nulls last, of repeated ids the one
-    read first. A text with fewer words is one shingle; a text without words, empty or null, has
-    none, is linked with nothing and is kept. Equal sets are one node, so copies cost one row
-    each. ``row`` is the number ``monotonically_increasing_id`` gives the document in ``docs``,
-    which must be read in the same order each time, as a file scan is.
+    with the smallest row name. A text with fewer words is one shingle; a text without words, empty
+    or null, has none, is linked with nothing and is kept. Equal sets are one node, so copies cost
+    one row each. ``row`` is the document's ``row_col``, or what ``identified`` names it.
     """
+    if row_col is None:
+        row_col = fresh(docs, "row_name")
+        docs = identified(docs, row_col)
     texts = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        F.col(row_col).alias("row"),
         F.col(quoted(id_col)).alias("id"),
         F.col(quoted(text_col)).alias("text"),
     )
@@ -478,26 +481,30 @@ def near_duplicates(
         "row", F.struct(F.col("id").isNull().alias("missing"), "id", "row").alias("first"), "text"
     )
     known = stored(features(rows, words, bands, band_rows), "shingle-features")
+    # The number of a class is read from this table alone, so it does not change.
     classes = stored(
         known.filter("n > 0")
         .groupBy("set_key")
-        .agg(F.min("row").alias("node"), F.min("first").alias("first")),
+        .agg(F.min("row").alias("row"), F.min("first").alias("first"))
+        .withColumn("node", F.monotonically_increasing_id()),
         "shingle-classes",
     )
-    nodes = known.join(classes.selectExpr("node AS row"), "row", "left_semi")
-    banded = nodes.select("row", "n", F.explode("bands").alias("bucket"))
+    nodes = known.select("row", "n", "bands").join(classes.select("row", "node"), "row")
+    banded = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     shared = (
         banded.groupBy("bucket")
-        .agg(F.min("row").alias("low"), F.max("row").alias("high"))
+        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
         .filter("low < high")
         .select("bucket")
     )
     members = stored(
-        banded.join(shared, "bucket").selectExpr("bucket", "row AS node", "n"), "bucket-members"
+        banded.join(shared, "bucket").select("bucket", "node", "n"), "bucket-members"
+    )
+    wanted = classes.select("row", "node").join(
+        members.select("node").distinct(), "node", "left_semi"
     )
-    wanted = members.selectExpr("node AS row").distinct()
     sets = stored(
-        full_sets(texts.select("row", "text").join(wanted, "row", "left_semi"), words),
+        full_sets(texts.select("row", "text").join(wanted, "row").select("node", "text"), words),
         "shingle-sets",
     )
     labels = linked_nodes(members, sets, percent, star_rounds)
@@ -520,10 +527,7 @@ def near_duplicates(
 
 def kept_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, with their own columns."""
-    row = fresh(docs, "row_number")
-    kept = near_duplicates(docs, **options).filter("keep").select(F.col("row").alias(row))
-    return (
-        docs.withColumn(row, F.monotonically_increasing_id())
-        .join(kept, row, "left_semi")
-        .drop(row)
-    )
+    row = fresh(docs, "row_name")
+    docs = identified(docs, row)
+    kept = near_duplicates(docs, row_col=row, **options).filter("keep")
+    return docs.join(kept.select(F.col("row").alias(row)), row, "left_semi").drop(row)

@@ -15,7 +15,15 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.common import WORD, fresh, quoted, running_total, stored, text_or_empty
+from footfall.llm.common import (
+    WORD,
+    fresh,
+    identified,
+    quoted,
+    running_total,
+    stored,
+    text_or_empty,
+)
 
 #: The exponent is a multiple of 2 ** -(BITS * ROUNDS).
 BITS, ROUNDS = 7, 3
@@ -113,11 +121,11 @@ def mix(
     block_tokens: int = BLOCK_TOKENS,
     seed: int = 0,
     bucket_rows: int = BUCKET_ROWS,
+    row_col: str | None = None,
 ) -> DataFrame:
     """The mix as draws ``row id source tokens epoch block slot weight budget``, one per use.
 
-    ``row`` is the number that ``monotonically_increasing_id`` gives the document in ``docs``,
-    which must be read in the same order each time, as a file scan is. A document appears once
+    ``row`` is the document's ``row_col``, or what ``identified`` names it. A document appears once
     per epoch at most; in which order, the MD5 of seed, epoch and id says, so rows that repeat
     an id (or have none) are neighbours, lighter ones first. ``slot`` orders a block by the same
     value. A null source is a source of its own; an empty or null text weighs one token; the
@@ -125,9 +133,12 @@ def mix(
     draws. ``total_tokens`` below the tokens of a source's budget leaves documents out: that is
     what a budget is for; without it every document is drawn at least once.
     """
+    if row_col is None:
+        row_col = fresh(docs, "row_name")
+        docs = identified(docs, row_col)
     rows = stored(
         docs.select(
-            F.monotonically_increasing_id().alias("row"),
+            F.col(row_col).alias("row"),
             F.col(quoted(id_col)).alias("id"),
             F.struct(F.col(quoted(source_col)).alias("name")).alias("source"),
             word_tokens(quoted(text_col)).alias("tokens"),
@@ -181,9 +192,10 @@ def mix(
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` in the order of the mix, each as often as it is drawn."""
-    row, block, slot = (fresh(docs, name) for name in ("row_number", "mix_block", "mix_slot"))
-    draws = mix(docs, **options).select(
+    row, block, slot = (fresh(docs, name) for name in ("row_name", "mix_block", "mix_slot"))
+    docs = identified(docs, row)
+    draws = mix(docs, row_col=row, **options).select(
         F.col("row").alias(row), F.col("block").alias(block), F.col("slot").alias(slot)
     )
-    drawn = docs.withColumn(row, F.monotonically_increasing_id()).join(draws, row)
+    drawn = docs.join(draws, row)
     return drawn.repartitionByRange(block).sortWithinPartitions(block, slot).drop(row, block, slot)
