@@ -74,7 +74,7 @@ def test_mix_deals_weights_over_blocks(saved):
 
 def test_mix_edges(docs, empty):
     draws = mixing.mix(docs, max_repeats=3).collect()
-    assert {r.row for r in draws} == {r.row_ for r in docs.select(F.monotonically_increasing_id().alias("row_")).collect()}
+    assert len({r.row for r in draws}) == docs.count()
     assert None in {r.source for r in draws}
     mixed = mixing.mixed_rows(docs, max_repeats=1)
     assert mixed.columns == docs.columns and mixed.count() == docs.count()
