@@ -9,14 +9,16 @@ is just as frequent. Nothing is looked up by hash; the two orders are merged by
 the other.
 
 Only frequent phrases are counted as text. A phrase is not more frequent than its parts, so words
-come first, then pairs of frequent words by fingerprint, and then the phrases all of whose pairs
-are frequent. The filters between the passes are bitmaps of a fixed size: what they let through in
+come first, then pairs of frequent words, and triples by fingerprint, and then the phrases all of
+whose pairs and triples are frequent. The filters between the passes are bitmaps of a fixed size: what they let through in
 vain costs time, and exact counts decide in the end.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,8 @@ FILTER_BITS = 1 << 26
 CHUNK_BITS = 1 << 15
 #: Bytes of text that are cut into words at a time; a longer text is cut at the end of a piece.
 SLICE_BYTES = 1 << 23
+#: Phrases a task gathers before it hands them on.
+GATHERED = 200_000
 #: Parts of a count stream; None takes the session's shuffle partitions.
 STREAM_PARTS = None
 
@@ -48,39 +52,46 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def fingerprints(langs: list[str], words: list[bytes], seed: int) -> np.ndarray:
+    """A 64-bit fingerprint per word of a language."""
+    salts = {lang: xxhash.xxh64_intdigest(lang.encode(), seed=seed) for lang in set(langs)}
+    found = [xxhash.xxh64_intdigest(w, seed=salts[lang]) for lang, w in zip(langs, words)]
+    return np.array(found, dtype=np.uint64)
+
+
 class Words:
     """The words of several texts: distinct words, the word at each place, and its piece."""
 
     def __init__(self, data: np.ndarray):
         gap = _GAP[data]
-        inside = np.flatnonzero(~gap)
-        first = np.ones(len(inside), dtype=bool)
-        np.not_equal(np.diff(inside), 1, out=first[1:])
-        starts = np.flatnonzero(first)
-        ends = np.append(starts[1:], len(inside)) if len(starts) else starts
-        offsets = np.append(0, ends).astype(np.int32)
-        flat = _LOWER[data[inside]]
+        edge = np.empty(len(data), dtype=bool)
+        edge[:1] = True
+        edge[1:] = gap[:-1]
+        starts = np.flatnonzero(edge & ~gap)
+        edge[-1:] = True
+        edge[:-1] = gap[1:]
+        sizes = np.flatnonzero(edge & ~gap) + 1 - starts
+        offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
         # Words side by side, as Arrow lays out strings; its dictionary compares whole words.
         column = pa.Array.from_buffers(
-            pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(flat)]
+            pa.binary(),
+            len(starts),
+            [None, pa.py_buffer(offsets), pa.py_buffer(_LOWER[data[~gap]])],
         ).dictionary_encode()
         self.names: pa.Array = column.dictionary
         self.ids = column.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        breaks = np.cumsum(_BREAK[data], dtype=np.int32)
-        self.piece = breaks[inside[starts]] if len(starts) else np.empty(0, np.int32)
+        self.piece = np.searchsorted(np.flatnonzero(_BREAK[data]), starts)
 
-    def hashes(self, salt: int) -> np.ndarray:
-        """A 64-bit fingerprint per distinct word."""
-        return np.array(
-            [xxhash.xxh64_intdigest(w, seed=salt) for w in self.names.to_pylist()], dtype=np.uint64
-        )
+    def hashes(self, lang: str, seed: int) -> np.ndarray:
+        return fingerprints([lang] * len(self.names), self.names.to_pylist(), seed)
 
     def joined(self, size: int) -> np.ndarray:
         """Whether the words from each place on, ``size`` of them, lie in one piece."""
         return self.piece[size - 1 :] == self.piece[: len(self.piece) - size + 1]
 
 
-def pair_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def chained(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A fingerprint of a phrase from that of its beginning and that of its last word."""
     return mixed(mixed(a) + b * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -93,10 +104,6 @@ def _has(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _salt(lang: str | None) -> int:
-    return xxhash.xxh64_intdigest((lang or "").encode())
-
-
 def _cut(text: bytes) -> Iterator[bytes]:
     """The text in slices that end at the end of a piece, so that no phrase is cut."""
     start = 0
@@ -145,22 +152,41 @@ def _words(texts: list[bytes]) -> Words:
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """``lang word hash n`` per slice, for ``texts`` (lang, text)."""
+    """``lang word n`` per slice, for ``texts`` (lang, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words in _slices(batches):
             counts = np.bincount(words.ids, minlength=len(words.names))
+            langs = pa.array([lang] * len(words.names), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * len(words.names), pa.string()),
-                    words.names.cast(pa.string()),
-                    pa.array(words.hashes(_salt(lang)).view(np.int64)),
-                    pa.array(counts, pa.int64()),
-                ],
-                names=["lang", "word", "hash", "n"],
+                [langs, words.names.cast(pa.string()), pa.array(counts, pa.int64())],
+                names=["lang", "word", "n"],
             )
 
-    return texts.mapInArrow(run, "lang string, word string, hash long, n long")
+    return texts.mapInArrow(run, "lang string, word string, n long")
+
+
+def named_words(words: DataFrame) -> tuple[DataFrame, int]:
+    """``words`` (lang, word, n) with ``hash``, and its seed: one that gives no two words one.
+
+    So a pair of fingerprints stands for a pair of words exactly.
+    """
+
+    def hashed(seed: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                names = batch.column(1).cast(pa.binary()).to_pylist()
+                found = fingerprints(batch.column(0).to_pylist(), names, seed)
+                columns = [*batch.columns, pa.array(found.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "n", "hash"])
+
+        schema = "lang string, word string, n long, hash long"
+        return stored(words.select("lang", "word", "n").mapInArrow(run, schema), "named-words")
+
+    for seed in count():
+        found = hashed(seed)
+        if found.groupBy("hash").count().filter("count > 1").isEmpty():
+            return found, seed
 
 
 def bitmap(hashes: DataFrame, bits: int) -> bytes:
@@ -179,51 +205,98 @@ def bitmap(hashes: DataFrame, bits: int) -> bytes:
     return bytes(found)
 
 
-def count_pairs(texts: DataFrame, frequent_words) -> DataFrame:
-    """``hash n`` per slice for pairs of neighbours that pass the filter of words."""
+def _starts(words: Words, size: int, good: np.ndarray) -> np.ndarray:
+    """Where phrases of ``size`` good words begin."""
+    if len(good) < size:
+        return np.empty(0, np.int64)
+    fine = words.joined(size)
+    for i in range(size):
+        fine &= good[i : len(good) - size + 1 + i]
+    return np.flatnonzero(fine)
+
+
+def count_short(texts: DataFrame, frequent_words, seed: int) -> DataFrame:
+    """``a b n`` per slice: pairs of frequent words as two fingerprints, and triples as one.
+
+    The one of a triple is ``a``, and ``b`` is null.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(frequent_words.value, np.uint8)
         for lang, words in _slices(batches):
-            if len(words.ids) < 2:
-                continue
-            names = words.hashes(_salt(lang))
+            names = words.hashes(lang, seed)
             good = _has(known, names)[words.ids]
-            at = np.flatnonzero(words.joined(2) & good[:-1] & good[1:])
-            found, n = np.unique(
-                pair_hashes(names[words.ids[at]], names[words.ids[at + 1]]), return_counts=True
-            )
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["hash", "n"]
+            at = _starts(words, 2, good)
+            key = words.ids[at] * len(words.names) + words.ids[at + 1]
+            key, n = np.unique(key, return_counts=True)
+            first, second = np.divmod(key, max(1, len(words.names)))
+            pairs = [pa.array(names[x].view(np.int64)) for x in (first, second)]
+            yield pa.RecordBatch.from_arrays([*pairs, pa.array(n, pa.int64())], names=list("abn"))
+            at = _starts(words, 3, good)
+            hashes = names[words.ids[at]]
+            for i in (1, 2):
+                hashes = chained(hashes, names[words.ids[at + i]])
+            found, n = np.unique(hashes, return_counts=True)
+            columns = [pa.array(found.view(np.int64)), pa.nulls(len(n), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=list("abn"))
+
+    return texts.mapInArrow(run, "a long, b long, n long")
+
+
+def one_hash(short: DataFrame) -> DataFrame:
+    """``hash`` of pairs and triples (a, b), as :func:`count_long` looks for them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (
+                pc.fill_null(batch.column(i), 0).to_numpy(zero_copy_only=False).view(np.uint64)
+                for i in (0, 1)
             )
+            alone = batch.column(1).is_null().to_numpy(zero_copy_only=False)
+            found = np.where(alone, a, chained(a, b))
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["hash"])
 
-    return texts.mapInArrow(run, "hash long, n long")
+    return short.select("a", "b").mapInArrow(run, "hash long")
 
 
-def count_phrases(texts: DataFrame, frequent_words, frequent_pairs, max_words: int) -> DataFrame:
-    """``lang phrase n`` per slice for phrases of two words and more whose pairs pass."""
+def count_long(
+    texts: DataFrame, frequent_words, frequent_short, seed: int, max_words: int
+) -> DataFrame:
+    """``lang phrase n`` per task for phrases of three words and more whose parts of two and
+    three words pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(frequent_words.value, np.uint8)
-        pairs = np.frombuffer(frequent_pairs.value, np.uint8)
+        short = np.frombuffer(frequent_short.value, np.uint8)
+        found: Counter[tuple[str, bytes]] = Counter()
+
+        def batch_of() -> pa.RecordBatch:
+            langs, phrases = zip(*found) if found else ((), ())
+            columns = [
+                pa.array(langs, pa.string()),
+                pa.array(phrases, pa.binary()).cast(pa.string()),
+                pa.array(found.values(), pa.int64()),
+            ]
+            found.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "n"])
+
         for lang, words in _slices(batches):
-            if len(words.ids) < 2:
-                continue
-            names = words.hashes(_salt(lang))
-            good = _has(known, names)[words.ids]
-            pair = words.joined(2) & good[:-1] & good[1:]
-            at = np.flatnonzero(pair)
-            pair[at] = _has(
-                pairs, pair_hashes(names[words.ids[at]], names[words.ids[at + 1]])
-            )
-            starts = np.flatnonzero(pair)
+            names = words.hashes(lang, seed)
+            starts = _starts(words, 3, _has(known, names)[words.ids])
+            hashes = names[words.ids[starts]]
+            for i in (1, 2):
+                hashes = chained(hashes, names[words.ids[starts + i]])
+                fine = _has(short, hashes)
+                starts, hashes = starts[fine], hashes[fine]
+            triple = np.zeros(len(words.ids), dtype=bool)
+            triple[starts] = True
             # The exact number of the phrase of the current length at each start.
-            own = words.ids[starts]
-            for size in range(2, max_words + 1):
-                if size > 2:
-                    going = (starts + size - 2 < len(pair)) & pair[
-                        np.minimum(starts + size - 2, len(pair) - 1)
-                    ]
+            own = words.ids[starts] * len(words.names) + words.ids[starts + 1]
+            own = np.unique(own, return_inverse=True)[1]
+            for size in range(3, max_words + 1):
+                if size > 3:
+                    # The last three words must be a frequent triple too.
+                    going = triple[np.minimum(starts + size - 3, len(triple) - 1)]
                     starts, own = starts[going], own[going]
                 if not len(starts):
                     break
@@ -234,14 +307,11 @@ def count_phrases(texts: DataFrame, frequent_words, frequent_pairs, max_words: i
                 begin = starts[where]
                 parts = [words.names.take(pa.array(words.ids[begin + i])) for i in range(size)]
                 text = pc.binary_join_element_wise(*parts, b" ")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(n), pa.string()),
-                        text.cast(pa.string()),
-                        pa.array(n, pa.int64()),
-                    ],
-                    names=["lang", "phrase", "n"],
-                )
+                for phrase, more in zip(text.to_pylist(), n.tolist()):
+                    found[lang, phrase] += more
+            if len(found) >= GATHERED:
+                yield batch_of()
+        yield batch_of()
 
     return texts.mapInArrow(run, "lang string, phrase string, n long")
 
@@ -251,22 +321,32 @@ def count_stream(
 ) -> tuple[DataFrame, DataFrame]:
     """``lang words n`` of all phrases counted ``min_count`` times or more, and ``lang total``."""
     context = texts.sparkSession.sparkContext
+    often = F.col("n") >= min_count
     vocabulary = stored(
-        count_words(texts).groupBy("lang", "word", "hash").agg(F.sum("n").alias("n")), "words"
+        count_words(texts).groupBy("lang", "word").agg(F.sum("n").alias("n")), "words"
     )
     totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("total"))
-    frequent = vocabulary.filter(F.col("n") >= min_count)
+    frequent, seed = named_words(vocabulary.filter(often))
     words = context.broadcast(bitmap(frequent, filter_bits))
-    pairs = count_pairs(texts, words).groupBy("hash").agg(F.sum("n").alias("n"))
-    known = context.broadcast(bitmap(pairs.filter(F.col("n") >= min_count), filter_bits))
-    phrases = (
-        count_phrases(texts, words, known, max_words)
-        .groupBy("lang", "phrase")
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= min_count)
+    short = stored(
+        count_short(texts, words, seed).groupBy("a", "b").agg(F.sum("n").alias("n")).filter(often),
+        "short-phrases",
+    )
+    known = context.broadcast(bitmap(one_hash(short), filter_bits))
+    first = frequent.select(F.col("hash").alias("a"), "lang", F.col("word").alias("w1"))
+    second = frequent.select(F.col("hash").alias("b"), F.col("word").alias("w2"))
+    pairs = short.join(first, "a").join(second, "b")
+    stream = frequent.select("lang", F.array("word").alias("words"), "n").union(
+        pairs.select("lang", F.array("w1", "w2").alias("words"), "n")
     )
-    singles = frequent.select("lang", F.col("word").alias("phrase"), "n")
-    stream = singles.union(phrases).select("lang", F.split("phrase", " ").alias("words"), "n")
+    if max_words > 2:
+        phrases = (
+            count_long(texts, words, known, seed, max_words)
+            .groupBy("lang", "phrase")
+            .agg(F.sum("n").alias("n"))
+            .filter(often)
+        )
+        stream = stream.union(phrases.select("lang", F.split("phrase", " ").alias("words"), "n"))
     return stream, totals
 
 
