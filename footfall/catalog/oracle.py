@@ -293,6 +293,18 @@ SELECT event_id, {ADDRESS} AS ip, coalesce(country, 'unknown') AS country,
 FROM tracked LEFT JOIN ({ORACLE_SQL['ip_rules']}) ON number BETWEEN start_num AND end_num""",
     TRACKED,
 )
+sql(
+    "ip_regions_sweep",
+    f"""
+, moved AS (
+  SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '1.4.0.9' ELSE {ADDRESS} END AS ip,
+    CASE WHEN event_id % 3 = 0 THEN 17039369 ELSE number END AS number
+  FROM tracked)
+SELECT event_id, ip, coalesce(country, 'unknown') AS country,
+  coalesce(province, 'unknown') AS province, coalesce(city, 'unknown') AS city
+FROM moved LEFT JOIN ({ORACLE_SQL['ip_rules']}) ON number BETWEEN start_num AND end_num""",
+    TRACKED,
+)
 sql(
     "location_dimension",
     f"""

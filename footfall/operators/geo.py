@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions import ip_to_long
 from footfall.operators.sizes import BROADCAST_BYTES
+from footfall.operators.sweep import hashable, sweep_join
 from footfall.schemas import REGION_COLUMNS, UNKNOWN
 
 BUCKET_BITS = (8, 16, 24)
@@ -114,14 +115,17 @@ def ip_region_join(
     ip: str = "ip",
     broadcast_bytes: int = BROADCAST_BYTES,
     sizes: dict[int, RuleSize] | None = None,
+    cuts: list[int] | None = None,
 ) -> DataFrame:
     """Add country, province and city of the address; ``unknown`` where no rule covers it.
 
-    Each width class is one left join. Classes are broadcast, the smallest first, as long as
-    they take no more than ``broadcast_bytes`` together; for the others both sides are
-    shuffled on bucket and a salt taken from the record, so that no single address range can
-    fill one task. ``sizes`` is what :func:`check_rules` found; without it the rules are
-    checked here.
+    Classes are broadcast, the smallest first, as long as they take no more than
+    ``broadcast_bytes`` together; each of these is one left join. The rules of all others meet
+    the log in one sweep along the addresses, which shuffles the log once and copies no rule
+    (:mod:`footfall.operators.sweep`, also for ``cuts``). A stream has no quantiles to cut it at:
+    there both sides are shuffled on bucket and a salt taken from the record, class by class. In
+    either way no single address can fill one task. ``sizes`` is what :func:`check_rules` found;
+    without it the rules are checked here.
     """
     sizes = check_rules(rules) if sizes is None else sizes
     left, sent = broadcast_bytes, set()
@@ -131,6 +135,14 @@ def ip_region_join(
             sent.add(bits)
     out = logs.withColumn("_ip", ip_to_long(ip))
     found: list[Column] = []
+    if not logs.isStreaming and len(sent) < len(sizes):
+        wide = [bits for bits in sizes if bits not in sent]
+        rest = _with_bits(rules).where(F.col("_bits").isin(wide))
+        rule = F.struct("end_num", F.struct(*REGION_COLUMNS).alias("region"))
+        out = sweep_join(out, "_ip", rest, "start_num", rule, "_swept", cuts=cuts)
+        covered = F.col("_ip") <= F.col("_swept.end_num")
+        found.append(F.when(covered, F.col("_swept.region")))
+        sizes = {bits: sizes[bits] for bits in sent}
     for bits in sorted(sizes):
         side = bucket_rules(rules, bits).select(
             F.col("_bucket").alias(f"_bucket{bits}"),
@@ -163,7 +175,7 @@ def ip_region_join(
 
 
 def _salted(logs: DataFrame, side: DataFrame, on: Column, bits: int) -> DataFrame:
-    spread = [name for name, kind in logs.dtypes if not kind.startswith(("map", "struct"))]
+    spread = hashable(logs)
     salt, copy = f"_salt{bits}", f"_copy{bits}"
     left = logs.withColumn(salt, F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
     right = side.withColumn(copy, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

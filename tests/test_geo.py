@@ -1,9 +1,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan_of
 from footfall.operators.geo import BadRules, check_rules, ip_region_join
+from footfall.operators.sweep import find_cuts, sweep_join, with_part
 from footfall.schemas import IP_RULES
 
 
@@ -79,4 +81,45 @@ def test_one_budget_for_all_classes(spark):
     sizes = check_rules(rules)
     two = sum(sorted(s.bytes for s in sizes.values())[:2])
     plan = plan_of(ip_region_join(logs, rules, broadcast_bytes=two, sizes=sizes))
-    assert plan.count("BroadcastHashJoin") == 2 and "_salt24" in plan
+    assert plan.count("BroadcastHashJoin") == 2 and "_swept" in plan
+
+
+def test_sweep_shuffles_the_log_once(spark, folder):
+    logs = spark.range(100).selectExpr("concat('1.2.3.', id) AS ip", "map('a', id) AS params")
+    logs.write.parquet(folder("logs"))
+    logs = spark.read.parquet(folder("logs"))
+    out = ip_region_join(logs, _rules(spark, (0, 10), (1000, 2**25), (2**26, 2**27)), broadcast_bytes=0)
+    plan = plan_of(out)
+    assert "_salt" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    # Everything above the scan of the log, down from the result: one exchange.
+    log = next(i for i, x in enumerate(plan.split("\n")) if "ReadSchema: struct<ip:string" in x)
+    depth = lambda x: len(x) - len(x.lstrip(" :+-*()0123456789"))
+    above, least = [], 10**6
+    for line in reversed(plan.split("\n")[: log + 1]):
+        if depth(line) < least:
+            least = depth(line)
+            above.append(line)
+    assert sum("Exchange" in line for line in above) == 1
+    assert out.count() == 100 and set(out.columns) == {"ip", "params", "country", "province", "city"}
+
+
+@pytest.mark.parametrize("cuts", [[], [5 << 16], None, list(range(0, 1 << 20, 1 << 12))])
+def test_sweep_with_any_cuts(spark, cuts):
+    """Results do not depend on where the order is cut, nor on null and repeated addresses."""
+    spans = [(0, 3), (4, 4), (6, 9), (14, 14)]
+    rows = [(n, i) for n in [*range(16), 6, 6, 6, None, None] for i in range(3)]
+    logs = spark.createDataFrame(rows, "n bigint, i int").repartition(3)
+    ranges = spark.createDataFrame(spans, "start bigint, stop bigint")
+    found = sweep_join(logs, "n", ranges, "start", F.col("stop"), "stop", parts=4, cuts=cuts)
+    assert found.count() == len(rows)
+    for r in found.collect():
+        starts = [s for s in spans if r.n is not None and s[0] <= r.n]
+        assert r.stop == (starts[-1][1] if starts else None)
+
+
+def test_cuts_split_a_hot_address(spark):
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, id, 7) AS n", "id")
+    placed = rows.withColumn("_place", F.expr("shiftleft(n, 16) + pmod(xxhash64(n, id), 65536)"))
+    cuts = find_cuts(placed, "_place", 8)
+    sizes = with_part(placed, "_place", cuts, "part").groupBy("part").count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 600
