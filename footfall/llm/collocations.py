@@ -38,7 +38,7 @@ FILTER_BITS = 1 << 26
 #: Bits in one value of Spark's bitmap functions.
 CHUNK_BITS = 1 << 15
 #: Bytes of text that are cut into words at a time; a longer text is cut at the end of a piece.
-SLICE_BYTES = 1 << 23
+SLICE_BYTES = 1 << 22
 #: Phrases a task gathers before it hands them on.
 GATHERED = 200_000
 #: Parts of a count stream; None takes the session's shuffle partitions.
@@ -123,8 +123,12 @@ def _cut(text: bytes) -> Iterator[bytes]:
         yield text[start:]
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
-    """(lang, words) for texts of one language at a time, about ``SLICE_BYTES`` of them."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+    """(lang, texts) of one language at a time, about ``SLICE_BYTES`` of them.
+
+    What is made of them should be made in a function that returns, so that one slice's arrays
+    are gone before the next one's are there.
+    """
     waiting: dict[str, list[bytes]] = {}
     size: dict[str, int] = {}
     for batch in batches:
@@ -135,15 +139,14 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
                 waiting.setdefault(lang, []).append(part)
                 size[lang] = size.get(lang, 0) + len(part)
                 if size[lang] >= SLICE_BYTES:
-                    yield lang, _words(waiting.pop(lang))
+                    yield lang, waiting.pop(lang)
                     size[lang] = 0
         # What waits is bounded over all languages together, however many there are.
         while sum(size.values()) >= 2 * SLICE_BYTES:
             lang = max(size, key=size.get)
-            yield lang, _words(waiting.pop(lang))
+            yield lang, waiting.pop(lang)
             size[lang] = 0
-    for lang, texts in waiting.items():
-        yield lang, _words(texts)
+    yield from waiting.items()
 
 
 def _words(texts: list[bytes]) -> Words:
@@ -154,14 +157,17 @@ def _words(texts: list[bytes]) -> Words:
 def count_words(texts: DataFrame) -> DataFrame:
     """``lang word n`` per slice, for ``texts`` (lang, text)."""
 
+    def counted(lang: str, words: Words) -> pa.RecordBatch:
+        n = np.bincount(words.ids, minlength=len(words.names))
+        langs = pa.array([lang] * len(words.names), pa.string())
+        return pa.RecordBatch.from_arrays(
+            [langs, words.names.cast(pa.string()), pa.array(n, pa.int64())],
+            names=["lang", "word", "n"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, words in _slices(batches):
-            counts = np.bincount(words.ids, minlength=len(words.names))
-            langs = pa.array([lang] * len(words.names), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [langs, words.names.cast(pa.string()), pa.array(counts, pa.int64())],
-                names=["lang", "word", "n"],
-            )
+        for lang, texts in _slices(batches):
+            yield counted(lang, _words(texts))
 
     return texts.mapInArrow(run, "lang string, word string, n long")
 
@@ -221,24 +227,32 @@ def count_short(texts: DataFrame, frequent_words, seed: int) -> DataFrame:
     The one of a triple is ``a``, and ``b`` is null.
     """
 
+    def pairs(words: Words, names: np.ndarray, good: np.ndarray) -> pa.RecordBatch:
+        at = _starts(words, 2, good)
+        key = words.ids[at] * len(words.names) + words.ids[at + 1]
+        key, n = np.unique(key, return_counts=True)
+        both = np.divmod(key, max(1, len(words.names)))
+        columns = [pa.array(names[x].view(np.int64)) for x in both]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=list("abn"))
+
+    def triples(words: Words, names: np.ndarray, good: np.ndarray) -> pa.RecordBatch:
+        at = _starts(words, 3, good)
+        hashes = names[words.ids[at]]
+        for i in (1, 2):
+            hashes = chained(hashes, names[words.ids[at + i]])
+        found, n = np.unique(hashes, return_counts=True)
+        columns = [pa.array(found.view(np.int64)), pa.nulls(len(n), pa.int64())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=list("abn"))
+
+    def both(lang: str, words: Words, known: np.ndarray) -> list[pa.RecordBatch]:
+        names = words.hashes(lang, seed)
+        good = _has(known, names)[words.ids]
+        return [part(words, names, good) for part in (pairs, triples)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(frequent_words.value, np.uint8)
-        for lang, words in _slices(batches):
-            names = words.hashes(lang, seed)
-            good = _has(known, names)[words.ids]
-            at = _starts(words, 2, good)
-            key = words.ids[at] * len(words.names) + words.ids[at + 1]
-            key, n = np.unique(key, return_counts=True)
-            first, second = np.divmod(key, max(1, len(words.names)))
-            pairs = [pa.array(names[x].view(np.int64)) for x in (first, second)]
-            yield pa.RecordBatch.from_arrays([*pairs, pa.array(n, pa.int64())], names=list("abn"))
-            at = _starts(words, 3, good)
-            hashes = names[words.ids[at]]
-            for i in (1, 2):
-                hashes = chained(hashes, names[words.ids[at + i]])
-            found, n = np.unique(hashes, return_counts=True)
-            columns = [pa.array(found.view(np.int64)), pa.nulls(len(n), pa.int64())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=list("abn"))
+        for lang, texts in _slices(batches):
+            yield from both(lang, _words(texts), known)
 
     return texts.mapInArrow(run, "a long, b long, n long")
 
@@ -265,6 +279,38 @@ def count_long(
     """``lang phrase n`` per task for phrases of three words and more whose parts of two and
     three words pass."""
 
+    def gather(
+        found: Counter, lang: str, words: Words, known: np.ndarray, short: np.ndarray
+    ) -> None:
+        names = words.hashes(lang, seed)
+        starts = _starts(words, 3, _has(known, names)[words.ids])
+        hashes = names[words.ids[starts]]
+        for i in (1, 2):
+            hashes = chained(hashes, names[words.ids[starts + i]])
+            fine = _has(short, hashes)
+            starts, hashes = starts[fine], hashes[fine]
+        triple = np.zeros(len(words.ids), dtype=bool)
+        triple[starts] = True
+        # The exact number of the phrase of the current length at each start.
+        own = words.ids[starts] * len(words.names) + words.ids[starts + 1]
+        own = np.unique(own, return_inverse=True)[1]
+        for size in range(3, max_words + 1):
+            if size > 3:
+                # The last three words must be a frequent triple too.
+                going = triple[np.minimum(starts + size - 3, len(triple) - 1)]
+                starts, own = starts[going], own[going]
+            if not len(starts):
+                break
+            key = own * len(words.names) + words.ids[starts + size - 1]
+            _, where, own, n = np.unique(
+                key, return_index=True, return_inverse=True, return_counts=True
+            )
+            begin = starts[where]
+            parts = [words.names.take(pa.array(words.ids[begin + i])) for i in range(size)]
+            text = pc.binary_join_element_wise(*parts, b" ")
+            for phrase, more in zip(text.to_pylist(), n.tolist()):
+                found[lang, phrase] += more
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(frequent_words.value, np.uint8)
         short = np.frombuffer(frequent_short.value, np.uint8)
@@ -280,35 +326,8 @@ def count_long(
             found.clear()
             return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "n"])
 
-        for lang, words in _slices(batches):
-            names = words.hashes(lang, seed)
-            starts = _starts(words, 3, _has(known, names)[words.ids])
-            hashes = names[words.ids[starts]]
-            for i in (1, 2):
-                hashes = chained(hashes, names[words.ids[starts + i]])
-                fine = _has(short, hashes)
-                starts, hashes = starts[fine], hashes[fine]
-            triple = np.zeros(len(words.ids), dtype=bool)
-            triple[starts] = True
-            # The exact number of the phrase of the current length at each start.
-            own = words.ids[starts] * len(words.names) + words.ids[starts + 1]
-            own = np.unique(own, return_inverse=True)[1]
-            for size in range(3, max_words + 1):
-                if size > 3:
-                    # The last three words must be a frequent triple too.
-                    going = triple[np.minimum(starts + size - 3, len(triple) - 1)]
-                    starts, own = starts[going], own[going]
-                if not len(starts):
-                    break
-                key = own * len(words.names) + words.ids[starts + size - 1]
-                _, where, own, n = np.unique(
-                    key, return_index=True, return_inverse=True, return_counts=True
-                )
-                begin = starts[where]
-                parts = [words.names.take(pa.array(words.ids[begin + i])) for i in range(size)]
-                text = pc.binary_join_element_wise(*parts, b" ")
-                for phrase, more in zip(text.to_pylist(), n.tolist()):
-                    found[lang, phrase] += more
+        for lang, texts in _slices(batches):
+            gather(found, lang, _words(texts), known, short)
             if len(found) >= GATHERED:
                 yield batch_of()
         yield batch_of()
