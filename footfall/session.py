@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +52,15 @@ def build_session(
     return configure(builder.getOrCreate(), time_zone)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where it is not installed but on the same path."""
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one the cluster names in ``spark.checkpoint.dir``.
 
