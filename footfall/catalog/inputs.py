@@ -9,7 +9,8 @@ from footfall import storage
 from footfall.functions import build_query_string
 from footfall.operators.geo import ip_region_join
 from footfall.operators.parse import enrich
-from footfall.session import work_dir
+from footfall.session import importable, work_dir
+from footfall.sources.growing import Place
 
 BATCHES = 5
 
@@ -192,20 +193,68 @@ def write_stream_files(df: DataFrame, path: str) -> int:
     return max(1, -(-len(files) // BATCHES))
 
 
-def write_in_time_order(df: DataFrame, time: str, path: str, files: int = BATCHES) -> None:
-    """Write ``value`` of ``df`` as that many text files that follow each other in time.
+def in_slices(df: DataFrame, number: Column, name: str) -> str:
+    """Rows stored by slice ``number``, so that each slice is read without the others."""
+    path = work_dir(df.sparkSession, name)
+    df.withColumn("slice", number.cast("int")).write.partitionBy("slice").parquet(path)
+    return path
+
+
+def add_slice(spark: SparkSession, slices: str, number: int, target: str) -> None:
+    """Append the ``value`` of one slice to a folder of text files, by several tasks."""
+    rows = spark.read.parquet(slices).where(F.col("slice") == number)
+    rows.select("value").write.mode("append").text(target)
 
-    Each file is written by a write of its own, so a file stream meets them in this order.
-    """
-    low, high = df.agg(F.min(time), F.max(time)).first()
-    step = (high - low) // files + 1
-    part = F.call_function("div", F.col(time) - F.lit(low), F.lit(step))
-    for i in range(files):
-        df.where(part == i).select("value").coalesce(1).write.mode("append").text(path)
 
+def visits_in_slices(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """Lines ``uid|event|time`` in slices of sixteen days, cut at 0:29, when there are visits.
+
+    Half of the events of the last ten minutes of a slice come with the next one. The last slice
+    is one event of nobody, long after all others. Gives the path and the number of slices.
+    """
+    events = tracked_events(spark, sf_dir)
+    since = F.col("access_time_ms") - F.lit(1704067200000 + 29 * 60_000)
+    length = F.lit(16 * 86_400_000)
+    late = (F.pmod(since, length) >= length - 600_000) & (F.col("event_id") % 2 == 1)
+    number = F.greatest(F.lit(0), F.floor(since / length) + late.cast("int")) + 0
+    fields = ["uid", F.col("event_id").cast("string"), F.col("access_time_ms").cast("string")]
+    lines = events.select(F.concat_ws("|", *fields).alias("value"), number.alias("at"))
+    end = spark.range(1).select(F.lit("nobody|-1|4102444800000").alias("value"), F.lit(3).alias("at"))
+    return in_slices(lines.union(end), F.col("at"), "visits"), 4
+
+
+def grow_files(df: DataFrame, path: str, step: int) -> None:
+    """Bring the files ``<file>.log`` of a folder to what they hold after ``step``.
+
+    ``df`` has (value, file, step, event_id). Each file is one task's: it writes the lines up to
+    this step beside it, which begin with those that are there, and puts them in its place. So a
+    task that runs again does no harm.
+    """
 
-def one_file(spark: SparkSession, folder: str, target: str) -> None:
-    """Move the only data file of a folder to ``target``, and remove the folder."""
-    (name,) = [n for n in storage.children(spark, folder) if n.startswith("part-")]
-    storage.move(spark, f"{folder}/{name}", target)
+    def write(rows) -> None:
+        place, out, name = Place.of(path), None, None
+        for row in rows:
+            if row.file != name:
+                if out:
+                    out.close()
+                    place.system.move(f"{place.folder}/_{name}", f"{place.folder}/{name}.log")
+                name = row.file
+                out = place.system.open_output_stream(f"{place.folder}/_{name}")
+            out.write(row.value.encode() + b"\n")
+        if out:
+            out.close()
+            place.system.move(f"{place.folder}/_{name}", f"{place.folder}/{name}.log")
+
+    importable(df.sparkSession)
+    place = Place.of(path)
+    place.system.create_dir(place.folder)
+    now = df.where(F.col("step") <= step).repartition("file")
+    now.sortWithinPartitions("file", "step", "event_id").foreachPartition(write)
+
+
+def move_files(spark: SparkSession, folder: str, prefix: str) -> None:
+    """Move the data files of a folder to ``<prefix>-<number>.log``, and remove the folder."""
+    names = [n for n in storage.children(spark, folder) if n.startswith("part-")]
+    for i, name in enumerate(sorted(names)):
+        storage.move(spark, f"{folder}/{name}", f"{prefix}-{i:05d}.log")
     storage.remove(spark, folder)

@@ -543,6 +543,15 @@ SELECT event_id, uid, ms AS access_time_ms,
 FROM tracked""",
     TRACKED,
 )
+sql("stream_sessionized_events", SESSIONS, TRACKED)
+sql("stream_ended_sessions", SPANS.format("session_no, ", SESSIONS), TRACKED)
+sql(
+    "stream_first_visits",
+    """
+SELECT event_id, uid, ms AS access_time_ms FROM tracked
+QUALIFY row_number() OVER (PARTITION BY uid ORDER BY ms, event_id) = 1""",
+    TRACKED,
+)
 sql(
     "event_log_upsert",
     f"""
@@ -562,7 +571,9 @@ sql(
 SELECT dt, platform, event_name, CASE WHEN dt = DATE '2024-01-15' THEN -times ELSE times END
   AS times FROM ({EVENTS})""",
 )
-sql("landed_lines", f"SELECT {LINE} AS value, count(*) AS n FROM tracked GROUP BY 1", TRACKED)
+for name in ("landed_lines", "stream_growing_lines"):
+    sql(name, f"SELECT {LINE} AS value, count(*) AS n FROM tracked GROUP BY 1", TRACKED)
+ORACLE_SQL["stream_rejected_lines"] = ORACLE_SQL["rejected_lines"]
 VISITORS = TRACKED.replace(
     "CAST(e.user_id AS VARCHAR) AS uid",
     "CASE WHEN e.event_id % 3 <> 0 THEN CAST(e.user_id AS VARCHAR) END AS uid",
@@ -577,8 +588,8 @@ FROM ({SESSIONS})""",
 sql(
     "loaded_files",
     """
-SELECT load, uid, access_time, 'late-' || load AS b_n
-FROM (SELECT DISTINCT uid, CAST(ms AS VARCHAR) AS access_time FROM log WHERE en = 'e_l'),
+SELECT load, uid, access_time, en, 'late-' || load AS b_n
+FROM (SELECT DISTINCT uid, CAST(ms AS VARCHAR) AS access_time, en FROM log),
   (VALUES (1), (2)) AS l(load)""",
 )
 sql(

@@ -15,7 +15,7 @@ from footfall.operators.geo import ip_region_join
 from footfall.operators.visits import visit_grain
 from footfall.plans.daily import daily_reports, empty_dims, extend_dims, load_dims
 from footfall.plans.etl import run_etl
-from footfall.plans.flow import run_flow
+from footfall.plans.flow import keep_rejected, run_flow
 from footfall.schemas import LOG_COLUMNS, REGION_COLUMNS
 from footfall.session import configure, work_dir
 from footfall.sinks import land_stream, replace_day, upsert, write_event_log
@@ -24,10 +24,13 @@ from footfall.sources import (
     read_ip_rules,
     read_landed,
     read_logs,
+    stream_growing_files,
     stream_text_dir,
 )
 from footfall.streaming.control import state_settings
 from footfall.streaming.flow import read_flow, stream_location_flow
+from footfall.streaming.visits import stream_first_visits as first_visits_of_stream
+from footfall.streaming.visits import stream_sessionize
 from footfall.streaming.words import (
     read_batch_counts,
     read_running_counts,
@@ -39,6 +42,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # The days the given events fall in.
+BATCHES = inputs.BATCHES
 FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 2, 1)
 
 
@@ -477,31 +481,34 @@ def session_spans(spark, sf_dir):
     return sessions.session_spans(events)
 
 
-@query
-def stream_session_spans(spark, sf_dir):
-    """Sessions a stream has closed: a last event far ahead closes all of them."""
-    source, table, checkpoint = (work_dir(spark, n) for n in ("visits", "spans", "checkpoint"))
-    events = inputs.tracked_events(spark, sf_dir)
-    line = F.concat_ws("|", "uid", F.col("access_time_ms").cast("string"))
-    inputs.write_in_time_order(
-        events.select("access_time_ms", line.alias("value")), "access_time_ms", source
-    )
-    end = spark.range(1).select(F.lit("|4102444800000").alias("value"))
+def _in_slices(spark, sf_dir, make):
+    """What a stream made of visits has written when it was started once per slice of time."""
+    source, table, checkpoint = (work_dir(spark, n) for n in ("visits", "visited", "checkpoint"))
+    slices, number = inputs.visits_in_slices(spark, sf_dir)
     parts = F.split("value", "[|]")
-    for last in (False, True):
-        if last:
-            end.write.mode("append").text(source)
-        visits = stream_text_dir(spark, source, 1).select(
-            parts[0].alias("uid"), F.timestamp_millis(parts[1].cast("bigint")).alias("event_ts")
+    ms = parts[2].cast("bigint")
+    for i in range(number):
+        inputs.add_slice(spark, slices, i, source)
+        visits = stream_text_dir(spark, source).select(
+            parts[0].alias("uid"),
+            parts[1].cast("bigint").alias("event_id"),
+            ms.alias("access_time_ms"),
+            F.timestamp_millis(ms).alias("event_ts"),
         )
-        # The files follow each other in time, so nothing is late for long.
-        spans = sessions.stream_session_spans(visits.withWatermark("event_ts", "5 minutes"))
+        # Events come ten minutes late at the most.
+        found = make(visits.withWatermark("event_ts", "11 minutes"))
         with state_settings(spark, spark.sparkContext.defaultParallelism):
-            writer = spans.writeStream.format("parquet").option("path", table)
+            writer = found.writeStream.format("parquet").option("path", table)
             writer.option("checkpointLocation", checkpoint).trigger(
                 availableNow=True
             ).start().awaitTermination()
-    return spark.read.parquet(table).select(
+    return spark.read.parquet(table).where("uid <> 'nobody'")
+
+
+@query
+def stream_session_spans(spark, sf_dir):
+    """Sessions a stream has closed: a last event far ahead closes all of them."""
+    return _in_slices(spark, sf_dir, sessions.stream_session_spans).select(
         "uid",
         F.unix_millis("session_start").alias("start_ms"),
         F.unix_millis("session_end").alias("end_ms"),
@@ -509,6 +516,25 @@ def stream_session_spans(spark, sf_dir):
     )
 
 
+@query
+def stream_sessionized_events(spark, sf_dir):
+    """Each event with its session number, handed on as the watermark passes it."""
+    found = _in_slices(spark, sf_dir, stream_sessionize).where("event_id IS NOT NULL")
+    return found.select("event_id", "uid", "access_time_ms", "session_no")
+
+
+@query
+def stream_ended_sessions(spark, sf_dir):
+    """The sessions the same stream hands on by timers as they end."""
+    found = _in_slices(spark, sf_dir, stream_sessionize).where("event_id IS NULL")
+    return found.select("uid", "session_no", "start_ms", "end_ms", "n_events")
+
+
+@query
+def stream_first_visits(spark, sf_dir):
+    return _in_slices(spark, sf_dir, first_visits_of_stream)
+
+
 @query
 def first_visits(spark, sf_dir):
     events = inputs.tracked_events(spark, sf_dir).select("event_id", "uid", "access_time_ms")
@@ -551,23 +577,22 @@ def replaced_day(spark, sf_dir):
 
 @query
 def loaded_files(spark, sf_dir):
-    """Two files say different things of the same events; the later file holds, whatever the
-    sizes: the early file repeats its lines for odd days, the late one for even days."""
+    """Early and late files say different things of the same events; the later ones hold, whatever
+    the sizes: the early ones repeat their lines for odd days, the late ones for even days."""
     root, path = work_dir(spark, "logs"), work_dir(spark, "event_log")
     rules, events = work_dir(spark, "rules"), inputs.tracked_events(spark, sf_dir)
     inputs.rule_lines(inputs.ip_rules(spark, sf_dir)).write.text(rules)
-    few = events.where(F.col("en") == "e_l")
     for day in (date(2024, 2, 1), date(2024, 2, 2)):
-        for name, copies in (("early", 1 + 9 * (day.day % 2)), ("late", 10 - 9 * (day.day % 2))):
-            lines = inputs.log_lines(few, b_n=F.lit(f"{name}-{day.day}"))
+        for name, copies in (("early", 1 + 3 * (day.day % 2)), ("late", 4 - 3 * (day.day % 2))):
+            lines = inputs.log_lines(events, b_n=F.lit(f"{name}-{day.day}"))
             lines = lines.select(F.explode(F.array_repeat("value", copies)).alias("value"))
             at = f"{root}/{day:%Y/%m/%d}/{('1000', '1100')[name == 'late']}"
-            lines.coalesce(1).write.text(at)
-            inputs.one_file(spark, at, f"{at}.log")
+            lines.repartition(BATCHES).write.text(at)
+            inputs.move_files(spark, at, at)
         run_etl(spark, root, rules, f"{path}/{day.day}", day)
     found = [
         spark.read.parquet(f"{path}/{n}").select(
-            F.lit(n).alias("load"), "uid", "access_time", "b_n"
+            F.lit(n).alias("load"), "uid", "access_time", "en", "b_n"
         )
         for n in (1, 2)
     ]
@@ -596,9 +621,39 @@ def landed_lines(spark, sf_dir):
     return read_landed(spark, path).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def stream_growing_lines(spark, sf_dir):
+    """Lines of four files that are appended to while the query stands still."""
+    source, table, checkpoint = (work_dir(spark, n) for n in ("growing", "lines", "checkpoint"))
+    number = F.col("event_id")
+    lines = inputs.log_lines(inputs.tracked_events(spark, sf_dir)).select(
+        "event_id", "value", (number % 4).cast("string").alias("file"), (number % 3).alias("step")
+    )
+    lines = inputs.saved(lines, "growing-lines")
+    for step in range(3):
+        inputs.grow_files(lines, source, step)
+        stream = stream_growing_files(spark, source, suffix=".log", split_bytes=1 << 20)
+        writer = stream.writeStream.format("parquet").option("path", table)
+        writer.option("checkpointLocation", checkpoint).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+    return spark.read.parquet(table).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
 # Streams
 
 
+@query
+def stream_rejected_lines(spark, sf_dir):
+    """What a stream of lines leaves out, by reason."""
+    source, table, checkpoint = (work_dir(spark, n) for n in ("lines", "rejected", "checkpoint"))
+    at_once = inputs.write_stream_files(inputs.faulty_lines(spark, sf_dir), source)
+    keep_rejected(stream_text_dir(spark, source, at_once), table, checkpoint).awaitTermination()
+    return spark.read.parquet(table).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("n_chars")
+    )
+
+
 def _run_flow(spark, sf_dir, parts, start=stream_location_flow, **settings):
     source, table, checkpoint = (work_dir(spark, n) for n in ("lines", "flow", "checkpoint"))
     for part in parts:

@@ -9,6 +9,7 @@ from footfall.sources.files import (
     read_landed,
     read_logs,
 )
+from footfall.sources.growing import stream_growing_files
 from footfall.sources.jdbc import jdbc_options, read_jdbc
 from footfall.sources.streams import kafka_options, read_kafka, stream_socket, stream_text_dir
 
@@ -24,6 +25,7 @@ __all__ = [
     "read_kafka",
     "read_landed",
     "read_logs",
+    "stream_growing_files",
     "stream_socket",
     "stream_text_dir",
 ]
