@@ -9,14 +9,13 @@ is just as frequent. Nothing is looked up by hash; the two orders are merged by
 the other.
 
 Only frequent phrases are counted as text. A phrase is not more frequent than its parts, so words
-come first, then pairs of frequent words, and triples by fingerprint, and then the phrases all of
-whose pairs and triples are frequent. The filters between the passes are bitmaps of a fixed size: what they let through in
+come first, then pairs of frequent words, and triples by their bit in a filter, and then the
+longest phrases all of whose pairs and triples are frequent. The filters between the passes are bitmaps of a fixed size: what they let through in
 vain costs time, and exact counts decide in the end.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from itertools import count
 
@@ -39,8 +38,8 @@ FILTER_BITS = 1 << 26
 CHUNK_BITS = 1 << 15
 #: Bytes of text that are cut into words at a time; a longer text is cut at the end of a piece.
 SLICE_BYTES = 1 << 22
-#: Phrases a task gathers before it hands them on.
-GATHERED = 200_000
+#: Rows a task gathers before it adds them up and hands them on.
+GATHERED = 2_000_000
 #: Parts of a count stream; None takes the session's shuffle partitions.
 STREAM_PARTS = None
 
@@ -154,8 +153,27 @@ def _words(texts: list[bytes]) -> Words:
     return Words(np.frombuffer(b"\n".join(texts), dtype=np.uint8))
 
 
+def merged(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.RecordBatch]:
+    """The same counts ``n`` by ``keys``, added up over about ``GATHERED`` rows at a time."""
+
+    def added() -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).group_by(list(keys), use_threads=False)
+        held.clear()
+        yield from table.aggregate([("n", "sum")]).rename_columns([*keys, "n"]).to_batches()
+
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= GATHERED:
+            yield from added()
+            rows = 0
+    if held:
+        yield from added()
+
+
 def count_words(texts: DataFrame) -> DataFrame:
-    """``lang word n`` per slice, for ``texts`` (lang, text)."""
+    """``lang word n`` of parts of a task, for ``texts`` (lang, text)."""
 
     def counted(lang: str, words: Words) -> pa.RecordBatch:
         n = np.bincount(words.ids, minlength=len(words.names))
@@ -166,8 +184,8 @@ def count_words(texts: DataFrame) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, texts in _slices(batches):
-            yield counted(lang, _words(texts))
+        found = (counted(lang, _words(texts)) for lang, texts in _slices(batches))
+        yield from merged(found, "lang", "word")
 
     return texts.mapInArrow(run, "lang string, word string, n long")
 
@@ -195,22 +213,24 @@ def named_words(words: DataFrame) -> tuple[DataFrame, int]:
             return found, seed
 
 
-def bitmap(hashes: DataFrame, bits: int) -> bytes:
-    """The bits of ``hashes`` (hash), put together in Spark; ``bits / 8`` bytes come back."""
-    bit = F.expr(f"shiftrightunsigned(hash, 33) % {bits}")
-    rows = (
-        hashes.select(bit.alias("bit"))
-        .groupBy(F.expr(f"bit DIV {CHUNK_BITS}").alias("chunk"))
+def bitmap(rows: DataFrame, bits: int) -> bytes:
+    """A filter with each ``bit`` of ``rows`` set; the driver gets its ``bits / 8`` bytes."""
+    chunks = (
+        rows.groupBy(F.expr(f"bit DIV {CHUNK_BITS}").alias("chunk"))
         .agg(F.bitmap_construct_agg(F.col("bit") % CHUNK_BITS).alias("bits"))
         .collect()
     )
     found = bytearray(bits // 8)
     size = CHUNK_BITS // 8
-    for row in rows:
+    for row in chunks:
         found[row.chunk * size : (row.chunk + 1) * size] = row.bits
     return bytes(found)
 
 
+def bits_of_words(named: DataFrame, bits: int) -> DataFrame:
+    return named.select(F.expr(f"shiftrightunsigned(hash, 33) % {bits}").alias("bit"))
+
+
 def _starts(words: Words, size: int, good: np.ndarray) -> np.ndarray:
     """Where phrases of ``size`` good words begin."""
     if len(good) < size:
@@ -222,9 +242,9 @@ def _starts(words: Words, size: int, good: np.ndarray) -> np.ndarray:
 
 
 def count_short(texts: DataFrame, frequent_words, seed: int) -> DataFrame:
-    """``a b n`` per slice: pairs of frequent words as two fingerprints, and triples as one.
+    """``a b n`` of parts of a task: pairs of frequent words as two fingerprints, and triples.
 
-    The one of a triple is ``a``, and ``b`` is null.
+    A triple is only looked for in a filter, so ``a`` is its bit there, and ``b`` is null.
     """
 
     def pairs(words: Words, names: np.ndarray, good: np.ndarray) -> pa.RecordBatch:
@@ -235,30 +255,34 @@ def count_short(texts: DataFrame, frequent_words, seed: int) -> DataFrame:
         columns = [pa.array(names[x].view(np.int64)) for x in both]
         return pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=list("abn"))
 
-    def triples(words: Words, names: np.ndarray, good: np.ndarray) -> pa.RecordBatch:
+    def triples(words: Words, names: np.ndarray, good: np.ndarray, bits: int) -> pa.RecordBatch:
         at = _starts(words, 3, good)
         hashes = names[words.ids[at]]
         for i in (1, 2):
             hashes = chained(hashes, names[words.ids[at + i]])
-        found, n = np.unique(hashes, return_counts=True)
-        columns = [pa.array(found.view(np.int64)), pa.nulls(len(n), pa.int64())]
+        found, n = np.unique(bit_of(hashes, bits), return_counts=True)
+        columns = [pa.array(found), pa.nulls(len(n), pa.int64())]
         return pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=list("abn"))
 
     def both(lang: str, words: Words, known: np.ndarray) -> list[pa.RecordBatch]:
         names = words.hashes(lang, seed)
         good = _has(known, names)[words.ids]
-        return [part(words, names, good) for part in (pairs, triples)]
+        return [pairs(words, names, good), triples(words, names, good, len(known) * 8)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(frequent_words.value, np.uint8)
-        for lang, texts in _slices(batches):
-            yield from both(lang, _words(texts), known)
+        parts = (
+            part
+            for lang, texts in _slices(batches)
+            for part in both(lang, _words(texts), known)
+        )
+        yield from merged(parts, "a", "b")
 
     return texts.mapInArrow(run, "a long, b long, n long")
 
 
-def one_hash(short: DataFrame) -> DataFrame:
-    """``hash`` of pairs and triples (a, b), as :func:`count_long` looks for them."""
+def bits_of_short(short: DataFrame, bits: int) -> DataFrame:
+    """``bit`` of pairs and triples (a, b), where :func:`count_long` looks for them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,21 +291,21 @@ def one_hash(short: DataFrame) -> DataFrame:
                 for i in (0, 1)
             )
             alone = batch.column(1).is_null().to_numpy(zero_copy_only=False)
-            found = np.where(alone, a, chained(a, b))
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["hash"])
+            found = np.where(alone, a.view(np.int64), bit_of(chained(a, b), bits))
+            yield pa.RecordBatch.from_arrays([pa.array(found)], names=["bit"])
 
-    return short.select("a", "b").mapInArrow(run, "hash long")
+    return short.select("a", "b").mapInArrow(run, "bit long")
 
 
 def count_long(
     texts: DataFrame, frequent_words, frequent_short, seed: int, max_words: int
 ) -> DataFrame:
-    """``lang phrase n`` per task for phrases of three words and more whose parts of two and
-    three words pass."""
+    """``lang phrase n`` of parts of a task: the longest phrase from each place on, of three to
+    ``max_words`` words, whose parts of two and three words pass."""
 
-    def gather(
-        found: Counter, lang: str, words: Words, known: np.ndarray, short: np.ndarray
-    ) -> None:
+    def longest(
+        lang: str, words: Words, known: np.ndarray, short: np.ndarray
+    ) -> Iterator[pa.RecordBatch]:
         names = words.hashes(lang, seed)
         starts = _starts(words, 3, _has(known, names)[words.ids])
         hashes = names[words.ids[starts]]
@@ -289,48 +313,41 @@ def count_long(
             hashes = chained(hashes, names[words.ids[starts + i]])
             fine = _has(short, hashes)
             starts, hashes = starts[fine], hashes[fine]
-        triple = np.zeros(len(words.ids), dtype=bool)
+        triple = np.zeros(len(words.ids) + max_words, dtype=bool)
         triple[starts] = True
         # The exact number of the phrase of the current length at each start.
         own = words.ids[starts] * len(words.names) + words.ids[starts + 1]
         own = np.unique(own, return_inverse=True)[1]
         for size in range(3, max_words + 1):
-            if size > 3:
-                # The last three words must be a frequent triple too.
-                going = triple[np.minimum(starts + size - 3, len(triple) - 1)]
-                starts, own = starts[going], own[going]
             if not len(starts):
-                break
+                return
             key = own * len(words.names) + words.ids[starts + size - 1]
-            _, where, own, n = np.unique(
-                key, return_index=True, return_inverse=True, return_counts=True
-            )
-            begin = starts[where]
+            _, where, own = np.unique(key, return_index=True, return_inverse=True)
+            # It goes on where the next three words are a frequent triple too.
+            going = triple[starts + size - 2] & (size < max_words)
+            n = np.bincount(own[~going], minlength=len(where))
+            begin, n = starts[where[n > 0]], n[n > 0]
             parts = [words.names.take(pa.array(words.ids[begin + i])) for i in range(size)]
             text = pc.binary_join_element_wise(*parts, b" ")
-            for phrase, more in zip(text.to_pylist(), n.tolist()):
-                found[lang, phrase] += more
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * len(n), pa.string()),
+                    text.cast(pa.string()),
+                    pa.array(n, pa.int64()),
+                ],
+                names=["lang", "phrase", "n"],
+            )
+            starts, own = starts[going], own[going]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(frequent_words.value, np.uint8)
         short = np.frombuffer(frequent_short.value, np.uint8)
-        found: Counter[tuple[str, bytes]] = Counter()
-
-        def batch_of() -> pa.RecordBatch:
-            langs, phrases = zip(*found) if found else ((), ())
-            columns = [
-                pa.array(langs, pa.string()),
-                pa.array(phrases, pa.binary()).cast(pa.string()),
-                pa.array(found.values(), pa.int64()),
-            ]
-            found.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "n"])
-
-        for lang, texts in _slices(batches):
-            gather(found, lang, _words(texts), known, short)
-            if len(found) >= GATHERED:
-                yield batch_of()
-        yield batch_of()
+        parts = (
+            part
+            for lang, texts in _slices(batches)
+            for part in list(longest(lang, _words(texts), known, short))
+        )
+        yield from merged(parts, "lang", "phrase")
 
     return texts.mapInArrow(run, "lang string, phrase string, n long")
 
@@ -346,12 +363,12 @@ def count_stream(
     )
     totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("total"))
     frequent, seed = named_words(vocabulary.filter(often))
-    words = context.broadcast(bitmap(frequent, filter_bits))
+    words = context.broadcast(bitmap(bits_of_words(frequent, filter_bits), filter_bits))
     short = stored(
         count_short(texts, words, seed).groupBy("a", "b").agg(F.sum("n").alias("n")).filter(often),
         "short-phrases",
     )
-    known = context.broadcast(bitmap(one_hash(short), filter_bits))
+    known = context.broadcast(bitmap(bits_of_short(short, filter_bits), filter_bits))
     first = frequent.select(F.col("hash").alias("a"), "lang", F.col("word").alias("w1"))
     second = frequent.select(F.col("hash").alias("b"), F.col("word").alias("w2"))
     pairs = short.join(first, "a").join(second, "b")
@@ -359,13 +376,17 @@ def count_stream(
         pairs.select("lang", F.array("w1", "w2").alias("words"), "n")
     )
     if max_words > 2:
-        phrases = (
+        longest = (
             count_long(texts, words, known, seed, max_words)
             .groupBy("lang", "phrase")
             .agg(F.sum("n").alias("n"))
-            .filter(often)
+            .select("lang", F.split("phrase", " ").alias("words"), "n")
         )
-        stream = stream.union(phrases.select("lang", F.split("phrase", " ").alias("words"), "n"))
+        # What begins there is counted from the longest phrases.
+        sizes = F.sequence(F.lit(3), F.size("words"))
+        begins = F.explode(F.transform(sizes, lambda k: F.slice("words", 1, k))).alias("words")
+        phrases = longest.select("lang", begins, "n").groupBy("lang", "words")
+        stream = stream.union(phrases.agg(F.sum("n").alias("n")).filter(often))
     return stream, totals
 
 
