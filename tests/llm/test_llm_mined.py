@@ -172,6 +172,7 @@ def _phrase_rows(seed, n=120):
 @pytest.mark.parametrize("parts", [1, 7])
 def test_collocations_are_those_of_the_definition(saved, monkeypatch, parts):
     monkeypatch.setattr(collocations, "STREAM_PARTS", parts)
+    monkeypatch.setattr(collocations, "GATHERED", 10 * parts)
     rows = _phrase_rows(parts)
     table = saved([(i, t, lang, "a") for i, (lang, t) in enumerate(rows)])
     for top in (5, None):
@@ -190,11 +191,13 @@ def test_small_slices_change_nothing(monkeypatch):
     assert list(collocations._cut(b"")) == []
 
 
-def test_filter_holds_every_hash(spark):
+def test_filter_holds_every_word(spark):
     draw = random.Random(1)
     hashes = [draw.randrange(-(2**63), 2**63) for _ in range(500)]
     frame = spark.createDataFrame([(h,) for h in hashes], "hash long")
-    bits = np.frombuffer(collocations.bitmap(frame, 1 << 17), np.uint8)
+    bits = np.frombuffer(
+        collocations.bitmap(collocations.bits_of_words(frame, 1 << 17), 1 << 17), np.uint8
+    )
     assert collocations._has(bits, np.array(hashes, np.int64).view(np.uint64)).all()
     assert int(np.unpackbits(bits).sum()) <= 500
 
