@@ -344,7 +344,23 @@ sql("session_summaries", f"SELECT dt, platform, {SUMMARY_TEXT} AS summary FROM (
 sql("user_stats", USERS)
 sql("device_location_stats", DEVICES)
 sql("event_stats", EVENTS)
-for name in ("location_flow", "stream_flow", "stream_flow_restarted", "upserted_flow"):
+sql(
+    "user_stats_by_month",
+    USERS.replace("SELECT dt, platform", "SELECT CAST(date_trunc('month', dt) AS DATE) AS first_day, platform"),
+)
+sql(
+    "location_flow_by_week",
+    f"""
+SELECT first_day, l1 AS country, l2 AS province, l3 AS city,
+  count(*) FILTER (WHERE en = 'e_l') AS nu, count(DISTINCT uid) AS uv,
+  count(*) FILTER (WHERE en IN ('e_pv', 'e_bp')) AS pv, count(DISTINCT sid) AS sn
+FROM (SELECT *, dt - CAST(extract('dow' FROM dt) AS INTEGER) AS first_day
+      FROM {LEVELS.format('log')})
+GROUP BY ALL""",
+)
+for name in (
+    "location_flow", "stream_flow", "stream_flow_restarted", "stream_flow_restated", "upserted_flow"
+):
     sql(name, FLOW)
 sql("area_product_counts", PRODUCTS)
 for name in ("area_product_rollup", "product_views_by_sql"):

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall import functions as fn
+from footfall import storage
 from footfall.catalog import inputs
-from footfall.operators import dims, parse, products, reports, sessions, words
+from footfall.operators import dims, parse, periods, products, reports, sessions, words
 from footfall.operators.geo import ip_region_join
 from footfall.operators.visits import visit_grain
 from footfall.plans.daily import daily_reports, empty_dims, extend_dims, load_dims
@@ -28,7 +29,7 @@ from footfall.sources import (
     stream_text_dir,
 )
 from footfall.streaming.control import state_settings
-from footfall.streaming.flow import read_flow, stream_location_flow
+from footfall.streaming.flow import read_flow, restate_flow, stream_location_flow
 from footfall.streaming.visits import stream_first_visits as first_visits_of_stream
 from footfall.streaming.visits import stream_sessionize
 from footfall.streaming.words import (
@@ -256,6 +257,32 @@ def user_stats(spark, sf_dir):
     return reports.user_stats(visit_grain(inputs.event_log(spark, sf_dir), ("pl",)))
 
 
+def _stored_days(spark, sf_dir, dims_, levels):
+    """Bitmaps of days, stored in two loads: the second one meets known and new ids."""
+    path, numbers = work_dir(spark, "days"), {"uid": None, "sid": None}
+    visits = inputs.saved(visit_grain(inputs.records(spark, sf_dir), dims_), "visits")
+    for early in (True, False):
+        part = visits.where((F.col("dt") < "2024-01-16") == early)
+        for name in numbers:
+            grown = periods.number_ids(part, numbers[name], name)
+            numbers[name] = inputs.saved(grown, f"numbers-{name}")
+        days = periods.daily_bitmaps(part, numbers["uid"], numbers["sid"], dims_, levels)
+        days.write.mode("append").partitionBy("dt").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query
+def user_stats_by_month(spark, sf_dir):
+    days = _stored_days(spark, sf_dir, ("pl",), reports.PLATFORM_LEVELS)
+    return periods.user_stats_of(days, "month")
+
+
+@query
+def location_flow_by_week(spark, sf_dir):
+    days = _stored_days(spark, sf_dir, REGION_COLUMNS, reports.LOCATION_LEVELS)
+    return periods.location_flow_of(days, "week", REGION_COLUMNS)
+
+
 @query
 def device_location_stats(spark, sf_dir):
     return reports.device_location_stats(visit_grain(inputs.records(spark, sf_dir)))
@@ -654,9 +681,11 @@ def stream_rejected_lines(spark, sf_dir):
     )
 
 
-def _run_flow(spark, sf_dir, parts, start=stream_location_flow, **settings):
+def _run_flow(spark, sf_dir, parts, start=stream_location_flow, between=None, **settings):
     source, table, checkpoint = (work_dir(spark, n) for n in ("lines", "flow", "checkpoint"))
-    for part in parts:
+    for i, part in enumerate(parts):
+        if i and between:
+            between(checkpoint, table)
         at_once = inputs.write_stream_files(part, source)
         stream = stream_text_dir(spark, source, at_once)
         start(
@@ -701,6 +730,20 @@ def stream_flow_restarted(spark, sf_dir):
     )
 
 
+@query
+def stream_flow_restated(spark, sf_dir):
+    """The report is lost between two runs and made again from the state of the stream."""
+    lines = inputs.log_lines(inputs.tracked_events(spark, sf_dir))
+    late = F.col("event_id") % 3 == 0
+
+    def lose(checkpoint, table):
+        storage.remove(spark, table)
+        restate_flow(spark, checkpoint, table)
+
+    parts = [lines.where(~late).select("value"), lines.where(late).select("value")]
+    return _run_flow(spark, sf_dir, parts, between=lose)
+
+
 @query
 def stream_enriched(spark, sf_dir):
     source, table, checkpoint = (work_dir(spark, n) for n in ("lines", "events", "checkpoint"))

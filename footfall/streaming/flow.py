@@ -11,6 +11,7 @@ Nothing is held in Python and no group is collected.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import date
 
@@ -36,14 +37,14 @@ TOTALS = ("nu", "pv")
 FLAGS = tuple(flag(c) for c in REGION_COLUMNS)
 
 # Kinds of state rows.
-USER, SESSION, TOTAL, BATCH = 0, 1, 2, 3
+USER, SESSION, TOTAL = 0, 1, 2
 
 
 def location_state(records: DataFrame, delay: str | None = None) -> DataFrame:
     """The streaming aggregate: per day, location level and user, session or nothing.
 
-    One more set is keyed by the batch time itself and tells which batch is being handled.
-    By default state is kept for good, as any day may still get events; ``delay`` puts a
+    ``_now``, the time of the batch being handled, is added behind the aggregate, where it is the
+    same for all rows and no part of the state. By default state is kept for good, as any day may still get events; ``delay`` puts a
     watermark on the event time, drops later events and lets the state of closed days go.
     """
     batch_time = F.unix_millis(F.current_timestamp())
@@ -54,7 +55,6 @@ def location_state(records: DataFrame, delay: str | None = None) -> DataFrame:
         F.coalesce(is_launch("en").cast("int"), F.lit(0)).alias("_launch"),
         F.coalesce(is_view("en").cast("int"), F.lit(0)).alias("_view"),
         batch_time.alias("_batch"),
-        batch_time.alias("_mark"),
         F.timestamp_millis("access_time_ms").alias("_time"),
     )
     always = ["dt"]
@@ -64,15 +64,14 @@ def location_state(records: DataFrame, delay: str | None = None) -> DataFrame:
     choices = [
         (*level, *one) for level in LOCATION_LEVELS for one in (("uid",), ("sid",), ())
     ]
-    sets = [[F.col(c) for c in (*always, *choice)] for choice in [*choices, ("_mark",)]]
-    columns = [F.col(c) for c in (*always, *REGION_COLUMNS, "uid", "sid", "_mark")]
+    sets = [[F.col(c) for c in (*always, *choice)] for choice in choices]
+    columns = [F.col(c) for c in (*always, *REGION_COLUMNS, "uid", "sid")]
     kind = (
-        F.when(F.grouping("_mark") == 0, BATCH)
-        .when(F.grouping("uid") == 0, USER)
+        F.when(F.grouping("uid") == 0, USER)
         .when(F.grouping("sid") == 0, SESSION)
         .otherwise(TOTAL)
     )
-    return events.groupingSets(sets, *columns).agg(
+    state = events.groupingSets(sets, *columns).agg(
         kind.alias("_kind"),
         *[F.grouping(c).cast("int").alias(flag(c)) for c in REGION_COLUMNS],
         F.count(F.lit(1)).alias("_n"),
@@ -82,6 +81,7 @@ def location_state(records: DataFrame, delay: str | None = None) -> DataFrame:
         F.max("_batch").alias("_newest"),
         F.sum(F.col("_batch").cast("decimal(20,0)")).alias("_sum"),
     )
+    return state.withColumn("_now", batch_time)
 
 
 def location_changes(updated: DataFrame, now: int) -> DataFrame:
@@ -91,14 +91,13 @@ def location_changes(updated: DataFrame, now: int) -> DataFrame:
     uv, sn and on are differences. Batch times need only differ from each other: a clock
     that is set back does no harm.
     """
-    rows = updated.where(F.col("_kind") != BATCH)
     fresh = F.col("_oldest") == F.col("_newest")
     other = F.when(F.col("_oldest") == now, F.col("_newest")).otherwise(F.col("_oldest"))
     # The sum fits only if a single event came earlier and all others in this batch.
     one_before = ~fresh & (F.col("_sum") == other + (F.col("_n") - 1) * F.lit(now))
     user, session = F.col("_kind") == USER, F.col("_kind") == SESSION
     total = F.col("_kind") == TOTAL
-    changes = rows.groupBy(*FLOW_KEYS, *FLAGS).agg(
+    changes = updated.groupBy(*FLOW_KEYS, *FLAGS).agg(
         F.max(F.when(total, F.col("_launches"))).alias("nu"),
         F.count_if(user & fresh).alias("uv"),
         F.max(F.when(total, F.col("_views"))).alias("pv"),
@@ -155,10 +154,10 @@ def start_location_flow(
     def apply(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            marks = batch.where(F.col("_kind") == BATCH)
-            now = marks.agg(F.max("_newest")).first()[0]
-            if now is None:
+            first = batch.select("_now").first()
+            if first is None:
                 return
+            now = first["_now"]
             merge_partitions(
                 location_changes(batch, now),
                 table,
@@ -169,7 +168,7 @@ def start_location_flow(
             )
             if after:
                 # One row per day of the batch.
-                days = batch.where(F.col("_kind") != BATCH).select("dt").distinct().collect()
+                days = batch.select("dt").distinct().collect()
                 after(batch.sparkSession, [row["dt"] for row in days])
             storage.remove(batch.sparkSession, f"{checkpoint}/report_staging/{batch_id - 2}")
         finally:
@@ -202,6 +201,62 @@ def stream_location_flow(
     return start_location_flow(state, table, checkpoint, every, state_partitions, after)
 
 
+# What the state's rows hold, in the order of the aggregates of location_state.
+STATE_VALUE = (
+    "struct<n:bigint,launches:bigint,views:bigint,oldest:bigint,newest:bigint,"
+    "sum:decimal(30,0),empty:boolean>"
+)
+
+
+def state_report(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The report as the state of a flow query has it, after a batch or the last one.
+
+    Every id of every level has its row in the state, so the numbers are counted from it alone.
+    The query should stand still. With a delay the state has let go of the oldest days.
+    """
+    reader = spark.read.format("statestore")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    rows = reader.load(checkpoint).select(
+        "key.*", F.col("value").cast(STATE_VALUE).alias("value")
+    )
+    # The grouping id has a bit per column, the last one lowest; set where it is rolled up.
+    columns = (*REGION_COLUMNS, "uid", "sid")
+    rolled = {
+        c: F.shiftright("spark_grouping_id", place).bitwiseAND(F.lit(1)).cast("int")
+        for place, c in enumerate(reversed(columns))
+    }
+    rows = rows.select(
+        *FLOW_KEYS,
+        "value",
+        (rolled["uid"] == 0).alias("user"),
+        (rolled["sid"] == 0).alias("session"),
+        *[rolled[c].alias(flag(c)) for c in REGION_COLUMNS],
+    )
+    user, session = F.col("user"), F.col("session")
+    report = rows.groupBy(*FLOW_KEYS, *FLAGS).agg(
+        F.max(F.when(~user & ~session, F.col("value.launches"))).alias("nu"),
+        F.count_if(user).alias("uv"),
+        F.max(F.when(~user & ~session, F.col("value.views"))).alias("pv"),
+        F.count_if(session).alias("sn"),
+        F.count_if(session & (F.col("value.n") == 1)).alias("on"),
+    )
+    masked = [mask_all(c, flag(c)).alias(c) for c in REGION_COLUMNS]
+    level = F.lit(len(FLAGS)) - sum((F.col(f) for f in FLAGS), F.lit(0))
+    return report.select("dt", level.alias("level"), *masked, *MEASURES)
+
+
+def restate_flow(spark: SparkSession, checkpoint: str, table: str) -> None:
+    """Write the days the state knows anew, where a report is lost or wrong.
+
+    The query goes on from its checkpoint afterwards, as if nothing had happened. Days the state
+    does not know are left as they are.
+    """
+    staging = f"{checkpoint}/report_staging/restated-{uuid.uuid4().hex}"
+    merge_partitions(state_report(spark, checkpoint), table, lambda old, new: new, staging)
+    storage.remove(spark, staging)
+
+
 def read_flow(
     spark: SparkSession, table: str, days: Sequence[date] | None = None
 ) -> DataFrame:

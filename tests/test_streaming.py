@@ -17,7 +17,9 @@ from footfall.streaming.flow import (
     location_changes,
     location_state,
     read_flow,
+    restate_flow,
     start_location_flow,
+    state_report,
     stream_location_flow,
 )
 from footfall.streaming.words import (
@@ -223,3 +225,26 @@ def test_session_spans_as_a_stream(spark, folder):
         (r.session_start.timestamp(), r.session_end.timestamp(), r.n_events) for r in found
     )
     assert [(b - a, n) for a, b, n in seconds] == [(120, 2), (0, 1), (0, 1)]
+
+
+def _states(spark, folder, rules, lines, batches, name):
+    source, table, checkpoint = folder(f"in{name}"), folder(f"flow{name}"), folder(f"cp{name}")
+    for i in range(batches):
+        _write(spark, source, lines[i::batches])
+        stream = stream_text_dir(spark, source)
+        stream_location_flow(stream, rules, table, checkpoint, state_partitions=2).awaitTermination()
+    return spark.read.format("statestore").load(checkpoint).count(), table, checkpoint
+
+
+def test_state_does_not_grow_with_batches_and_restates_the_report(spark, folder, rules):
+    lines = _lines(5, 120)
+    once, _, _ = _states(spark, folder, rules, lines, 1, "a")
+    often, table, checkpoint = _states(spark, folder, rules, lines, 3, "b")
+    assert once == often
+    wanted = Counter(tuple(r) for r in read_flow(spark, table).collect())
+    assert wanted == _expected(spark, folder("ina"), rules)
+    # An earlier batch's state is the report as it was then.
+    assert 0 < state_report(spark, checkpoint, 0).count() <= sum(wanted.values())
+    storage.remove(spark, table)
+    restate_flow(spark, checkpoint, table)
+    assert Counter(tuple(r) for r in read_flow(spark, table).collect()) == wanted
