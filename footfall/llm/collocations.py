@@ -10,8 +10,9 @@ the other.
 
 Only frequent phrases are counted as text. A phrase is not more frequent than its parts, so words
 come first, then pairs of frequent words, and triples by their bit in a filter, and then the
-longest phrases all of whose pairs and triples are frequent. The filters between the passes are bitmaps of a fixed size: what they let through in
-vain costs time, and exact counts decide in the end.
+longest phrases all of whose pairs and triples are frequent. The filters between the passes are
+bitmaps of a fixed size: what they let through in vain costs time, and exact counts decide in the
+end.
 """
 
 from __future__ import annotations
