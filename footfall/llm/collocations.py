@@ -40,7 +40,9 @@ CHUNK_BITS = 1 << 15
 #: Bytes of text that are cut into words at a time; a longer text is cut at the end of a piece.
 SLICE_BYTES = 1 << 22
 #: Rows a task gathers before it adds them up and hands them on.
-GATHERED = 2_000_000
+GATHERED = 500_000
+#: Rows handed on at a time; the JVM holds a batch outside of its heap.
+HANDED_ROWS = 1 << 16
 #: Parts of a count stream; None takes the session's shuffle partitions.
 STREAM_PARTS = None
 
@@ -154,13 +156,20 @@ def _words(texts: list[bytes]) -> Words:
     return Words(np.frombuffer(b"\n".join(texts), dtype=np.uint8))
 
 
+def in_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, ``HANDED_ROWS`` at a time."""
+    for start in range(0, batch.num_rows, HANDED_ROWS):
+        yield batch.slice(start, HANDED_ROWS)
+
+
 def merged(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.RecordBatch]:
     """The same counts ``n`` by ``keys``, added up over about ``GATHERED`` rows at a time."""
 
     def added() -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(held).group_by(list(keys), use_threads=False)
         held.clear()
-        yield from table.aggregate([("n", "sum")]).rename_columns([*keys, "n"]).to_batches()
+        table = table.aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+        yield from table.to_batches(max_chunksize=HANDED_ROWS)
 
     held, rows = [], 0
     for batch in batches:
@@ -242,60 +251,68 @@ def _starts(words: Words, size: int, good: np.ndarray) -> np.ndarray:
     return np.flatnonzero(fine)
 
 
-def count_short(texts: DataFrame, frequent_words, seed: int) -> DataFrame:
-    """``a b n`` of parts of a task: pairs of frequent words as two fingerprints, and triples.
+def count_pairs(texts: DataFrame, frequent_words, seed: int) -> DataFrame:
+    """``a b n`` of parts of a task: pairs of frequent words as two fingerprints."""
 
-    A triple is only looked for in a filter, so ``a`` is its bit there, and ``b`` is null.
-    """
-
-    def pairs(words: Words, names: np.ndarray, good: np.ndarray) -> pa.RecordBatch:
-        at = _starts(words, 2, good)
+    def pairs(lang: str, words: Words, known: np.ndarray) -> pa.RecordBatch:
+        names = words.hashes(lang, seed)
+        at = _starts(words, 2, _has(known, names)[words.ids])
         key = words.ids[at] * len(words.names) + words.ids[at + 1]
         key, n = np.unique(key, return_counts=True)
         both = np.divmod(key, max(1, len(words.names)))
         columns = [pa.array(names[x].view(np.int64)) for x in both]
         return pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=list("abn"))
 
-    def triples(words: Words, names: np.ndarray, good: np.ndarray, bits: int) -> pa.RecordBatch:
-        at = _starts(words, 3, good)
-        hashes = names[words.ids[at]]
-        for i in (1, 2):
-            hashes = chained(hashes, names[words.ids[at + i]])
-        found, n = np.unique(bit_of(hashes, bits), return_counts=True)
-        columns = [pa.array(found), pa.nulls(len(n), pa.int64())]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=list("abn"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(frequent_words.value, np.uint8)
+        # Pairs are added up over their slice; gathering more saves few rows and holds many.
+        for lang, texts in _slices(batches):
+            yield from in_parts(pairs(lang, _words(texts), known))
+
+    return texts.mapInArrow(run, "a long, b long, n long")
+
+
+def count_triples(texts: DataFrame, frequent_words, frequent_pairs, seed: int) -> DataFrame:
+    """``bit n`` of parts of a task: triples whose two pairs pass, by their bit in the filter.
+
+    A triple is only looked for in a filter, so its words are not needed.
+    """
 
-    def both(lang: str, words: Words, known: np.ndarray) -> list[pa.RecordBatch]:
+    def triples(
+        lang: str, words: Words, known: np.ndarray, pairs: np.ndarray
+    ) -> pa.RecordBatch:
         names = words.hashes(lang, seed)
-        good = _has(known, names)[words.ids]
-        return [pairs(words, names, good), triples(words, names, good, len(known) * 8)]
+        at = _starts(words, 3, _has(known, names)[words.ids])
+        first, second, third = (names[words.ids[at + i]] for i in range(3))
+        fine = _has(pairs, chained(second, third))
+        begin = chained(first[fine], second[fine])
+        fine, third = _has(pairs, begin), third[fine]
+        hashes = chained(begin[fine], third[fine])
+        bits, n = np.unique(bit_of(hashes, len(pairs) * 8), return_counts=True)
+        columns = [pa.array(bits, pa.int64()), pa.array(n, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["bit", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(frequent_words.value, np.uint8)
-        parts = (
-            part
-            for lang, texts in _slices(batches)
-            for part in both(lang, _words(texts), known)
-        )
-        yield from merged(parts, "a", "b")
+        pairs = np.frombuffer(frequent_pairs.value, np.uint8)
+        found = (triples(lang, _words(texts), known, pairs) for lang, texts in _slices(batches))
+        yield from merged(found, "bit")
 
-    return texts.mapInArrow(run, "a long, b long, n long")
+    return texts.mapInArrow(run, "bit long, n long")
 
 
-def bits_of_short(short: DataFrame, bits: int) -> DataFrame:
-    """``bit`` of pairs and triples (a, b), where :func:`count_long` looks for them."""
+def bits_of_pairs(pairs: DataFrame, bits: int) -> DataFrame:
+    """``bit`` of pairs (a, b), where the passes behind look for them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (
-                pc.fill_null(batch.column(i), 0).to_numpy(zero_copy_only=False).view(np.uint64)
-                for i in (0, 1)
+                batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1)
             )
-            alone = batch.column(1).is_null().to_numpy(zero_copy_only=False)
-            found = np.where(alone, a.view(np.int64), bit_of(chained(a, b), bits))
+            found = bit_of(chained(a, b), bits)
             yield pa.RecordBatch.from_arrays([pa.array(found)], names=["bit"])
 
-    return short.select("a", "b").mapInArrow(run, "bit long")
+    return pairs.select("a", "b").mapInArrow(run, "bit long")
 
 
 def count_long(
@@ -365,18 +382,22 @@ def count_stream(
     totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("total"))
     frequent, seed = named_words(vocabulary.filter(often))
     words = context.broadcast(bitmap(bits_of_words(frequent, filter_bits), filter_bits))
-    short = stored(
-        count_short(texts, words, seed).groupBy("a", "b").agg(F.sum("n").alias("n")).filter(often),
-        "short-phrases",
+    pairs = stored(
+        count_pairs(texts, words, seed).groupBy("a", "b").agg(F.sum("n").alias("n")).filter(often),
+        "pairs",
     )
-    known = context.broadcast(bitmap(bits_of_short(short, filter_bits), filter_bits))
     first = frequent.select(F.col("hash").alias("a"), "lang", F.col("word").alias("w1"))
     second = frequent.select(F.col("hash").alias("b"), F.col("word").alias("w2"))
-    pairs = short.join(first, "a").join(second, "b")
+    named = pairs.join(first, "a").join(second, "b")
     stream = frequent.select("lang", F.array("word").alias("words"), "n").union(
-        pairs.select("lang", F.array("w1", "w2").alias("words"), "n")
+        named.select("lang", F.array("w1", "w2").alias("words"), "n")
     )
     if max_words > 2:
+        of_pairs = bits_of_pairs(pairs, filter_bits)
+        both = context.broadcast(bitmap(of_pairs, filter_bits))
+        triples = count_triples(texts, words, both, seed).groupBy("bit").agg(F.sum("n").alias("n"))
+        found = of_pairs.union(triples.filter(often).select("bit"))
+        known = context.broadcast(bitmap(found, filter_bits))
         longest = (
             count_long(texts, words, known, seed, max_words)
             .groupBy("lang", "phrase")

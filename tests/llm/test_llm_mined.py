@@ -8,10 +8,12 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import plan_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from footfall.llm import collocations, queries, secret_scan, variants
 from footfall.llm.secret_scan import RULES, Rule, scan_secrets
@@ -302,3 +304,25 @@ def test_variant_edges(docs, empty):
     with pytest.raises(ValueError):
         variants.group_variants(docs, min_length=3)
     assert found["zeilen"].n == 2 and found["zeilen"].form is None and found["zeilen"].n_near == 0
+
+
+def test_triples_are_counted_only_where_their_pairs_are_frequent(saved):
+    texts = saved([("xx", "a b c. " * 5 + "d e. " * 5 + "a b e. c d e.")], "lang string, text string")
+    context, bits = texts.sparkSession.sparkContext, 1 << 15
+    words = collocations.count_words(texts).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    named, seed = collocations.named_words(words.filter("n >= 5"))
+    known = context.broadcast(collocations.bitmap(collocations.bits_of_words(named, bits), bits))
+    pairs = collocations.count_pairs(texts, known, seed).filter("n >= 5")
+    assert sorted(row.n for row in pairs.collect()) == [5, 6, 6]
+    of_pairs = collocations.bitmap(collocations.bits_of_pairs(pairs, bits), bits)
+    triples = collocations.count_triples(texts, known, context.broadcast(of_pairs), seed)
+    assert [row.n for row in triples.collect()] == [5]
+
+
+def test_a_task_hands_on_small_batches(monkeypatch):
+    monkeypatch.setattr(collocations, "HANDED_ROWS", 7)
+    rows = pa.RecordBatch.from_pydict({"a": list(range(30)), "n": [1] * 30})
+    merged = list(collocations.merged(iter([rows, rows]), "a"))
+    assert all(batch.num_rows <= 7 for batch in merged)
+    assert sorted(n for batch in merged for n in batch.column(1).to_pylist()) == [2] * 30
+    assert [b.num_rows for b in collocations.in_parts(rows)] == [7, 7, 7, 7, 2]
