@@ -50,6 +50,15 @@ def _move_days(spark: SparkSession, names: list[str], source: str, target: str)
         storage.move(spark, f"{source}/{name}", f"{target}/{name}")
 
 
+def _dates(names: list[str]) -> list[date]:
+    return [date.fromisoformat(name.split("=", 1)[1]) for name in sorted(names)]
+
+
+def is_ready(spark: SparkSession, staging: str) -> bool:
+    """Whether all that :func:`merge_partitions` made is complete in ``staging``."""
+    return storage.exists(spark, f"{staging}/_READY")
+
+
 def merge_partitions(
     new: DataFrame,
     path: str,
@@ -57,21 +66,21 @@ def merge_partitions(
     staging: str,
     once: bool = False,
     fresh_as_is: bool = True,
-) -> None:
+) -> list[date]:
     """Rewrite the partitions that hold a day of ``new`` as ``merge(old rows, new)``.
 
     Days the table does not have yet take the new rows as they are, unless ``fresh_as_is``
     is off; then ``merge`` sees them too, with None for a table without any of the days.
     ``staging`` must be a folder no other job writes. With ``once``, a staging folder that
     is ready means that this very work was done before: what is left of it is moved, and
-    nothing is computed.
+    nothing is computed. Gives the days of ``new``.
     """
     spark, path = new.sparkSession, path.rstrip("/")
     incoming, ready, mark = f"{staging}/incoming", f"{staging}/ready", f"{staging}/_READY"
-    if storage.exists(spark, mark):
+    if is_ready(spark, staging):
         _move_days(spark, _days(spark, ready), ready, path)
         if once:
-            return
+            return _dates(_days(spark, incoming))
     storage.remove(spark, staging)
     new.write.partitionBy("dt").parquet(incoming)
     arrived = _days(spark, incoming)
@@ -95,6 +104,7 @@ def merge_partitions(
     _move_days(spark, _days(spark, ready), ready, path)
     if not once:
         storage.remove(spark, staging)
+    return _dates(arrived)
 
 
 def upsert(
@@ -129,19 +139,25 @@ def merge_cells(records: DataFrame, order: str = "seq") -> DataFrame:
     """One record per row key: each cell keeps its latest value, and a cell that a later
     record lacks survives.
 
-    The latest value is found per row key and cell, which combines before the shuffle, so a
-    key that repeats without end sends one row per cell and task. A record's cells are only
-    gathered when there is one of each.
+    Of the records of a key with the same cells present the latest says all, so these are
+    combined as whole records before the shuffle, and a key that repeats without end sends one
+    row per task and set of cells. Only what differs in its cells is merged cell by cell.
     """
-    packed = records.select(
-        "row_key", F.col(order).alias("_order"), F.explode(_cells(records)).alias("_name", "_value")
-    )
-    latest = packed.groupBy("row_key", "_name").agg(F.max_by("_value", "_order").alias("_value"))
-    merged = latest.groupBy("row_key").agg(
-        F.map_from_entries(F.collect_list(F.struct("_name", "_value"))).alias("_c")
+    names = F.array_sort(F.map_keys("_cells"))
+    packed = records.select("row_key", F.col(order).alias("_order"), _cells(records).alias("_cells"))
+    values = F.transform(names, lambda k: F.col("_cells")[k])
+    packed = packed.select("row_key", "_order", names.alias("_names"), values.alias("_values"))
+    latest = packed.groupBy("row_key", "_names").agg(
+        F.max("_order").alias("_order"), F.max_by("_values", "_order").alias("_values")
     )
+    records_of_key = F.array_sort(F.collect_list(F.struct("_order", "_names", "_values")))
+    merged = latest.groupBy("row_key").agg(records_of_key.alias("_records"))
+    # Of a name that comes several times the map keeps the last value (RUNTIME_CONF).
+    entries = F.transform("_records", lambda r: F.arrays_zip(r["_names"], r["_values"]))
+    later = F.map_from_entries(F.flatten(entries))
     return (
-        merged.select(
+        merged.select("row_key", F.explode(F.array(later)).alias("_c"))
+        .select(
             "row_key",
             *[F.col("_c")[c].alias(c) for c in KNOWN_CELLS],
             F.map_filter("_c", lambda k, _: ~k.isin(*KNOWN_CELLS)).alias("params"),

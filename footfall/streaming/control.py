@@ -11,6 +11,8 @@ from footfall.session import ROCKSDB_PROVIDER
 
 STATE_KEY = "spark.sql.streaming.stateStore.providerClass"
 PARTITIONS_KEY = "spark.sql.shuffle.partitions"
+# Counting the rows of the state would look up each row once more when it is written.
+COUNT_KEY = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
 
 
 @contextmanager
@@ -21,7 +23,7 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
     by default the session's shuffle partitions. A query takes its own copy of the settings
     when it starts.
     """
-    wanted = {STATE_KEY: ROCKSDB_PROVIDER}
+    wanted = {STATE_KEY: ROCKSDB_PROVIDER, COUNT_KEY: "false"}
     if partitions:
         wanted[PARTITIONS_KEY] = str(partitions)
     before = {key: spark.conf.get(key, None) for key in wanted}

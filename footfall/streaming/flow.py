@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,7 +26,7 @@ from footfall.operators.reports import LOCATION_LEVELS
 from footfall.operators.visits import flag
 from footfall.schemas import REGION_COLUMNS
 from footfall.sinks.streams import trigger
-from footfall.sinks.tables import merge_partitions
+from footfall.sinks.tables import is_ready, merge_partitions
 from footfall.streaming.control import state_settings
 
 FLOW_KEYS = ("dt", *REGION_COLUMNS)
@@ -84,7 +84,7 @@ def location_state(records: DataFrame, delay: str | None = None) -> DataFrame:
     return state.withColumn("_now", batch_time)
 
 
-def location_changes(updated: DataFrame, now: int) -> DataFrame:
+def location_changes(updated: DataFrame, now: int | Column) -> DataFrame:
     """Changes per location out of the state rows one batch updated.
 
     ``is_new`` tells a location the stream had not seen before; nu and pv are its totals,
@@ -152,27 +152,22 @@ def start_location_flow(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            first = batch.select("_now").first()
-            if first is None:
-                return
-            now = first["_now"]
-            merge_partitions(
-                location_changes(batch, now),
-                table,
-                add_changes,
-                f"{checkpoint}/report_staging/{batch_id}",
-                once=True,
-                fresh_as_is=False,
-            )
-            if after:
-                # One row per day of the batch.
-                days = batch.select("dt").distinct().collect()
-                after(batch.sparkSession, [row["dt"] for row in days])
-            storage.remove(batch.sparkSession, f"{checkpoint}/report_staging/{batch_id - 2}")
-        finally:
-            batch.unpersist()
+        # The batch is run once and kept nowhere: its changes are the only thing made of it.
+        spark, staging = batch.sparkSession, f"{checkpoint}/report_staging/{batch_id}"
+        if is_ready(spark, staging):
+            # The report has it already, but the state has to take it in, in every partition.
+            batch.write.format("noop").mode("overwrite").save()
+        days = merge_partitions(
+            location_changes(batch, F.col("_now")),
+            table,
+            add_changes,
+            staging,
+            once=True,
+            fresh_as_is=False,
+        )
+        if after and days:
+            after(spark, days)
+        storage.remove(spark, f"{checkpoint}/report_staging/{batch_id - 2}")
 
     with state_settings(state.sparkSession, state_partitions):
         writer = (

@@ -248,3 +248,24 @@ def test_state_does_not_grow_with_batches_and_restates_the_report(spark, folder,
     storage.remove(spark, table)
     restate_flow(spark, checkpoint, table)
     assert Counter(tuple(r) for r in read_flow(spark, table).collect()) == wanted
+
+
+def test_a_batch_is_run_once_and_kept_nowhere(spark, folder, rules, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def never(*_):
+        raise AssertionError("a batch is looked at before its changes are written")
+
+    for name in ("persist", "cache", "first"):
+        monkeypatch.setattr(DataFrame, name, never)
+    source, table, checkpoint = folder("in"), folder("flow"), folder("cp")
+    _write(spark, source, _lines(1, 60))
+    touched = []
+    stream_location_flow(
+        stream_text_dir(spark, source), rules, table, checkpoint, state_partitions=2,
+        after=lambda _, days: touched.append(days),
+    ).awaitTermination()
+    monkeypatch.undo()
+    assert _found(spark, table) == _expected(spark, source, rules)
+    days = {row.dt for row in read_flow(spark, table).select("dt").distinct().collect()}
+    assert [set(found) for found in touched] == [days]
