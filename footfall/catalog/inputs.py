@@ -253,8 +253,11 @@ def grow_files(df: DataFrame, path: str, step: int) -> None:
 
 
 def move_files(spark: SparkSession, folder: str, prefix: str) -> None:
-    """Move the data files of a folder to ``<prefix>-<number>.log``, and remove the folder."""
+    """Move the data files of a folder to ``<prefix>-<number>.log``, and remove the folder.
+
+    Compressed files keep the ending by which they are read."""
     names = [n for n in storage.children(spark, folder) if n.startswith("part-")]
     for i, name in enumerate(sorted(names)):
-        storage.move(spark, f"{folder}/{name}", f"{prefix}-{i:05d}.log")
+        packed = ".gz" if name.endswith(".gz") else ""
+        storage.move(spark, f"{folder}/{name}", f"{prefix}-{i:05d}.log{packed}")
     storage.remove(spark, folder)

@@ -614,7 +614,9 @@ def loaded_files(spark, sf_dir):
             lines = inputs.log_lines(events, b_n=F.lit(f"{name}-{day.day}"))
             lines = lines.select(F.explode(F.array_repeat("value", copies)).alias("value"))
             at = f"{root}/{day:%Y/%m/%d}/{('1000', '1100')[name == 'late']}"
-            lines.repartition(BATCHES).write.text(at)
+            # Packed as logs are kept, in files small enough to be read by many tasks.
+            writer = lines.write.option("maxRecordsPerFile", 1_000_000)
+            writer.text(at, compression="gzip")
             inputs.move_files(spark, at, at)
         run_etl(spark, root, rules, f"{path}/{day.day}", day)
     found = [

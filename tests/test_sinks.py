@@ -250,3 +250,28 @@ def test_kafka_options():
 def test_console(spark, capfd):
     console(_stats(spark, (D1, "shown", 1)))
     assert "shown" in capfd.readouterr().out
+
+
+def test_records_with_the_same_cells_are_combined_before_the_shuffle(spark):
+    from footfall.schemas import EVENT_LOG
+    from footfall.sinks.tables import merge_cells
+
+    cells = {name: None for name in EVENT_LOG.names}
+
+    def record(seq, params, **known):
+        return {**cells, "row_key": "k", "access_time": "1704067200000", "params": params, **known, "seq": seq}
+
+    rows = [
+        record(5, {"a": "5"}, uid="late"),
+        record(1, {"a": "1", "b": "1"}, uid="early", pid="p1"),
+        record(2, {"a": "2", "b": None}, uid="second", pid="p2"),
+        record(3, {"a": "3"}, uid="third"),
+        record(4, None, sid="s4"),
+    ]
+    frame = spark.createDataFrame(rows, f"{EVENT_LOG.simpleString()[7:-1]},seq:bigint")
+    merged = merge_cells(frame)
+    row = merged.collect()[0]
+    assert (row.uid, row.pid, row.sid, row.params) == ("late", "p2", "s4", {"a": "5", "b": None})
+    assert merged.count() == 1
+    before_shuffle = merged._jdf.queryExecution().executedPlan().toString().split("Exchange")[-1]
+    assert "Generate" not in before_shuffle
