@@ -67,3 +67,13 @@ def test_first_visits_are_those_of_the_batch(spark, folder, slices, events):
     first = events.groupBy("uid").agg(F.min(F.struct("access_time_ms", "event_id")).alias("m"))
     wanted = first.select("uid", "m.event_id", "m.access_time_ms").collect()
     assert sorted(found.select("uid", "event_id", "access_time_ms").collect()) == sorted(wanted)
+
+
+def test_users_of_a_group_share_its_frames(spark, folder, slices, events):
+    """All users in one group, and hardly any two in one, get the same."""
+    found = [
+        _run(spark, lambda n, g=g: folder(f"{n}{g}"), lambda s, g=g: stream_sessionize(s, groups=g), slices)
+        for g in (1, 1000)
+    ]
+    one, many = (sorted(f.na.fill(-1).collect()) for f in found)
+    assert one == many and len(one) > events.count()
