@@ -170,7 +170,9 @@ class FirstVisit(InOrder):
 
     def take(self, events, watermark):
         firsts = events.drop_duplicates("uid")
-        firsts = firsts[[not self.seen.containsKey((user,)) for user in firsts["uid"]]]
+        # As booleans also where there are none: an empty list would choose no columns.
+        unseen = [not self.seen.containsKey((user,)) for user in firsts["uid"]]
+        firsts = firsts[np.array(unseen, dtype=bool)]
         for user, ts in zip(firsts["uid"], firsts["ts"].tolist()):
             self.seen.updateValue((user,), (ts,))
         if len(firsts):

@@ -77,3 +77,13 @@ def test_users_of_a_group_share_its_frames(spark, folder, slices, events):
     ]
     one, many = (sorted(f.na.fill(-1).collect()) for f in found)
     assert one == many and len(one) > events.count()
+
+
+def test_a_timer_without_waiting_events_gives_nothing():
+    import pandas as pd
+
+    from footfall.streaming.visits import FirstVisit
+
+    first = FirstVisit()
+    first.seen = None
+    assert list(first.take(pd.DataFrame({"uid": [], "ts": [], "id": []}), 0)) == []
