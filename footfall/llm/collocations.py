@@ -9,10 +9,11 @@ is just as frequent. Nothing is looked up by hash; the two orders are merged by
 the other.
 
 Only frequent phrases are counted as text. A phrase is not more frequent than its parts, so words
-come first, then pairs of frequent words, and triples by their bit in a filter, and then the
-longest phrases all of whose pairs and triples are frequent. The filters between the passes are
-bitmaps of a fixed size: what they let through in vain costs time, and exact counts decide in the
-end.
+come first, then pairs of frequent words, triples of frequent pairs, and then the longest phrases
+all of whose pairs and triples are frequent. Most pairs and triples are rare, so they are first
+counted by hash, in buckets that are handed on packed; a bucket holds at least what each phrase in
+it counts, so only phrases of frequent buckets go on. The filters between the passes are bitmaps of
+a fixed size: what they let through in vain costs time, and exact counts decide in the end.
 """
 
 from __future__ import annotations
@@ -37,6 +38,12 @@ TOP = 2000
 FILTER_BITS = 1 << 26
 #: Bits in one value of Spark's bitmap functions.
 CHUNK_BITS = 1 << 15
+#: Bits that name a bucket within its part; a bucket's number is the first 31 bits of a hash.
+BUCKET_BITS = 21
+#: The largest count of an entry, which has a byte for it; enough to tell ``min_count`` or more.
+MOST = 255
+#: Two words by fingerprint and their count.
+PAIR = np.dtype([("a", np.int64), ("b", np.int64), ("n", np.int64)])
 #: Bytes of text that are cut into words at a time; a longer text is cut at the end of a piece.
 SLICE_BYTES = 1 << 22
 #: Rows a task gathers before it adds them up and hands them on.
@@ -97,8 +104,12 @@ def chained(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mixed(mixed(a) + b * np.uint64(0x9E3779B97F4A7C15))
 
 
+def bucket_of(hashes: np.ndarray) -> np.ndarray:
+    return hashes >> np.uint64(33)
+
+
 def bit_of(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> np.uint64(33)).astype(np.int64) % bits
+    return bucket_of(hashes).astype(np.int64) % bits
 
 
 def _has(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -182,6 +193,66 @@ def merged(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.RecordB
         yield from added()
 
 
+def by_part(parts: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
+    """``part entries``: the bytes of the entries of each part, which stand side by side."""
+    parts, starts = np.unique(parts, return_index=True)
+    offsets = (entries.itemsize * np.append(starts, len(entries))).astype(np.int32)
+    column = pa.Array.from_buffers(
+        pa.binary(), len(parts), [None, pa.py_buffer(offsets), pa.py_buffer(entries)]
+    )
+    columns = [pa.array(parts.astype(np.int32)), column]
+    return pa.RecordBatch.from_arrays(columns, names=["part", "entries"])
+
+
+def entries_of(part: pa.Table, kind: np.dtype) -> np.ndarray:
+    column = part.column("entries").to_pylist()
+    return np.concatenate([np.frombuffer(x, kind) for x in column])
+
+
+def packed(found: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """``part entries``: how many of the hashes ``found`` are in each bucket, packed by part.
+
+    An entry is four bytes, the bucket's place in its part and a count of ``MOST`` at the most.
+    Entries of about ``GATHERED`` buckets are handed on at a time; a bucket may be in them twice.
+    """
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        entries = np.concatenate(held)
+        held.clear()
+        entries.sort()
+        places = (entries & np.uint64((1 << BUCKET_BITS + 8) - 1)).astype(np.uint32)
+        yield by_part(entries >> np.uint64(BUCKET_BITS + 8), places)
+
+    held, size = [], 0
+    for hashes in found:
+        buckets, n = np.unique(bucket_of(hashes), return_counts=True)
+        held.append(buckets << np.uint64(8) | np.minimum(n, MOST).astype(np.uint64))
+        size += len(buckets)
+        if size >= GATHERED:
+            yield from rows()
+            size = 0
+    if size:
+        yield from rows()
+
+
+def frequent_buckets(counts: DataFrame, min_count: int, bits: int) -> DataFrame:
+    """``bit`` of the buckets that ``counts`` (part, entries) give ``min_count`` or more.
+
+    Entries that stop at ``MOST`` hide no bucket, as the sum is not asked for more than that.
+    """
+
+    def run(part: pa.Table) -> pa.Table:
+        entries = np.sort(entries_of(part, np.uint32))
+        places = (entries >> 8).astype(np.int64)
+        starts = np.flatnonzero(np.diff(places, prepend=-1))
+        n = np.add.reduceat(entries & 255, starts, dtype=np.int64)
+        found = places[starts[n >= min(min_count, MOST)]]
+        first = part.column("part")[0].as_py() << BUCKET_BITS
+        return pa.table({"bit": (first + found) % bits})
+
+    return counts.groupBy("part").applyInArrow(run, "bit long")
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """``lang word n`` of parts of a task, for ``texts`` (lang, text)."""
 
@@ -251,43 +322,118 @@ def _starts(words: Words, size: int, good: np.ndarray) -> np.ndarray:
     return np.flatnonzero(fine)
 
 
-def count_pairs(texts: DataFrame, frequent_words, seed: int) -> DataFrame:
-    """``a b n`` of parts of a task: pairs of frequent words as two fingerprints."""
+def bucket_pairs(texts: DataFrame, frequent_words, seed: int) -> DataFrame:
+    """``part entries`` of parts of a task: pairs of frequent words, by bucket."""
 
-    def pairs(lang: str, words: Words, known: np.ndarray) -> pa.RecordBatch:
+    def pairs(lang: str, words: Words, known: np.ndarray) -> np.ndarray:
         names = words.hashes(lang, seed)
         at = _starts(words, 2, _has(known, names)[words.ids])
-        key = words.ids[at] * len(words.names) + words.ids[at + 1]
-        key, n = np.unique(key, return_counts=True)
-        both = np.divmod(key, max(1, len(words.names)))
-        columns = [pa.array(names[x].view(np.int64)) for x in both]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=list("abn"))
+        return chained(names[words.ids[at]], names[words.ids[at + 1]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(frequent_words.value, np.uint8)
+        yield from packed(pairs(lang, _words(texts), known) for lang, texts in _slices(batches))
+
+    return texts.mapInArrow(run, "part int, entries binary")
+
+
+def _pairs(
+    lang: str, words: Words, known: np.ndarray, seed: int, likely: np.ndarray | None = None
+) -> pa.RecordBatch:
+    """``a b n``: pairs of known words as two fingerprints, of those the filter lets through."""
+    names = words.hashes(lang, seed)
+    at = _starts(words, 2, _has(known, names)[words.ids])
+    if likely is not None:
+        at = at[_has(likely, chained(names[words.ids[at]], names[words.ids[at + 1]]))]
+    key = words.ids[at] * len(words.names) + words.ids[at + 1]
+    key, n = np.unique(key, return_counts=True)
+    both = np.divmod(key, max(1, len(words.names)))
+    columns = [pa.array(names[x].view(np.int64)) for x in both]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=list("abn"))
+
+
+def count_pairs(texts: DataFrame, frequent_words, seed: int) -> DataFrame:
+    """``a b n`` of parts of a task: pairs of frequent words as two fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(frequent_words.value, np.uint8)
         # Pairs are added up over their slice; gathering more saves few rows and holds many.
         for lang, texts in _slices(batches):
-            yield from in_parts(pairs(lang, _words(texts), known))
+            yield from in_parts(_pairs(lang, _words(texts), known, seed))
 
     return texts.mapInArrow(run, "a long, b long, n long")
 
 
-def count_triples(texts: DataFrame, frequent_words, frequent_pairs, seed: int) -> DataFrame:
-    """``bit n`` of parts of a task: triples whose two pairs pass, by their bit in the filter.
+def count_likely_pairs(texts: DataFrame, frequent_words, likely_pairs, seed: int) -> DataFrame:
+    """``part entries`` of parts of a task: the same of pairs that pass the filter, packed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(frequent_words.value, np.uint8)
+        likely = np.frombuffer(likely_pairs.value, np.uint8)
+        found = (
+            _pairs(lang, _words(texts), known, seed, likely) for lang, texts in _slices(batches)
+        )
+        for batch in merged(found, "a", "b"):
+            entries = np.empty(batch.num_rows, PAIR)
+            for name in PAIR.names:
+                entries[name] = batch.column(name).to_numpy()
+            hashes = chained(entries["a"].view(np.uint64), entries["b"].view(np.uint64))
+            parts = bucket_of(hashes) >> np.uint64(BUCKET_BITS)
+            order = np.argsort(parts)
+            yield by_part(parts[order], entries[order])
+
+    return texts.mapInArrow(run, "part int, entries binary")
+
+
+def frequent_pairs(counts: DataFrame, min_count: int) -> DataFrame:
+    """``a b n`` of the pairs that ``counts`` (part, entries) give ``min_count`` or more."""
+
+    def run(part: pa.Table) -> pa.Table:
+        entries = entries_of(part, PAIR)
+        table = pa.table({name: np.ascontiguousarray(entries[name]) for name in PAIR.names})
+        table = table.group_by(["a", "b"], use_threads=False).aggregate([("n", "sum")])
+        table = table.rename_columns(["a", "b", "n"])
+        return table.filter(pc.greater_equal(table["n"], min_count))
+
+    return counts.groupBy("part").applyInArrow(run, "a long, b long, n long")
+
+
+def _triples(
+    lang: str, words: Words, known: np.ndarray, pairs: np.ndarray, seed: int
+) -> np.ndarray:
+    """A fingerprint for each place where a triple begins whose two pairs pass."""
+    names = words.hashes(lang, seed)
+    at = _starts(words, 3, _has(known, names)[words.ids])
+    first, second, third = (names[words.ids[at + i]] for i in range(3))
+    fine = _has(pairs, chained(second, third))
+    begin = chained(first[fine], second[fine])
+    fine, third = _has(pairs, begin), third[fine]
+    return chained(begin[fine], third[fine])
+
+
+def bucket_triples(texts: DataFrame, frequent_words, frequent_pairs, seed: int) -> DataFrame:
+    """``part entries`` of parts of a task: triples whose two pairs pass, by bucket.
 
     A triple is only looked for in a filter, so its words are not needed.
     """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(frequent_words.value, np.uint8)
+        pairs = np.frombuffer(frequent_pairs.value, np.uint8)
+        yield from packed(
+            _triples(lang, _words(texts), known, pairs, seed) for lang, texts in _slices(batches)
+        )
+
+    return texts.mapInArrow(run, "part int, entries binary")
+
+
+def count_triples(texts: DataFrame, frequent_words, frequent_pairs, seed: int) -> DataFrame:
+    """``bit n`` of parts of a task: the same as rows, by their bit in the filter."""
+
     def triples(
         lang: str, words: Words, known: np.ndarray, pairs: np.ndarray
     ) -> pa.RecordBatch:
-        names = words.hashes(lang, seed)
-        at = _starts(words, 3, _has(known, names)[words.ids])
-        first, second, third = (names[words.ids[at + i]] for i in range(3))
-        fine = _has(pairs, chained(second, third))
-        begin = chained(first[fine], second[fine])
-        fine, third = _has(pairs, begin), third[fine]
-        hashes = chained(begin[fine], third[fine])
+        hashes = _triples(lang, words, known, pairs, seed)
         bits, n = np.unique(bit_of(hashes, len(pairs) * 8), return_counts=True)
         columns = [pa.array(bits, pa.int64()), pa.array(n, pa.int64())]
         return pa.RecordBatch.from_arrays(columns, names=["bit", "n"])
@@ -382,10 +528,10 @@ def count_stream(
     totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("total"))
     frequent, seed = named_words(vocabulary.filter(often))
     words = context.broadcast(bitmap(bits_of_words(frequent, filter_bits), filter_bits))
-    pairs = stored(
-        count_pairs(texts, words, seed).groupBy("a", "b").agg(F.sum("n").alias("n")).filter(often),
-        "pairs",
-    )
+    crowded = frequent_buckets(bucket_pairs(texts, words, seed), min_count, filter_bits)
+    likely = context.broadcast(bitmap(crowded, filter_bits))
+    counted = count_likely_pairs(texts, words, likely, seed)
+    pairs = stored(frequent_pairs(counted, min_count), "pairs")
     first = frequent.select(F.col("hash").alias("a"), "lang", F.col("word").alias("w1"))
     second = frequent.select(F.col("hash").alias("b"), F.col("word").alias("w2"))
     named = pairs.join(first, "a").join(second, "b")
@@ -395,8 +541,8 @@ def count_stream(
     if max_words > 2:
         of_pairs = bits_of_pairs(pairs, filter_bits)
         both = context.broadcast(bitmap(of_pairs, filter_bits))
-        triples = count_triples(texts, words, both, seed).groupBy("bit").agg(F.sum("n").alias("n"))
-        found = of_pairs.union(triples.filter(often).select("bit"))
+        triples = bucket_triples(texts, words, both, seed)
+        found = of_pairs.union(frequent_buckets(triples, min_count, filter_bits))
         known = context.broadcast(bitmap(found, filter_bits))
         longest = (
             count_long(texts, words, known, seed, max_words)

@@ -326,3 +326,60 @@ def test_a_task_hands_on_small_batches(monkeypatch):
     assert all(batch.num_rows <= 7 for batch in merged)
     assert sorted(n for batch in merged for n in batch.column(1).to_pylist()) == [2] * 30
     assert [b.num_rows for b in collocations.in_parts(rows)] == [7, 7, 7, 7, 2]
+
+
+def test_buckets_and_pairs_are_handed_on_packed(saved, monkeypatch):
+    # Eight pieces of text, each a slice; rare pairs and triples differ from slice to slice.
+    rows = [("xx", f"a b c. a b c. {i}x {i}y {i}z. a {i}y. " * 3) for i in range(8)]
+    texts = saved(rows, "lang string, text string", files=1)
+    monkeypatch.setattr(collocations, "SLICE_BYTES", 40)
+    context, bits = texts.sparkSession.sparkContext, 1 << 15
+    words = collocations.count_words(texts).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    named, seed = collocations.named_words(words)
+    known = context.broadcast(collocations.bitmap(collocations.bits_of_words(named, bits), bits))
+    buckets = collocations.bucket_pairs(texts, known, seed)
+    # 2 + 8 * 3 pairs: a row each would be 26 from each task, at least; here a row has many.
+    entries = [np.frombuffer(r.entries, np.uint32) for r in buckets.collect()]
+    assert sum(int((x & 255).sum()) for x in entries) == 8 * 3 * 7
+    frequent = collocations.frequent_buckets(buckets, 48, bits)
+    likely = context.broadcast(collocations.bitmap(frequent, bits))
+    assert frequent.count() == 2
+    exact = collocations.count_likely_pairs(texts, known, likely, seed)
+    found = collocations.frequent_pairs(exact, 48).collect()
+    plain = collocations.count_pairs(texts, known, seed).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    assert sorted(found) == sorted(plain.filter("n >= 48").collect()) and len(found) == 2
+    both = context.broadcast(
+        collocations.bitmap(collocations.bits_of_pairs(plain.filter("n >= 48"), bits), bits)
+    )
+    triples = collocations.bucket_triples(texts, known, both, seed)
+    assert collocations.frequent_buckets(triples, 48, bits).count() == 1
+
+
+def test_packed_counts_lose_none_beyond_a_byte(spark):
+    hashes = [np.repeat(np.arange(n, dtype=np.uint64) << np.uint64(33 + 18), 200) for n in (9, 5)]
+    batches = list(collocations.packed(iter([*hashes, hashes[1][:1]])))
+    assert sum(batch.num_rows for batch in batches) == 2  # parts, for nine buckets
+    counts = spark.createDataFrame(pa.Table.from_batches(batches))
+    for least, wanted in ((200, 9), (201, 5), (255, 5), (401, 0), (9999, 0)):
+        frequent = collocations.frequent_buckets(counts, least, 1 << 31)
+        # Beyond a byte a bucket may pass in vain, but none is lost.
+        assert frequent.count() == (wanted if least <= 255 else 5)
+    assert {r.bit for r in frequent.collect()} == {i << 18 for i in range(5)}
+
+
+def test_rare_pairs_make_no_rows(spark, saved, monkeypatch):
+    # Every pair is rare but one; a row for each of them would be a thousand.
+    draw = random.Random(3)
+    words = [f"w{i}" for i in range(40)]
+    rows = [("en", " ".join(draw.choices(words, k=60)) + ". new york.") for _ in range(40)]
+    texts = saved([(i, t, lang, "a") for i, (lang, t) in enumerate(rows)])
+    sizes, plain = [], collocations.frequent_pairs
+
+    def counted(counts, min_count):
+        sizes.append(counts.select((F.length("entries") / 24).alias("n")).agg(F.sum("n")).first()[0])
+        return plain(counts, min_count)
+
+    monkeypatch.setattr(collocations, "frequent_pairs", counted)
+    found = collocations.collocations(texts, min_count=30).collect()
+    assert {tuple(r) for r in found} == plain_collocations(rows, 5, 30, 2000)
+    assert [r.phrase for r in found] == ["new york"] and sizes[0] <= 10
