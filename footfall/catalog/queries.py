@@ -607,7 +607,9 @@ def loaded_files(spark, sf_dir):
     """Early and late files say different things of the same events; the later ones hold, whatever
     the sizes: the early ones repeat their lines for odd days, the late ones for even days."""
     root, path = work_dir(spark, "logs"), work_dir(spark, "event_log")
-    rules, events = work_dir(spark, "rules"), inputs.tracked_events(spark, sf_dir)
+    rules = work_dir(spark, "rules")
+    # The join is made once, not for each folder of logs.
+    events = inputs.saved(inputs.tracked_events(spark, sf_dir), "tracked")
     inputs.rule_lines(inputs.ip_rules(spark, sf_dir)).write.text(rules)
     for day in (date(2024, 2, 1), date(2024, 2, 2)):
         for name, copies in (("early", 1 + 3 * (day.day % 2)), ("late", 4 - 3 * (day.day % 2))):

@@ -20,8 +20,7 @@ def row_key(access_time: Column | str, uid: Column | str, event: Column | str) -
 
     The smallest 32-bit integer has no positive counterpart and keeps its sign.
     """
-    code = java_string_hash(F.concat(col(uid), col(event)))
-    positive = F.when(code == INT_MIN, code.cast("bigint")).otherwise(
-        F.abs(code.cast("bigint"))
-    )
-    return F.concat(col(access_time).cast("string"), F.lit("_"), positive.cast("string"))
+    code = java_string_hash(F.concat(col(uid), col(event))).cast("string")
+    # Named once, so that it is computed once.
+    positive = F.regexp_replace(code, f"^-(?!{-INT_MIN}$)", "")
+    return F.concat(col(access_time).cast("string"), F.lit("_"), positive)

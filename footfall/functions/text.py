@@ -13,6 +13,10 @@ NOT_BLANK = r"[^\p{javaWhitespace}]"
 
 # A request with one query part; further question marks are allowed only at its end.
 QUERY_PART = r"^[^?]*[?]([^?]+)[?]*$"
+# A part of the query with a name and one value, neither of them blank; equals signs may follow.
+# What stands behind a repetition is never one of its characters, so the time is linear.
+BLANK = r"\p{javaWhitespace}"
+PARAMETER = rf"(?:^|&)(?={BLANK}*[^=&{BLANK}])([^=&]*)=(?={BLANK}*[^=&{BLANK}])([^=&]*)=*(?![^&])"
 # Characters a browser leaves alone when it encodes a component, but which
 # form encoding escapes.
 BROWSER_UNESCAPED = (
@@ -32,7 +36,10 @@ def is_not_blank(c: Column | str) -> Column:
 
 def java_split(c: Column | str, separator: str) -> Column:
     """Split on one character, without the empty parts at the end."""
-    return F.split(F.rtrim(col(c), F.lit(separator)), "\\" + separator)
+    text, end = col(c), F.lit(separator)
+    # Trimming looks at the whole text, and few texts need it.
+    trimmed = F.when(F.endswith(text, end), F.rtrim(text, end)).otherwise(text)
+    return F.split(trimmed, "\\" + separator)
 
 
 def _as_browser(encoded: Column) -> Column:
@@ -51,36 +58,40 @@ def url_decode(c: Column | str) -> Column:
     return F.try_url_decode(col(c))
 
 
+def _decoded(names: Column, values: Column) -> Column:
+    pairs = F.zip_with(
+        names,
+        values,
+        lambda n, v: F.struct(
+            F.try_url_decode(n).alias("key"), F.try_url_decode(v).alias("value")
+        ),
+    )
+    return F.map_from_entries(
+        F.filter(pairs, lambda p: p["key"].isNotNull() & p["value"].isNotNull())
+    )
+
+
 def parse_query_string(request: Column | str) -> Column:
     """The parameters of a request as a map; a repeated name keeps its last value.
 
     Parameters without a name or value, or with more than one value, are left out, and so
-    are those whose escapes are broken.
+    are those whose escapes are broken. Only a query with escapes is decoded.
     """
     query = F.regexp_extract(F.coalesce(col(request), F.lit("")), QUERY_PART, 1)
-    parts = F.transform(F.split(query, "&"), lambda p: java_split(p, "="))
-    whole = F.filter(
-        parts, lambda p: (F.size(p) == 2) & is_not_blank(p[0]) & is_not_blank(F.get(p, F.lit(1)))
-    )
-    pairs = F.transform(
-        whole,
-        lambda p: F.struct(
-            F.try_url_decode(p[0]).alias("key"), F.try_url_decode(p[1]).alias("value")
-        ),
-    )
-    return F.map_from_entries(
-        F.filter(pairs, lambda p: p["key"].isNotNull() & p["value"].isNotNull())
-    )
+    names, values = [F.regexp_extract_all(query, F.lit(PARAMETER), F.lit(i)) for i in (1, 2)]
+    escaped = F.contains(query, F.lit("%")) | F.contains(query, F.lit("+"))
+    return F.when(escaped, _decoded(names, values)).otherwise(F.map_from_arrays(names, values))
 
 
 def build_query_string(params: Column | str) -> Column:
     """``k=v&k=v`` from a map, without entries whose name or value is empty."""
-    kept = F.filter(
-        F.map_entries(col(params)),
-        lambda e: (e["key"] != "") & (F.coalesce(e["value"], F.lit("")) != ""),
-    )
+    # Joining leaves out what is null.
     pairs = F.transform(
-        kept, lambda e: F.concat(F.url_encode(e["key"]), F.lit("="), F.url_encode(e["value"]))
+        F.map_entries(col(params)),
+        lambda e: F.when(
+            (e["key"] != "") & (e["value"] != ""),
+            F.concat(F.url_encode(e["key"]), F.lit("="), F.url_encode(e["value"])),
+        ),
     )
     # The separators contain nothing that is replaced, so one pass over the whole will do.
     return _as_browser(F.array_join(pairs, "&"))

@@ -30,9 +30,11 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a column that is computed once per row.
 
     A plain projection would be copied by the optimizer into every filter above it, and an
-    expensive expression evaluated again for each use. The output of a generator is not.
+    expensive expression evaluated again for each use. The output of a generator is not. The value
+    itself is made below the generator, where it is compiled even if it holds a lambda.
     """
-    return df.select("*", F.explode(F.array(value)).alias(name))
+    made = df.withColumn(f"{name}_made", value)
+    return made.select(*df.columns, F.explode(F.array(f"{name}_made")).alias(name))
 
 
 def _split_lines(lines: DataFrame, line: str) -> DataFrame:
@@ -52,6 +54,8 @@ def _named_fields(split: DataFrame, line: str) -> DataFrame:
 
 
 IS_RECORD = "size(_fields) = 4"
+# Holds the text of a line that is not stored.
+REJECTED_LINE = "_line"
 
 
 def parse_log(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -71,12 +75,15 @@ def judge_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     return _named_fields(split, line).withColumn("reason", reason)
 
 
-def rejected(lines: DataFrame, line: str = "value") -> DataFrame:
-    """The lines that are not stored, each with its reason; batch or stream."""
-    named = lines.withColumn("_line", F.col(line))
-    return judge_lines(named, line).where("reason IS NOT NULL").select(
-        F.col("_line").alias(line), "reason"
-    )
+def rejected(lines: DataFrame, line: str = "value", judged: bool = False) -> DataFrame:
+    """The lines that are not stored, each with its reason; batch or stream.
+
+    With ``judged``, ``lines`` comes from :func:`enrich` with ``keep_rejected``, which has found
+    them already.
+    """
+    if not judged:
+        lines = judge_lines(lines.withColumn(REJECTED_LINE, F.col(line)), line)
+    return lines.where("reason IS NOT NULL").select(F.col(REJECTED_LINE).alias(line), "reason")
 
 
 def line_counts() -> list[Column]:
@@ -147,14 +154,37 @@ def merge_params(records: DataFrame) -> DataFrame:
     )
 
 
+def _without_rejected(judged: DataFrame) -> DataFrame:
+    """Keep the text of lines that are not stored, and nothing else of them."""
+    good = F.col("reason").isNull()
+    text = F.when(~good, F.col(REJECTED_LINE)).alias(REJECTED_LINE)
+    cells = [F.when(good, F.col(c)).alias(c) for c in ("ip", "access_time", "request", "params")]
+    others = [
+        c
+        for c in judged.columns
+        if c not in (REJECTED_LINE, "is_record", "ip", "access_time", "request", "params")
+    ]
+    return judged.select(*others, text, *cells)
+
+
 def enrich(
-    lines: DataFrame, rules: DataFrame, counts: Observation | str | None = None
+    lines: DataFrame,
+    rules: DataFrame,
+    counts: Observation | str | None = None,
+    keep_rejected: bool = False,
 ) -> DataFrame:
     """Lines to event records with a region: the transform shared by batch and stream.
 
-    Lines that are left out are counted by ``counts`` and listed by :func:`rejected`.
+    Lines that are left out are counted by ``counts`` and listed by :func:`rejected`. With
+    ``keep_rejected`` they stay between the records, as rows of their text and ``reason``, which
+    is null for a record; so lines are judged once for both.
     """
-    if counts is None:
+    if keep_rejected:
+        judged = judge_lines(lines.withColumn(REJECTED_LINE, F.col("value")))
+        if counts is not None:
+            judged = judged.observe(counts, *line_counts())
+        records = _without_rejected(judged)
+    elif counts is None:
         records = complete_records(parse_log(lines))
     else:
         records = drop_unparsed(lines, counts)

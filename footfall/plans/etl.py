@@ -10,10 +10,11 @@ from datetime import date
 
 from pyspark.sql import Observation, SparkSession
 
+from footfall import storage
 from footfall.operators.parse import enrich, rejected, with_row_key
 from footfall.plans.days import parse_day
 from footfall.session import build_session
-from footfall.sinks.tables import in_read_order, replace_day, write_event_log
+from footfall.sinks.tables import in_read_order, replace_day, store_parsed, write_event_log
 from footfall.sources import read_ip_rules, read_logs
 
 
@@ -26,11 +27,16 @@ def run_etl(
     Running a day again changes nothing, as its records meet their own row keys.
     """
     counts = Observation("etl")
+    table = table.rstrip("/")
     lines = in_read_order(read_logs(spark, logs, day))
-    records = with_row_key(enrich(lines, read_ip_rules(spark, rules), counts))
-    write_event_log(records, table, f"{table.rstrip('/')}__staging/{day:%Y-%m-%d}")
-    refused = rejected(read_logs(spark, logs, day))
-    replace_day(refused, f"{table.rstrip('/')}__rejected", day)
+    rules = read_ip_rules(spark, rules)
+    judged = with_row_key(enrich(lines, rules, counts, keep_rejected=True))
+    staging = f"{table}__staging/{day:%Y-%m-%d}"
+    # Lines are read and judged once; records and lines left out are parts of what is stored.
+    stored = store_parsed(judged, staging)
+    write_event_log(stored.where("reason IS NULL"), table, staging, stored=True)
+    replace_day(rejected(stored, judged=True), f"{table}__rejected", day)
+    storage.remove(spark, staging)
     return dict(counts.get)
 
 

@@ -124,15 +124,28 @@ def upsert(
     merge_partitions(df, path, merge, staging, once)
 
 
-def _cells(records: DataFrame) -> Column:
+def _params() -> Column:
+    return F.coalesce("params", F.create_map().cast("map<string,string>"))
+
+
+def _cells() -> Column:
     """All cells of a record that are present, in one map."""
     known = F.map_from_entries(
         F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).alias("value")) for c in KNOWN_CELLS])
     )
-    return F.map_concat(
-        F.map_filter(known, lambda _, v: v.isNotNull()),
-        F.coalesce("params", F.create_map().cast("map<string,string>")),
-    )
+    return F.map_concat(F.map_filter(known, lambda _, v: v.isNotNull()), _params())
+
+
+def _present() -> list[Column]:
+    """Which cells of a record are present: the known ones as bits, and the names of the others."""
+    bits = [F.when(F.col(c).isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(KNOWN_CELLS)]
+    return [sum(bits, F.lit(0)).alias("_known"), F.sort_array(F.map_keys(_params())).alias("_names")]
+
+
+def _with_day(records: DataFrame) -> DataFrame:
+    """Time and day of merged records, which follow from their cells."""
+    timed = records.withColumn("access_time_ms", F.col("access_time").try_cast("bigint"))
+    return timed.withColumn("dt", day_of("access_time_ms")).select(*EVENT_LOG.names)
 
 
 def merge_cells(records: DataFrame, order: str = "seq") -> DataFrame:
@@ -141,56 +154,87 @@ def merge_cells(records: DataFrame, order: str = "seq") -> DataFrame:
 
     Of the records of a key with the same cells present the latest says all, so these are
     combined as whole records before the shuffle, and a key that repeats without end sends one
-    row per task and set of cells. Only what differs in its cells is merged cell by cell.
+    row per task and set of cells. Only what is left is merged cell by cell.
     """
-    names = F.array_sort(F.map_keys("_cells"))
-    packed = records.select("row_key", F.col(order).alias("_order"), _cells(records).alias("_cells"))
-    values = F.transform(names, lambda k: F.col("_cells")[k])
-    packed = packed.select("row_key", "_order", names.alias("_names"), values.alias("_values"))
-    latest = packed.groupBy("row_key", "_names").agg(
-        F.max("_order").alias("_order"), F.max_by("_values", "_order").alias("_values")
+    record = F.struct(*KNOWN_CELLS, "params")
+    packed = records.select("row_key", *_present(), F.col(order).alias("_order"), record.alias("_r"))
+    latest = packed.groupBy("row_key", "_known", "_names").agg(
+        F.max("_order").alias("_order"), F.max_by("_r", "_order").alias("_r")
+    )
+    cells = F.map_entries(_cells()).alias("_cells")
+    sets = latest.select("row_key", "_order", "_r.*").select("row_key", "_order", cells)
+    merged = sets.groupBy("row_key").agg(
+        F.array_sort(F.collect_list(F.struct("_order", "_cells"))).alias("_records")
     )
-    records_of_key = F.array_sort(F.collect_list(F.struct("_order", "_names", "_values")))
-    merged = latest.groupBy("row_key").agg(records_of_key.alias("_records"))
     # Of a name that comes several times the map keeps the last value (RUNTIME_CONF).
-    entries = F.transform("_records", lambda r: F.arrays_zip(r["_names"], r["_values"]))
-    later = F.map_from_entries(F.flatten(entries))
-    return (
-        merged.select("row_key", F.explode(F.array(later)).alias("_c"))
-        .select(
+    later = F.map_from_entries(F.flatten(F.col("_records._cells")))
+    return _with_day(
+        merged.select("row_key", F.explode(F.array(later)).alias("_c")).select(
             "row_key",
             *[F.col("_c")[c].alias(c) for c in KNOWN_CELLS],
             F.map_filter("_c", lambda k, _: ~k.isin(*KNOWN_CELLS)).alias("params"),
         )
-        .withColumn("access_time_ms", F.col("access_time").try_cast("bigint"))
-        .withColumn("dt", day_of("access_time_ms"))
-        .select(*EVENT_LOG.names)
     )
 
 
+def merge_whole(records: DataFrame, order: str = "seq") -> DataFrame:
+    """:func:`merge_cells` for keys all of whose records have the same cells present: the latest
+    record of each key. It is shuffled once, and no cell is looked at."""
+    record = F.struct(*KNOWN_CELLS, _params().alias("params"))
+    packed = records.select("row_key", F.col(order).alias("_order"), record.alias("_r"))
+    latest = packed.groupBy("row_key").agg(F.max_by("_r", "_order").alias("_r"))
+    return _with_day(latest.select("row_key", "_r.*"))
+
+
 def merge_repeats(
     records: DataFrame, order: str = "seq", broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """:func:`merge_cells`, but records whose key does not repeat are passed on where they are.
-
-    Only a hash of each key is shuffled to find the repeated ones. As long as these are few
-    they are broadcast, and only their records are shuffled and merged; otherwise all are.
-    Two keys with the same hash are merged too, each with itself. ``records`` should be a
-    stored table, since it is read more than once.
+    """:func:`merge_cells`, but records whose key does not repeat are passed on where they are,
+    and keys whose records have the same cells present are merged as wholes.
+
+    Only hashes are shuffled to find the keys that repeat, and those with several sets of cells.
+    As long as the former are few they are broadcast, and only their records are shuffled and
+    merged; otherwise all are. As long as the latter are few they are broadcast, and only their
+    records are merged cell by cell; otherwise all are. Two keys with the same hash are merged
+    too, each with itself. ``records`` should be a stored table, since it is read more than once.
     """
     code = F.xxhash64("row_key")
+    present = _present()
+    # A set of cells goes by two hashes of 64 bits; names of known cells among the parameters are
+    # put where they belong only cell by cell.
+    astray = F.arrays_overlap(F.map_keys(_params()), F.array(*map(F.lit, KNOWN_CELLS)))
+    marked = records.select(
+        code.alias("_code"),
+        F.xxhash64(*present).alias("_a"),
+        F.xxhash64(F.lit(1), *present).alias("_b"),
+        F.when(F.size("params") > 0, astray).otherwise(F.lit(False)).alias("_astray"),
+    )
+    differ = F.min("_a") != F.max("_a")
+    differ |= F.min("_b") != F.max("_b")
     repeated = (
-        records.groupBy(code.alias("_code"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        marked.groupBy("_code")
+        .agg(F.count(F.lit(1)).alias("_n"), (differ | F.bool_or("_astray")).alias("_mixed"))
         .where("_n > 1")
-        .select("_code", F.lit(True).alias("_repeats"))
+        .select("_code", "_mixed")
     )
+    found = repeated.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("_mixed").alias("mixed")
+    ).first()
     # A row is a number and a flag: 16 bytes.
-    if repeated.count() * 16 > broadcast_bytes:
+    if found["mixed"] * 16 > broadcast_bytes:
         return merge_cells(records, order)
-    marked = records.join(F.broadcast(repeated), code == F.col("_code"), "left")
-    alone = marked.where(F.col("_repeats").isNull()).select(*EVENT_LOG.names)
-    return alone.unionByName(merge_cells(marked.where("_repeats"), order))
+    few = found["n"] * 16 <= broadcast_bytes
+    if few or found["mixed"]:
+        marks = repeated if few else repeated.where("_mixed")
+        records = records.join(F.broadcast(marks), code == F.col("_code"), "left")
+    parts = []
+    if few:
+        parts.append(records.where(F.col("_mixed").isNull()).select(*EVENT_LOG.names))
+    whole = ~F.col("_mixed") if few else F.col("_mixed").isNull()
+    parts.append(merge_whole(records.where(whole) if few or found["mixed"] else records, order))
+    if found["mixed"]:
+        parts.append(merge_cells(records.where("_mixed"), order))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def in_read_order(records: DataFrame) -> DataFrame:
@@ -209,13 +253,23 @@ def in_read_order(records: DataFrame) -> DataFrame:
     )
 
 
-def write_event_log(records: DataFrame, path: str, staging: str, order: str = "seq") -> None:
+def store_parsed(records: DataFrame, staging: str) -> DataFrame:
+    """The records as a table in ``staging``, so that lines are parsed once."""
+    parsed = f"{staging}/parsed"
+    records.write.mode("overwrite").parquet(parsed)
+    return records.sparkSession.read.schema(records.schema).parquet(parsed)
+
+
+def write_event_log(
+    records: DataFrame, path: str, staging: str, order: str = "seq", stored: bool = False
+) -> None:
     """Upsert records by row key into the event table.
 
     The records are stored in staging, so that lines are parsed once, and merged among
     themselves in ``order``. Only days the table holds already are merged once more, with
     what is stored there counting as earlier; so a few late lines of the day before do not
-    cost that day its other events.
+    cost that day its other events. With ``stored``, ``records`` is part of what
+    :func:`store_parsed` gave, and ``staging`` is left for the caller to remove.
     """
 
     def merge(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -223,10 +277,10 @@ def write_event_log(records: DataFrame, path: str, staging: str, order: str = "s
             old.withColumn(order, F.lit(0)).unionByName(new.withColumn(order, F.lit(1))), order
         )
 
-    spark, parsed = records.sparkSession, f"{staging}/parsed"
     columns = [*[c for c in EVENT_LOG.names if c != "dt"], order, "dt"]
     placed = records.select(*columns)
-    placed.write.mode("overwrite").parquet(parsed)
-    stored = spark.read.schema(placed.schema).parquet(parsed)
-    merge_partitions(merge_repeats(stored, order), path, merge, f"{staging}/merge")
-    storage.remove(spark, staging)
+    if not stored:
+        placed = store_parsed(placed, staging)
+    merge_partitions(merge_repeats(placed, order), path, merge, f"{staging}/merge")
+    if not stored:
+        storage.remove(records.sparkSession, staging)

@@ -205,3 +205,20 @@ def test_event_texts(evaluate):
 def test_city_concat(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "city string")
     assert df.select(fn.city_concat("city")).first()[0] == "a,b,null"
+
+
+def test_parameters_are_taken_without_a_loop_over_parts(evaluate):
+    blank = chr(0x3000)
+    requests = {
+        "/l?=a=1&b=2=&c==3&d=4==&=&&e= &f= 5&g=6": {"b": "2", "d": "4", "f": " 5", "g": "6"},
+        f"/l?{blank}=1&a={blank}&b={chr(0xA0)}&c=\t=&d=1": {"b": chr(0xA0), "d": "1"},
+        "/l?a=1&b=%zz&a=+2&c=%3D&%41=1": {"a": " 2", "c": "=", "A": "1"},
+        "/l?a=1&b=2&a=3": {"a": "3", "b": "2"},
+        "/l?" + "&".join(f"k{i}={i}" for i in range(20000)): {f"k{i}": str(i) for i in range(20000)},
+        "/l?a=" + "b" * 200000: {"a": "b" * 200000},
+        "/l?a=" + " " * 200000 + "&b=1": {"b": "1"},
+    }
+    parsed = fn.parse_query_string("x")
+    assert evaluate(parsed, list(requests)) == list(requests.values())
+    # A query without escapes is looked up by two patterns and not decoded.
+    assert "regexp_extract_all" in str(parsed)

@@ -83,3 +83,24 @@ def test_parse_day():
     for text in ("2024-2-29", "2023-02-29", "0000-01-01", "2024/01/01", "", "20240101"):
         with pytest.raises(ValueError):
             parse_day(text)
+
+
+def test_the_load_reads_and_judges_lines_once(spark, folder, monkeypatch):
+    from footfall.plans import etl
+
+    logs, rules, table = folder("logs"), folder("rules"), folder("event_log")
+    _write(spark, rules, RULE)
+    good = f"1.0.1.1|{MS}|h|/log.gif?en=e_l&uid=u"
+    bad = [f"1.0.1.1|{'9' * 17}|h|/log.gif?en=e_l&uid=u", "junk", f"1.0.1.1|{MS}|h|/log.gif?uid=u"]
+    _write(spark, f"{logs}/2024/01/01", good, *bad, "junk")
+    reads, real = [], etl.read_logs
+    monkeypatch.setattr(etl, "read_logs", lambda *args: reads.append(args) or real(*args))
+    counts = etl.run_etl(spark, logs, rules, table, D1)
+    assert len(reads) == 1
+    assert counts == {"n_input": 5, "n_filtered": 2, "n_incomplete": 2}
+    left_out = spark.read.parquet(f"{table}__rejected").select("value", "reason").collect()
+    reasons = ["bad time", "no four fields", "no event"]
+    assert sorted(map(tuple, left_out)) == sorted([*zip(bad, reasons), ("junk", "no four fields")])
+    (row,) = read_event_log(spark, table, D1).collect()
+    assert (row.uid, row.en, row.country) == ("u", "e_l", "CN")
+    assert storage.children(spark, f"{table}__staging") == []

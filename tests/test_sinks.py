@@ -275,3 +275,27 @@ def test_records_with_the_same_cells_are_combined_before_the_shuffle(spark):
     assert merged.count() == 1
     before_shuffle = merged._jdf.queryExecution().executedPlan().toString().split("Exchange")[-1]
     assert "Generate" not in before_shuffle
+
+
+def test_records_with_the_same_cells_are_merged_whole(spark):
+    t = {"access_time": str(MS)}
+    same = [(f"k{i % 40}", i, {**t, "x": str(i), "uid": str(i)}) for i in range(120)]
+    mixed = [("m", 1, {**t, "pid": "1", "x": "1"}), ("m", 2, {**t, "b_n": "b", "x": "2"})]
+    for rows in (same, same + mixed):
+        records = _records(spark, *rows)
+        wanted = {r.row_key: _cells(r) for r in merge_cells(records).collect()}
+        for broadcast_bytes in (10**6, 100):
+            out = merge_repeats(records, broadcast_bytes=broadcast_bytes)
+            assert {r.row_key: _cells(r) for r in out.collect()} == wanted
+            assert out.count() == len(wanted)
+            # Only keys with several sets of cells are merged cell by cell.
+            assert ("collect_list" in plan_of(out)) == (rows != same)
+    assert wanted["m"] == {**t, "pid": "1", "b_n": "b", "x": "2"}
+    assert wanted["k3"] == {**t, "uid": "83", "x": "83"}
+
+
+def test_whole_merge_shuffles_once(spark):
+    rows = [(f"k{i % 40}", i, {"access_time": str(MS), "uid": str(i)}) for i in range(120)]
+    out = merge_repeats(_records(spark, *rows), broadcast_bytes=100)
+    assert plan_of(out).count("Exchange hashpartitioning") == 1
+    assert {r.row_key: r.uid for r in out.collect()} == {f"k{i}": str(80 + i) for i in range(40)}
