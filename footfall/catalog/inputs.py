@@ -69,20 +69,40 @@ def tracked_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def params_of(events: DataFrame, **extra: Column) -> Column:
-    """Parameters in the order the tracker sends them; those without a value are left out."""
-    names = ("en", "uid", "sid", "pl", "pid")
-    pairs = [(n, F.col(n)) for n in names] + list(extra.items())
+# The parameters in the order the tracker sends them.
+PARAMS = ("en", "uid", "sid", "pl", "pid")
+
+
+def _as_map(pairs: list[tuple[str, Column]]) -> Column:
     entries = [F.struct(F.lit(n).alias("key"), v.alias("value")) for n, v in pairs]
     return F.map_from_entries(F.array(*entries))
 
 
+def params_of(events: DataFrame, **extra: Column) -> Column:
+    """Parameters in the order the tracker sends them; those without a value are left out."""
+    return _as_map([*[(n, F.col(n)) for n in PARAMS], *extra.items()])
+
+
+def with_query(events: DataFrame) -> DataFrame:
+    """Events with their parameters written out, for :func:`log_lines`."""
+    return events.withColumn("query", build_query_string(params_of(events)))
+
+
 def log_lines(events: DataFrame, **extra: Column) -> DataFrame:
-    """One raw line per event; some lack a field and are no record."""
+    """One raw line per event; some lack a field and are no record.
+
+    ``extra`` are more parameters behind the usual ones, with names of their own. Events may come
+    from :func:`with_query`, so that lines that differ in them are not written out from the start.
+    """
     host = F.when(F.col("event_id") % 97 != 0, "www.example.com")
-    request = F.concat(F.lit("/log.gif?"), build_query_string(params_of(events, **extra)))
+    written = events if "query" in events.columns else with_query(events)
+    queries = [F.col("query")]
+    if extra:
+        queries.append(build_query_string(_as_map(list(extra.items()))))
+    query = F.concat_ws("&", *[F.nullif(q, F.lit("")) for q in queries])
+    request = F.concat(F.lit("/log.gif?"), query)
     line = F.concat_ws("|", "ip", F.col("access_time_ms").cast("string"), host, request)
-    return events.select("event_id", line.alias("value"))
+    return written.select("event_id", line.alias("value"))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,10 +196,12 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ip_region_join(named, ip_rules(spark, sf_dir))
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: computed once, lineage cut."""
+def saved(df: DataFrame, name: str, rows: int = 0) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, lineage cut.
+
+    With ``rows`` no file has more, so that the files can be dealt out evenly."""
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -42,8 +42,10 @@ from footfall.streaming.words import (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# The days the given events fall in.
 BATCHES = inputs.BATCHES
+# Rows of a file that cannot be cut, so that tasks get about the same.
+FILE_ROWS = 250_000
+# The days the given events fall in.
 FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 2, 1)
 
 
@@ -608,8 +610,10 @@ def loaded_files(spark, sf_dir):
     the sizes: the early ones repeat their lines for odd days, the late ones for even days."""
     root, path = work_dir(spark, "logs"), work_dir(spark, "event_log")
     rules = work_dir(spark, "rules")
-    # The join is made once, not for each folder of logs.
-    events = inputs.saved(inputs.tracked_events(spark, sf_dir), "tracked")
+    # The join is made and the usual parameters are written out once, not for each folder of logs.
+    events = inputs.with_query(inputs.tracked_events(spark, sf_dir))
+    events = events.select("event_id", "ip", "access_time_ms", "query")
+    events = inputs.saved(events, "tracked", FILE_ROWS)
     inputs.rule_lines(inputs.ip_rules(spark, sf_dir)).write.text(rules)
     for day in (date(2024, 2, 1), date(2024, 2, 2)):
         for name, copies in (("early", 1 + 3 * (day.day % 2)), ("late", 4 - 3 * (day.day % 2))):
@@ -617,8 +621,8 @@ def loaded_files(spark, sf_dir):
             lines = lines.select(F.explode(F.array_repeat("value", copies)).alias("value"))
             at = f"{root}/{day:%Y/%m/%d}/{('1000', '1100')[name == 'late']}"
             # Packed as logs are kept, in files small enough to be read by many tasks.
-            writer = lines.write.option("maxRecordsPerFile", 1_000_000)
-            writer.text(at, compression="gzip")
+            writer = lines.write.option("maxRecordsPerFile", FILE_ROWS)
+            writer.option("zlib.compress.level", "BEST_SPEED").text(at, compression="gzip")
             inputs.move_files(spark, at, at)
         run_etl(spark, root, rules, f"{path}/{day.day}", day)
     found = [

@@ -10,7 +10,7 @@ from footfall.functions.dates import (
 )
 from footfall.functions.events import event_category, event_description, is_launch, is_view
 from footfall.functions.keys import java_string_hash, row_key
-from footfall.functions.net import ip_to_long
+from footfall.functions.net import ip_parts, ip_to_long, parts_to_long
 from footfall.functions.measures import bucket_summary, city_concat, mask_all, round_share
 from footfall.functions.text import (
     build_query_string,
@@ -34,6 +34,7 @@ __all__ = [
     "event_description",
     "format_ms",
     "get_field",
+    "ip_parts",
     "ip_to_long",
     "is_launch",
     "is_not_blank",
@@ -44,6 +45,7 @@ __all__ = [
     "next_day_ms",
     "parse_date_ms",
     "parse_query_string",
+    "parts_to_long",
     "platform_from_user_agent",
     "round_share",
     "row_key",

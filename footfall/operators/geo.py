@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.functions import ip_to_long
+from footfall.functions import ip_parts, parts_to_long
 from footfall.operators.sizes import BROADCAST_BYTES
 from footfall.operators.sweep import hashable, sweep_join
 from footfall.schemas import REGION_COLUMNS, UNKNOWN
@@ -133,7 +133,8 @@ def ip_region_join(
         left -= sizes[bits].bytes
         if left >= 0:
             sent.add(bits)
-    out = logs.withColumn("_ip", ip_to_long(ip))
+    split = logs.withColumn("_parts", ip_parts(ip))
+    out = split.withColumn("_ip", parts_to_long("_parts")).drop("_parts")
     found: list[Column] = []
     if not logs.isStreaming and len(sent) < len(sizes):
         wide = [bits for bits in sizes if bits not in sent]

@@ -146,7 +146,11 @@ def merge_params(records: DataFrame) -> DataFrame:
         if c not in (*KNOWN_CELLS, "params", "request", "access_time_ms", "dt")
     ]
     cells = [effective(c, c if c in derived else None).alias(c) for c in KNOWN_CELLS]
-    rest = F.map_filter("params", lambda k, _: ~k.isin(*KNOWN_CELLS)).alias("params")
+    # Most records have known names alone; only where there are others are the names filtered.
+    known = sum((F.col("params")[c].isNotNull().cast("int") for c in KNOWN_CELLS), F.lit(0))
+    others_of = F.map_filter("params", lambda k, _: ~k.isin(*KNOWN_CELLS))
+    none = F.create_map().cast("map<string,string>")
+    rest = F.when(F.size("params") == known, none).otherwise(others_of).alias("params")
     return (
         records.select(*others, *cells, rest)
         .withColumn("access_time_ms", F.col("access_time").try_cast("bigint"))

@@ -222,3 +222,27 @@ def test_parameters_are_taken_without_a_loop_over_parts(evaluate):
     assert evaluate(parsed, list(requests)) == list(requests.values())
     # A query without escapes is looked up by two patterns and not decoded.
     assert "regexp_extract_all" in str(parsed)
+
+
+def test_address_from_its_parts(spark):
+    addresses = ["1.2.3.4", "1.2.3.4.", "1.2", "1.2.3.4.5", "a.2.3.4", "256.0.0.1", "", None, "1..3.4"]
+    df = spark.createDataFrame([(a,) for a in addresses], "ip string")
+    parts = df.withColumn("parts", fn.ip_parts("ip"))
+    for row in parts.select("ip", fn.ip_to_long("ip"), fn.parts_to_long("parts")).collect():
+        assert row[1] == row[2], row.ip
+
+
+def test_lines_of_events_with_written_parameters(spark):
+    from footfall.catalog import inputs
+
+    rows = [(1, "1.1.1.1", 5, "e_l", "u 1", None, "pc", "7"), (97, "1.1.1.1", 6, None, None, None, None, "")]
+    names = "event_id bigint, ip string, access_time_ms bigint, en string, uid string, sid string"
+    events = spark.createDataFrame(rows, f"{names}, pl string, pid string")
+    written = inputs.with_query(events).select("event_id", "ip", "access_time_ms", "query")
+    wanted = [
+        "1.1.1.1|5|www.example.com|/log.gif?en=e_l&uid=u%201&pl=pc&pid=7&b_n=a%26",
+        "1.1.1.1|6|/log.gif?b_n=a%26",
+    ]
+    for source in (events, written):
+        lines = inputs.log_lines(source, b_n=F.lit("a&"), os_n=F.lit(None).cast("string"))
+        assert [r.value for r in lines.orderBy("event_id").collect()] == wanted
